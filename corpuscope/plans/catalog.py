@@ -8,12 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpuscope.functions import dates, text
+from corpuscope.functions.greek import greek_stem
 from corpuscope.functions.sentiment import sentiment
-from corpuscope.operators import cleaning, index as ix, keywords, sampling, search as sr
-from corpuscope.operators import sentiment as opinion, similarity, trend
+from corpuscope.operators import cleaning, clusters, index as ix, keywords, sampling, search as sr
+from corpuscope.operators import sentiment as opinion, similarity, topics, trend
 from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import LEXICON, STOPS, speeches, table
+from corpuscope.runtime import scratch_path
 from corpuscope.schema import QUERIES, SPEECH_ID, WORDS
+from corpuscope.sources import dictionaries, indexes, reports, speeches as stored
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -317,3 +320,232 @@ ORDER BY md5('42:' || doc_id) LIMIT 137""")
 def sample_exact(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
     return sampling.sample_exact(documents, 137, seed=42, key="doc_id")
+
+
+# --- topics and clusters ----------------------------------------------------------------------
+
+
+@query(sql.leading_topic())
+def leading_topic(spark, sf_dir):
+    found = topics.latent_topics(clean(spark, sf_dir))
+    best = topics.top_topic_terms(found.topic_terms.filter(F.col("topic") == 1))
+    return best.select(
+        F.col("rank").cast("bigint").alias("rank"),
+        "term",
+        F.round("loading", 6).alias("loading"),
+        F.lit(round(found.sigma[0], 6)).alias("sigma"),
+    )
+
+
+@query()
+def topic_terms(spark, sf_dir):
+    found = topics.latent_topics(clean(spark, sf_dir))
+    return topics.top_topic_terms(found.topic_terms)
+
+
+@query()
+def topic_energy(spark, sf_dir):
+    """Per topic: sigma squared, which must equal the energy of its column of speech vectors."""
+    kept = clean(spark, sf_dir)
+    found = topics.latent_topics(kept)
+    attached = topics.attach_topics(kept.select(SPEECH_ID), found.doc_topics)
+    squares = attached.select(F.posexplode("topics").alias("at", "x"))
+    energy = squares.groupBy("at").agg(F.sum(F.col("x") * F.col("x")).alias("energy"))
+    sigma = F.get(F.lit(found.sigma), F.col("at"))
+    return energy.select(
+        (F.col("at") + 1).alias("topic"),
+        F.round("energy", 6).alias("energy"),
+        F.round(sigma * sigma, 6).alias("sigma_squared"),
+    )
+
+
+@query()
+def topic_clusters(spark, sf_dir):
+    """100 clusters of the speeches by topic, the best of 10 starts, with their mean topics."""
+    found = topics.latent_topics(clean(spark, sf_dir))
+    grouped = clusters.cluster_topics(found.doc_topics, k=100, n_init=10)
+    return clusters.cluster_topic_means(grouped.assigned, dims=len(found.sigma))
+
+
+@query()
+def kmeans_fit(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    grouped = clusters.cluster_topics(vectors, k=10, n_init=10, column="embedding")
+    return clusters.cluster_sizes(grouped.assigned)
+
+
+def label_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` with its labels as clusters and its vectors as topics."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vectors.select(
+        F.col("vec_id").alias(SPEECH_ID),
+        F.col("embedding").cast("array<double>").alias("topics"),
+        F.col("label").alias("cluster_id"),
+    )
+
+
+def embedded_speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = label_clusters(spark, sf_dir)
+    return topics.attach_topics(speeches(spark, sf_dir), labels)
+
+
+DIMS = 64
+
+
+@query(f"""WITH {sql.VECTORS},
+distances AS (
+  SELECT vec_id, c.label, sum((x - c) * (x - c)) AS d
+  FROM points p JOIN centroids c USING (pos) GROUP BY ALL
+)
+SELECT vec_id AS speech_id, arg_min(label, (d, label)) AS cluster_id FROM distances GROUP BY ALL""")
+def assign_clusters(spark, sf_dir):
+    vectors = label_clusters(spark, sf_dir)
+    rows = clusters.cluster_topic_means(vectors, dims=DIMS).collect()
+    centroids, ids = [list(row[1:]) for row in rows], [row[0] for row in rows]
+    assigned = clusters.assign_clusters(vectors.drop("cluster_id"), centroids, ids=ids)
+    return assigned.select(SPEECH_ID, F.col("cluster_id").cast("bigint").alias("cluster_id"))
+
+
+@query(f"""WITH {sql.VECTORS}
+SELECT label AS cluster_id, {", ".join(
+    f"round(max(c) FILTER (pos = {i}), 6) AS Topic_{i}" for i in range(1, DIMS + 1))}
+FROM centroids GROUP BY ALL""")
+def cluster_topic_means(spark, sf_dir):
+    means = clusters.cluster_topic_means(label_clusters(spark, sf_dir), dims=DIMS)
+    rounded = [F.round(name, 6).alias(name) for name in means.columns[1:]]
+    return means.select(F.col("cluster_id").cast("bigint").alias("cluster_id"), *rounded)
+
+
+@query(f"""WITH {sql.VECTORS}
+SELECT label AS cluster_id, 'Topic_' || pos AS topic, round_even(c, 3) AS weight
+FROM centroids WHERE c > 0.05""")
+def cluster_top_topics(spark, sf_dir):
+    means = clusters.cluster_topic_means(label_clusters(spark, sf_dir), dims=DIMS)
+    best = clusters.cluster_top_topics(means)
+    return best.withColumn("cluster_id", F.col("cluster_id").cast("bigint"))
+
+
+@query("""SELECT CAST(label AS BIGINT) AS cluster_id, count(*) AS n_speeches
+FROM embeddings GROUP BY ALL""")
+def cluster_sizes(spark, sf_dir):
+    sizes = clusters.cluster_sizes(label_clusters(spark, sf_dir))
+    return sizes.withColumn("cluster_id", F.col("cluster_id").cast("bigint"))
+
+
+@query("""WITH sizes AS (
+  SELECT CAST(label AS BIGINT) AS cluster_id, count(*) AS n_speeches FROM embeddings GROUP BY ALL
+),
+ranked AS (
+  SELECT 'largest' AS part, row_number() OVER (ORDER BY n_speeches DESC, cluster_id) AS rank, *
+  FROM sizes
+  UNION ALL
+  SELECT 'smallest', row_number() OVER (ORDER BY n_speeches, cluster_id), * FROM sizes
+)
+SELECT * FROM ranked WHERE rank <= 5
+UNION ALL SELECT 'small', 1, NULL, count(*) FILTER (n_speeches < 45) FROM sizes""")
+def cluster_size_report(spark, sf_dir):
+    report = clusters.cluster_size_report(label_clusters(spark, sf_dir), small=45)
+    numbers = {name: F.col(name).cast("bigint") for name in ("rank", "cluster_id")}
+    return report.withColumns(numbers).select("part", "rank", "cluster_id", "n_speeches")
+
+
+@query(f"""WITH {sql.SPEECHES_SQL},
+chosen AS (
+  SELECT *, row_number() OVER (ORDER BY speech_id) AS index, count(*) OVER () AS n
+  FROM {sql.EMBEDDED} WHERE label = 3
+)
+SELECT index, '--- Ομιλία ' || index || '/' || n || ' ---' || chr(10) ||
+       'Ομιλητής: ' || coalesce(member_name, 'Άγνωστος') || chr(10) ||
+       'Ημερομηνία: ' || coalesce(sitting_date, '-') || chr(10) ||
+       'Κείμενο:' || chr(10) || speech || chr(10) || chr(10) ||
+       repeat('=', 50) || chr(10) || chr(10) AS block
+FROM chosen""")
+def cluster_speeches(spark, sf_dir):
+    return clusters.cluster_speeches(embedded_speeches(spark, sf_dir), 3)
+
+
+@query(f"""WITH {sql.SPEECHES_SQL}
+SELECT speech_id, member_name, CAST(label AS BIGINT) AS cluster_id,
+       round(embedding[1]::DOUBLE, 6) AS first, round(embedding[64]::DOUBLE, 6) AS last
+FROM speeches JOIN embeddings ON vec_id = speech_id""")
+def attach_topics(spark, sf_dir):
+    wide = topics.widen(embedded_speeches(spark, sf_dir))
+    return wide.select(
+        SPEECH_ID,
+        "member_name",
+        F.col("cluster_id").cast("bigint").alias("cluster_id"),
+        F.round("Topic_1", 6).alias("first"),
+        F.round("Topic_64", 6).alias("last"),
+    )
+
+
+# --- sources and sinks ------------------------------------------------------------------------
+
+
+@query(f"""WITH {sql.SPEECHES_SQL}
+SELECT sitting_date, member_name, political_party, nullif(speech, '') AS speech
+FROM (SELECT * REPLACE (nullif(sitting_date, 'n/a') AS sitting_date) FROM speeches)""")
+def csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "speeches-csv")
+    columns = ["sitting_date", "member_name", "political_party", "speech"]
+    raw = speeches(spark, sf_dir).select(*columns)
+    reports.write_csv(raw, path)
+    return stored.read_speeches(spark, path).select(*columns)
+
+
+@query(f"""WITH {sql.CLEAN}
+SELECT speech_id, member_name, sitting_date, speech, clean_text FROM clean""")
+def clean_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "clean")
+    stored.write_clean(clean(spark, sf_dir), path)
+    back = stored.read_clean(spark, path)
+    return back.select(SPEECH_ID, "member_name", "sitting_date", "speech", "clean_text")
+
+
+@query(f"WITH {sql.scores(SEARCHES)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
+def index_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "index")
+    indexes.save_index(ix.build_index(clean(spark, sf_dir)), path)
+    found = sr.search(indexes.load_index(spark, path), search_table(spark), STOPS)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query(f"WITH {sql.keywords('political_party')} SELECT * FROM report")
+def report_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    report = keywords.keywords_by(clean(spark, sf_dir), "political_party")
+    reports.write_report(report, path, files=1)
+    return reports.read_report(report, path)
+
+
+@query(f"""WITH {sql.CLEAN}, {sql.sentiments('clean')},
+series AS (
+  SELECT CAST({sql.YEAR} AS BIGINT) AS year, round_even(avg(value), 4) AS sentiment
+  FROM scores WHERE {sql.YEAR} IS NOT NULL GROUP BY ALL
+)
+SELECT year, sentiment FROM series""")
+def sentiment_json(spark, sf_dir):
+    series = opinion.sentiment_by_year(clean(spark, sf_dir), LEXICON)
+    records = F.from_json("json", "array<struct<year: bigint, sentiment: double>>")
+    return reports.to_json_records(series).select(F.inline(records))
+
+
+@query(f"""WITH {sql.SPEECHES_SQL}
+SELECT DISTINCT replace(unnest({sql.tokenized('speech', 1)}), 'ß', 'ss') AS stem FROM speeches""")
+def stopwords_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "stems")
+    spoken = speeches(spark, sf_dir).select(F.explode(text.words(F.col("speech"))).alias("word"))
+    dictionaries.write_stopwords(cleaning.build_stopwords(spoken, greek_stem), path)
+    return dictionaries.load_stopwords(spark, path)
+
+
+@query(f"""WITH {sql.SPEECHES_SQL}
+SELECT replace(word, 'ß', 'ss') AS term, count(*) AS n
+FROM (SELECT unnest({sql.tokenized('speech', 1)}) AS word FROM speeches) GROUP BY ALL""")
+def stem_properties(spark, sf_dir):
+    """Words in Latin script stem to themselves (up to the sharp s)."""
+    spoken = speeches(spark, sf_dir).select(F.explode(text.words(F.col("speech"))).alias("term"))
+    counted = spoken.groupBy("term").agg(F.count("*").alias("n"))
+    stems = cleaning.stem_vocabulary(counted, greek_stem)
+    merged = cleaning.apply_stems(counted, stems).groupBy("term")
+    return merged.agg(F.sum("n").alias("n"))

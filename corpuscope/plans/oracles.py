@@ -164,3 +164,61 @@ scores AS (
   LEFT JOIN (SELECT speech_id, sum(value)::DOUBLE / count(*) AS value
              FROM signed WHERE value <> 0 GROUP BY ALL) s ON t.speech_id = s.speech_id
 )"""
+
+
+def leading_topic(rounds: int = 30, n: int = 15) -> str:
+    """The first topic by power iteration on two vectors, written out round by round.
+
+    The two largest singular values are close, so the last step solves for both at once: the
+    larger eigenvalue of [[aa, ab], [ab, bb]], the products of the two images.
+    """
+    steps = ["v0 AS (SELECT term, 1.0 AS a, CASE WHEN df % 2 = 0 THEN 1.0 ELSE -1.0 END AS b FROM terms)"]
+    for i in range(rounds):
+        steps += [
+            f"""u{i} AS MATERIALIZED (
+  SELECT speech_id, sum(weight * a) AS a, sum(weight * b) AS b
+  FROM weights JOIN v{i} USING (term) GROUP BY ALL
+)""",
+            f"""w{i} AS MATERIALIZED (
+  SELECT term, sum(weight * a) AS a, sum(weight * b) AS b
+  FROM weights JOIN u{i} USING (speech_id) GROUP BY ALL
+)""",
+            f"""o{i} AS MATERIALIZED (
+  SELECT term, a, b - a * (SELECT sum(a * b) / sum(a * a) FROM w{i}) AS b FROM w{i}
+)""",
+            f"""v{i + 1} AS MATERIALIZED (
+  SELECT term, a / (SELECT sqrt(sum(a * a)) FROM o{i}) AS a,
+         b / (SELECT sqrt(sum(b * b)) FROM o{i}) AS b
+  FROM o{i}
+)""",
+        ]
+    chain = ",\n".join(steps)
+    heads = weights("speech_id", 5).replace("weights AS (", "weights AS MATERIALIZED (")
+    return f"""WITH {heads},
+{chain},
+u AS MATERIALIZED (
+  SELECT speech_id, sum(weight * a) AS a, sum(weight * b) AS b
+  FROM weights JOIN v{rounds} USING (term) GROUP BY ALL
+),
+g AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM u),
+top AS (SELECT *, (aa + bb) / 2 + sqrt((aa - bb) * (aa - bb) / 4 + ab * ab) AS l FROM g),
+loaded AS (
+  SELECT term, l, (ab * a + (l - aa) * b) / sqrt(ab * ab + (l - aa) * (l - aa)) AS v
+  FROM v{rounds}, top
+),
+signed AS (
+  SELECT term, l, v * (SELECT sign(arg_max(v, abs(v))) FROM loaded) AS v FROM loaded
+)
+SELECT CAST(row_number() OVER (ORDER BY round(v, 9) DESC, term) AS BIGINT) AS rank, term,
+       round(v, 6) AS loading, round(sqrt(l), 6) AS sigma
+FROM signed ORDER BY rank LIMIT {n}"""
+
+
+VECTORS = """points AS (
+  SELECT vec_id, CAST(label AS BIGINT) AS label, unnest(embedding)::DOUBLE AS x,
+         generate_subscripts(embedding, 1) AS pos
+  FROM embeddings
+),
+centroids AS (SELECT label, pos, avg(x) AS c FROM points GROUP BY ALL)"""
+
+EMBEDDED = "(SELECT s.*, label FROM speeches s JOIN embeddings ON vec_id = speech_id)"

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BOM = "﻿"
+BOM = "\ufeff"
+
+# Quotes are doubled inside quotes; blanks around values belong to them.
+CSV = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_report(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -14,31 +22,18 @@ def write_report(df: DataFrame, path: str, files: int | None = None) -> None:
     best pairs); by default every partition writes its own.
     """
     marked = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    if files is not None:
-        marked = marked.coalesce(files)
-    (
-        marked.write.mode("overwrite")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    write_csv(marked if files is None else marked.coalesce(files), path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write CSV with a header and doubled quotes, blanks kept."""
+    df.write.mode("overwrite").options(header=True, **CSV).csv(path)
 
 
 def read_report(df: DataFrame, path: str) -> DataFrame:
     """Read a report back with the schema of ``df``."""
-    return (
-        df.sparkSession.read.schema(df.schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    reader = df.sparkSession.read.schema(df.schema)
+    return reader.options(header=True, multiLine=True, **CSV).csv(path)
 
 
 def to_json_records(series: DataFrame) -> DataFrame:
