@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
@@ -20,6 +21,13 @@ from corpuscope.schema import SPEECH_ID, columns_with_prefix, require_columns
 _CHUNK = 1_024
 
 
+_PARALLEL_STARTS = 10
+
+
+def _inertia(model) -> float:
+    return model.summary.trainingCost
+
+
 @dataclass(frozen=True)
 class Clusters:
     """``assigned`` (the input with ``cluster_id``), the centroid of each id, and the inertia."""
@@ -45,11 +53,15 @@ def cluster_topics(
     require_columns(df, [column])
     vectors = df.select(array_to_vector(F.col(column)).alias("features"))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for start in range(n_init):
-        fit = KMeans(k=k, seed=seed + start, maxIter=max_iter).fit(vectors)
-        if best is None or fit.summary.trainingCost < best.summary.trainingCost:
-            best = fit
+    vectors.count()
+
+    def fit(start: int):
+        return KMeans(k=k, seed=seed + start, maxIter=max_iter).fit(vectors)
+
+    # The starts are independent jobs over the same kept vectors; run together they fill the
+    # cluster while each of them waits for its next iteration.
+    with ThreadPool(min(n_init, _PARALLEL_STARTS)) as pool:
+        best = min(pool.map(inheritable_thread_target(fit), range(n_init)), key=_inertia)
     sizes = best.summary.clusterSizes
     centroids = [[float(x) for x in center] for center in best.clusterCenters()]
     cost = float(best.summary.trainingCost)

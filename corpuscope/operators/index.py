@@ -8,7 +8,6 @@ concatenated.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,9 +15,11 @@ from corpuscope.functions.text import count_terms, tokens
 from corpuscope.runtime import written
 from corpuscope.schema import SPEECH_ID, require_columns
 
-# The most frequent terms are joined by broadcast, all others by shuffle. Both sides are bounded:
-# the broadcast has at most HOT_TERMS rows of short strings, and a term outside it holds at most
+# A vocabulary of at most this many bytes is joined by broadcast as a whole. Of a larger one only
+# the most frequent terms are, all others by shuffle. Both sides of that split are bounded: the
+# broadcast has at most HOT_TERMS rows of short strings, and a term outside it holds at most
 # 1 / HOT_TERMS of all postings, so no shuffle key is hot.
+BROADCAST_BYTES = 64 << 20
 HOT_TERMS = 10_000
 HOT_TERM_CHARS = 64
 
@@ -28,11 +29,15 @@ SHARD_ROWS = 100_000
 
 @dataclass(frozen=True)
 class Index:
-    """A searchable corpus: ``speeches`` (one row per kept speech), ``terms`` and ``weights``."""
+    """A searchable corpus: ``speeches`` (one row per kept speech), ``terms`` and ``weights``.
+
+    ``buckets`` is set for a stored index, see :mod:`corpuscope.sources.layout`.
+    """
 
     speeches: DataFrame
     terms: DataFrame
     weights: DataFrame
+    buckets: int | None = None
 
 
 def term_counts(clean: DataFrame, key: str) -> DataFrame:
@@ -79,35 +84,39 @@ def term_stats(counts: DataFrame, key: str, min_df: int = 1) -> DataFrame:
     return written(stats, "terms")
 
 
+def fits_broadcast(terms: DataFrame, row_bytes: int = 64) -> bool:
+    """Whether a (written) table of terms, with ``row_bytes`` beside each term, may be broadcast."""
+    size = terms.agg(
+        (F.count("*") * row_bytes + F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).alias("n")
+    )
+    return size.first()["n"] <= BROADCAST_BYTES
+
+
 def hottest(terms: DataFrame) -> DataFrame:
     """At most HOT_TERMS terms, the most frequent of those short enough to broadcast."""
     short = terms.filter(F.length("term") <= HOT_TERM_CHARS)
     return short.orderBy(F.desc("df"), "term").limit(HOT_TERMS)
 
 
-def join_terms(postings: DataFrame, terms: DataFrame) -> list[DataFrame]:
-    """Inner join on ``term`` in two disjoint parts: hot terms map-side, the rest by shuffle.
-
-    The first part keeps the partitioning of ``postings``. ``terms`` needs a ``df`` column.
-    """
+def join_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Inner join on ``term``, without a hot key; ``terms`` is a written table with ``df``."""
+    if fits_broadcast(terms):
+        return postings.join(F.broadcast(terms), "term")
     hot = hottest(terms)
     names = F.broadcast(hot.select("term"))
     rare_postings = postings.join(names, "term", "left_anti")
     rare_terms = terms.join(names, "term", "left_anti")
-    return [postings.join(F.broadcast(hot), "term"), rare_postings.join(rare_terms, "term")]
-
-
-def union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    frequent = postings.join(F.broadcast(hot), "term")
+    return frequent.unionByName(rare_postings.join(rare_terms, "term"))
 
 
-def raw_weights(counts: DataFrame, terms: DataFrame) -> list[DataFrame]:
-    """``(key, term, tf, df, idf, shards, raw)`` with ``raw = tf * idf``, in disjoint parts.
+def raw_weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(key, term, tf, df, idf, shards, raw)`` with ``raw = tf * idf``.
 
     The ranking inside one entity needs no norm, so keyword reports stop here.
     """
-    parts = join_terms(counts.filter(F.col("tf") > 0), terms)
-    return [part.withColumn("raw", F.col("tf") * F.col("idf")) for part in parts]
+    found = join_terms(counts.filter(F.col("tf") > 0), terms)
+    return found.withColumn("raw", F.col("tf") * F.col("idf"))
 
 
 def unit_weights(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
@@ -115,7 +124,7 @@ def unit_weights(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
 
     ``shard`` numbers the slices of a long posting list (see SHARD_ROWS).
     """
-    raw = union(raw_weights(counts, terms))
+    raw = raw_weights(counts, terms)
     norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     shard = F.pmod(F.xxhash64(F.col(key)), F.col("shards")).cast("int")
     weight = F.col("raw") / F.col("norm")

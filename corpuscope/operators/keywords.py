@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpuscope.functions.dates import year_of
 from corpuscope.functions.text import contains_all
-from corpuscope.operators.index import raw_weights, term_counts, term_stats, union
+from corpuscope.operators.index import raw_weights, term_counts, term_stats
 from corpuscope.runtime import top_per_group
 from corpuscope.schema import require_columns
 
@@ -38,7 +38,7 @@ def keywords_by(clean: DataFrame, key: str, n: int = 20, entity: str | None = No
     if key == "year" and key not in clean.columns:
         clean = with_year(clean)
     counts = term_counts(clean, key)
-    weighted = union(raw_weights(counts, term_stats(counts, key))).select(key, "term", "raw")
+    weighted = raw_weights(counts, term_stats(counts, key)).select(key, "term", "raw")
     bare = counts.filter(F.col("tf") == 0).select(
         key, F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("raw")
     )

@@ -1,4 +1,9 @@
-"""Ranked search: a whole table of queries against the index in one job."""
+"""Ranked search: a whole table of queries against the index at once.
+
+The small side of every join (query terms, query weights, matches) is written first. The planner
+then knows its size: it broadcasts a small one, which also prunes the buckets of a stored index,
+and shuffles a large one.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +14,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpuscope.functions.text import Stemmer, count_terms, snippet, tokens
 from corpuscope.operators.cleaning import clean_queries
 from corpuscope.operators.index import Index
-from corpuscope.runtime import top_per_group
+from corpuscope.runtime import top_per_group, written
 from corpuscope.schema import SPEECH_ID, require_columns
-from corpuscope.sources.layout import id_keys, term_keys
+from corpuscope.sources.layout import with_bucket
 
 _RECORD = ["member_name", "sitting_date", "political_party"]
 
@@ -22,13 +27,14 @@ def query_weights(index: Index, queries: DataFrame) -> DataFrame:
     Repeated words count; words outside the vocabulary are ignored, also in the norm.
     """
     counted = queries.select("query_id", F.inline(count_terms(tokens(F.col("clean_text")))))
-    counted, keys = term_keys(counted, index.terms)
+    counted, keys = with_bucket(written(counted, "query-terms"), ["term"], index.buckets)
     raw = counted.join(index.terms, keys).select(
         "query_id", "term", "shards", (F.col("tf") * F.col("idf")).alias("raw")
     )
     # A window over one query holds no more rows than that query has words.
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("query_id")))
-    return raw.select("query_id", "term", "shards", (F.col("raw") / length).alias("query_weight"))
+    weighted = raw.select("*", (F.col("raw") / length).alias("query_weight"))
+    return written(weighted.drop("raw"), "query-weights")
 
 
 def postings_of(index: Index, terms: DataFrame) -> DataFrame:
@@ -38,7 +44,7 @@ def postings_of(index: Index, terms: DataFrame) -> DataFrame:
     index only the buckets of the wanted terms are read.
     """
     wanted = terms.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    wanted, keys = term_keys(wanted.drop("shards"), index.weights)
+    wanted, keys = with_bucket(wanted.drop("shards"), ["term", "shard"], index.buckets)
     return wanted.join(index.weights, keys)
 
 
@@ -75,7 +81,7 @@ def search_page(scored: DataFrame, page: int, size: int = 20, min_score: float =
 def records(index: Index, matches: DataFrame) -> DataFrame:
     """Turn matches into result records; null fields become empty text."""
     require_columns(index.speeches, [SPEECH_ID, "speech", *_RECORD])
-    matches, keys = id_keys(matches, index.speeches)
+    matches, keys = with_bucket(written(matches, "matches"), [SPEECH_ID], index.buckets)
     found = matches.join(index.speeches, keys).na.fill("", ["speech", *_RECORD])
     return found.select(
         "query_id",

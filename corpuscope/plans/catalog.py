@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from corpuscope.functions import dates, text
 from corpuscope.functions.greek import greek_stem
@@ -14,8 +14,8 @@ from corpuscope.operators import cleaning, clusters, index as ix, keywords, samp
 from corpuscope.operators import sentiment as opinion, similarity, topics, trend
 from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import LEXICON, STOPS, speeches, table
-from corpuscope.runtime import scratch_path
-from corpuscope.schema import QUERIES, SPEECH_ID, WORDS
+from corpuscope.runtime import scratch_path, written
+from corpuscope.schema import QUERIES, SPEECH_ID, STEMS, WORDS
 from corpuscope.sources import dictionaries, indexes, reports, speeches as stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -56,8 +56,22 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_speeches(speeches(spark, sf_dir), STOPS)
 
 
+def built_index(spark: SparkSession, sf_dir: str) -> ix.Index:
+    """The index over the cleaned speeches, which are a written table as they are in use."""
+    return ix.build_index(written(clean(spark, sf_dir), "clean"))
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a relation whose size the planner knows."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def search_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEARCHES, QUERIES)
+    return literal_table(spark, SEARCHES, QUERIES)
 
 
 # --- text -------------------------------------------------------------------------------------
@@ -137,7 +151,7 @@ FROM (SELECT unnest({sql.tokenized('speech', 1)}) AS word FROM speeches)
 WHERE NOT list_contains({sql.sql_list(STOPS)}, word) GROUP BY ALL""")
 def stopwords_antijoin(spark, sf_dir):
     spoken = speeches(spark, sf_dir).select(F.explode(text.words(F.col("speech"))).alias("term"))
-    stops = spark.createDataFrame([(stop,) for stop in STOPS], "stem string")
+    stops = literal_table(spark, [(stop,) for stop in STOPS], STEMS)
     counted = spoken.groupBy("term").agg(F.count("*").alias("n"))
     return cleaning.remove_stopwords_join(counted, stops)
 
@@ -211,7 +225,7 @@ def accent_insensitive_filter(spark, sf_dir):
 
 @query(f"WITH {sql.scores(SEARCHES)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
 def search_ranked(spark, sf_dir):
-    built = ix.build_index(clean(spark, sf_dir))
+    built = built_index(spark, sf_dir)
     found = sr.search(built, search_table(spark), STOPS)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -219,7 +233,7 @@ def search_ranked(spark, sf_dir):
 @query(f"""WITH {sql.scores(SEARCHES)}{sql.RESULT}
 WHERE rank > 20 AND rank <= 40 AND score > 0.05""")
 def search_page_two(spark, sf_dir):
-    built = ix.build_index(clean(spark, sf_dir))
+    built = built_index(spark, sf_dir)
     asked = cleaning.clean_queries(search_table(spark), "query", STOPS)
     scored = sr.score_queries(built, sr.query_weights(built, asked))
     found = sr.records(built, sr.search_page(scored, page=2))
@@ -231,7 +245,7 @@ SELECT q.query_id, clean_text, count(m.speech_id) AS results
 FROM queries q LEFT JOIN (SELECT * FROM matches WHERE rank <= 10 AND score > 0.05) m USING (query_id)
 GROUP BY ALL""")
 def search_empty_and_unknown(spark, sf_dir):
-    built = ix.build_index(clean(spark, sf_dir))
+    built = built_index(spark, sf_dir)
     asked = cleaning.clean_queries(search_table(spark), "query", STOPS)
     scored = sr.score_queries(built, sr.query_weights(built, asked))
     best = sr.best_matches(scored).groupBy("query_id").agg(F.count("*").alias("results"))
@@ -242,7 +256,7 @@ def search_empty_and_unknown(spark, sf_dir):
 @query(f"""WITH {sql.scores(SEARCHES)}
 SELECT query_id, speech_id, round(score, 6) AS score FROM scored""")
 def search_scores(spark, sf_dir):
-    built = ix.build_index(clean(spark, sf_dir))
+    built = built_index(spark, sf_dir)
     asked = cleaning.clean_queries(search_table(spark), "query", STOPS)
     scored = sr.score_queries(built, sr.query_weights(built, asked))
     return scored.select("query_id", SPEECH_ID, F.round("score", 6).alias("score"))
@@ -266,8 +280,8 @@ FROM (SELECT * FROM known LEFT JOIN years ON found) k LEFT JOIN sums USING (word
 
 @query(_TREND)
 def term_trend(spark, sf_dir):
-    built = ix.build_index(clean(spark, sf_dir))
-    words = spark.createDataFrame(TRENDS, WORDS)
+    built = built_index(spark, sf_dir)
+    words = literal_table(spark, TRENDS, WORDS)
     series = trend.term_trend(built, words, STOPS)
     return series.select(
         "word_id",
@@ -505,7 +519,7 @@ def clean_roundtrip(spark, sf_dir):
 @query(f"WITH {sql.scores(SEARCHES)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
 def index_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "index")
-    indexes.save_index(ix.build_index(clean(spark, sf_dir)), path)
+    indexes.save_index(built_index(spark, sf_dir), path)
     found = sr.search(indexes.load_index(spark, path), search_table(spark), STOPS)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 

@@ -8,28 +8,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpuscope.schema import SPEECH_ID
-
 BUCKET = "bucket"
-BUCKETS = 64
 
 
-def bucket_of(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _with_bucket(df: DataFrame, stored: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    if BUCKET not in stored.columns:
+def with_bucket(
+    df: DataFrame, keys: list[str], buckets: int | None
+) -> tuple[DataFrame, list[str]]:
+    """``df`` ready to join a table stored in ``buckets`` (None: not stored) and the join keys."""
+    if buckets is None:
         return df, keys
-    return df.withColumn(BUCKET, bucket_of(*keys)), [BUCKET, *keys]
-
-
-def term_keys(df: DataFrame, stored: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``df`` ready to join ``stored`` by term (and shard, where it has one), and the keys."""
-    keys = ["term", "shard"] if "shard" in stored.columns else ["term"]
-    return _with_bucket(df, stored, keys)
-
-
-def id_keys(df: DataFrame, stored: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``df`` ready to join ``stored`` by speech id, and the keys."""
-    return _with_bucket(df.drop(BUCKET), stored, [SPEECH_ID])
+    return df.withColumn(BUCKET, bucket_of(keys, buckets)), [BUCKET, *keys]
+
+
+def write_buckets(
+    df: DataFrame, keys: list[str], order: list[str], buckets: int, path: str
+) -> None:
+    """Write ``df`` partitioned by the bucket of ``keys``, each file sorted by ``order``.
+
+    Each bucket is cut into as many slices as it takes to occupy all shuffle partitions, so
+    a large bucket is not the work of one task and has several files.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = -(-partitions // buckets)
+    piece = F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(slices))
+    placed = df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET, piece)
+    ordered = placed.sortWithinPartitions(BUCKET, *order)
+    ordered.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
