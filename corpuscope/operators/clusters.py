@@ -61,7 +61,7 @@ def cluster_topics(
     # The starts are independent jobs over the same kept vectors; run together they fill the
     # cluster while each of them waits for its next iteration.
     with ThreadPool(min(n_init, _PARALLEL_STARTS)) as pool:
-        best = min(pool.map(inheritable_thread_target(fit), range(n_init)), key=_inertia)
+        best = min(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(n_init)), key=_inertia)
     sizes = best.summary.clusterSizes
     centroids = [[float(x) for x in center] for center in best.clusterCenters()]
     cost = float(best.summary.trainingCost)
@@ -195,4 +195,6 @@ def cluster_speeches(df: DataFrame, cluster_id: int, order_by: str = SPEECH_ID)
 def write_cluster_speeches(blocks: DataFrame, path: str) -> None:
     """Write the blocks as text, in order over the files and within each."""
     ranged = blocks.repartitionByRange("index").sortWithinPartitions("index")
-    ranged.select("block").write.mode("overwrite").option("lineSep", "").text(path)
+    # The writer ends each block with the newline that is cut off here.
+    lines = ranged.select(F.regexp_replace("block", r"\n\z", "").alias("block"))
+    lines.write.mode("overwrite").text(path)

@@ -20,12 +20,16 @@ SEED_DF = 32
 _SLACK = 1e-8
 
 
-def _term_pairs(postings: DataFrame) -> DataFrame:
+def _term_pairs(postings: DataFrame, entities: int) -> DataFrame:
     """Sum of weight products by pair ``a < b`` over ``postings(entity, term, df, weight, ...)``.
 
     The postings of a frequent term are cut into blocks, and each pair of blocks is its own join
     key, so no task compares more than two blocks of one term. ``rest`` and ``cut`` ride along.
     """
+    if entities <= BLOCK_ROWS:
+        a, b = postings.alias("a"), postings.alias("b")
+        same = (F.col("a.term") == F.col("b.term")) & (F.col("a.entity") < F.col("b.entity"))
+        return _sums(a.join(b, same))
     blocks = F.ceil(F.col("df") / BLOCK_ROWS)
     block = F.pmod(F.xxhash64("entity"), blocks)
     cells = postings.withColumn("block", block).withColumn(
@@ -52,6 +56,10 @@ def _term_pairs(postings: DataFrame) -> DataFrame:
         & (F.col("a.entity") < F.col("b.entity"))
         & once,
     )
+    return _sums(joined)
+
+
+def _sums(joined: DataFrame) -> DataFrame:
     return joined.groupBy(F.col("a.entity").alias("a"), F.col("b.entity").alias("b")).agg(
         F.sum(F.col("a.weight") * F.col("b.weight")).alias("partial"),
         F.max(F.greatest("a.rest", "b.rest")).alias("rest"),
@@ -101,7 +109,7 @@ def _banded(weights: DataFrame, key: str) -> DataFrame:
     return weights.select(F.col(key).alias("entity"), "term", "df", "weight", band.alias("band"))
 
 
-def _pairs_above(weights: DataFrame, min_sim: float) -> DataFrame:
+def _pairs_above(weights: DataFrame, min_sim: float, entities: int) -> DataFrame:
     """All pairs ``(a, b, similarity)`` with ``a < b`` above ``min_sim`` (exact).
 
     Order the terms by band. Let S be the light tail of the entity whose tail starts lower. A
@@ -111,19 +119,21 @@ def _pairs_above(weights: DataFrame, min_sim: float) -> DataFrame:
     """
     tails = _light_tails(weights, min_sim)
     below = weights.join(tails, "entity").filter(F.col("band") < F.col("cut"))
-    partial = _term_pairs(below)
+    below = below.select("entity", "term", "df", "weight", "rest", "cut")
+    partial = _term_pairs(below, entities)
     candidates = partial.filter(F.col("partial") + F.col("rest") > min_sim - _SLACK)
     return _complete(candidates, weights).filter(F.col("similarity") > min_sim)
 
 
-def _seed_threshold(weights: DataFrame, min_sim: float, limit: int) -> float:
+def _seed_threshold(weights: DataFrame, min_sim: float, limit: int, entities: int) -> float:
     """A similarity that at least ``limit`` pairs reach, found among pairs that share rare terms.
 
     Any such value is a valid lower bound for the pairs in the answer, so it only saves work.
     """
     rare = weights.filter((F.col("df") > 1) & (F.col("df") <= SEED_DF))
     # Without tails the whole vector has to be completed from band 0 up.
-    seeds = _term_pairs(rare.withColumn("rest", F.lit(1.0)).withColumn("cut", F.lit(0)))
+    rare = rare.withColumn("rest", F.lit(1.0)).withColumn("cut", F.lit(0))
+    seeds = _term_pairs(rare, entities)
     seeds = seeds.orderBy(F.desc("partial"), "a", "b").limit(4 * limit)
     exact = _complete(seeds.withColumn("partial", F.lit(0.0)), weights)
     best = exact.orderBy(F.desc("similarity")).limit(limit)
@@ -142,12 +152,13 @@ def pair_similarities(
     names. All of it is exact.
     """
     banded = written(_banded(weights, key), "pair-weights")
+    entities = banded.select("entity").distinct().count()
     if limit is None:
-        return _pairs_above(banded, min_sim)
+        return _pairs_above(banded, min_sim, entities)
     threshold = min_sim
-    if banded.select("entity").distinct().count() > FEW_ENTITIES:
-        threshold = _seed_threshold(banded, min_sim, limit)
-    pairs = _pairs_above(banded, threshold)
+    if entities > FEW_ENTITIES:
+        threshold = _seed_threshold(banded, min_sim, limit, entities)
+    pairs = _pairs_above(banded, threshold, entities)
     return pairs.orderBy(F.round("similarity", 9).desc(), "a", "b").limit(limit)
 
 

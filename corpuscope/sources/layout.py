@@ -21,7 +21,9 @@ def with_bucket(
     """``df`` ready to join a table stored in ``buckets`` (None: not stored) and the join keys."""
     if buckets is None:
         return df, keys
-    return df.withColumn(BUCKET, bucket_of(keys, buckets)), [BUCKET, *keys]
+    # Every bucket passes the filter; without one Spark does not expect pruning to pay off.
+    asked = df.withColumn(BUCKET, bucket_of(keys, buckets)).filter(F.col(BUCKET) >= 0)
+    return asked, [BUCKET, *keys]
 
 
 def write_buckets(

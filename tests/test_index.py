@@ -1,0 +1,149 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpuscope.operators import index as ix, keywords
+from corpuscope.operators.cleaning import (
+    apply_stems,
+    build_stopwords,
+    clean_queries,
+    clean_speeches,
+    remove_stopwords_join,
+    stem_vocabulary,
+)
+from corpuscope.schema import require_columns
+
+ROWS = [
+    (1, "ann", "red", "1/1/2000", "aa bb bb cc"),
+    (2, "ann", "red", "2/1/2000", "aa cc dd"),
+    (3, "bob", "blue", "bad date", "aa bb ee ee ee"),
+    (4, "bob", None, "3/1/2001", "aa ff"),
+    (5, "cid", "green", "4/1/2001", "x y z"),  # no token of two characters
+    (6, None, "red", "4/1/2001", "aa gg aa"),
+]
+NAMES = ["speech_id", "member_name", "political_party", "sitting_date", "clean_text"]
+
+
+@pytest.fixture(scope="module")
+def clean(spark):
+    return spark.createDataFrame(ROWS, NAMES)
+
+
+def brute(key: str, min_df: int = 1) -> dict[tuple, float]:
+    bags: dict = {}
+    for row in ROWS:
+        entity = row[NAMES.index(key)]
+        if entity is not None:
+            words = [w for w in row[4].split() if len(w) > 1]
+            bags.setdefault(entity, Counter()).update(words)
+    df = Counter(term for bag in bags.values() for term in bag)
+    idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in df.items() if n >= min_df}
+    weights = {}
+    for entity, bag in bags.items():
+        raw = {t: n * idf[t] for t, n in bag.items() if t in idf}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        weights.update({(entity, t): x / norm for t, x in raw.items()})
+    return weights
+
+
+def found(df, key: str) -> dict[tuple, float]:
+    return {(r[key], r["term"]): r["weight"] for r in df.collect()}
+
+
+@pytest.mark.parametrize("key", ["speech_id", "member_name", "political_party"])
+@pytest.mark.parametrize("min_df", [1, 2])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_tfidf(clean, monkeypatch, key, min_df, broadcast):
+    if not broadcast:  # the two most frequent terms by broadcast, the others by shuffle
+        monkeypatch.setattr(ix, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(ix, "HOT_TERMS", 2)
+    assert found(ix.tfidf(clean, key, min_df), key) == pytest.approx(brute(key, min_df))
+
+
+def test_long_terms_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ix, "BROADCAST_BYTES", 0)
+    long = "l" * 100
+    rows = [(i, f"{long} w{i}") for i in range(6)]
+    weights = ix.tfidf(spark.createDataFrame(rows, ["speech_id", "clean_text"]), "speech_id")
+    assert weights.filter(F.length("term") == 100).count() == 6
+
+
+def test_partitioning_does_not_matter(clean):
+    once = found(ix.tfidf(clean.repartition(1), "member_name"), "member_name")
+    again = found(ix.tfidf(clean.orderBy(F.desc("speech_id")).repartition(7), "member_name"), "member_name")
+    assert once == pytest.approx(again)
+
+
+def test_shards_split_long_posting_lists(clean, monkeypatch):
+    monkeypatch.setattr(ix, "SHARD_ROWS", 2)
+    shards = ix.tfidf(clean, "speech_id").filter("term = 'aa'").select("shard").distinct()
+    assert 1 < shards.count() <= 3
+
+
+def test_entities_without_terms_keep_an_empty_row(clean):
+    report = {r[0]: r[1] for r in keywords.keywords_by(clean, "member_name", n=2).collect()}
+    assert report["cid"] == ""
+    assert report["bob"] == "ee, aa"
+    assert set(report) == {"ann", "bob", "cid"}
+
+
+def test_keywords_by_year_leaves_bad_dates_out(clean):
+    report = {r[0]: r[1] for r in keywords.keywords_by(clean, "year").collect()}
+    assert set(report) == {2000, 2001}
+    assert "ee" not in " ".join(report.values())
+
+
+def test_keywords_of_one_entity_use_all_frequencies(clean):
+    whole = {r[0]: r[1] for r in keywords.keywords_by(clean, "member_name").collect()}
+    one = keywords.keywords_by(clean, "member_name", entity="ann").collect()
+    assert [tuple(r) for r in one] == [("ann", whole["ann"])]
+
+
+def test_large_top_n_is_cut_in_slices(spark):
+    rows = [("e", f"t{i:05d}", float(i)) for i in range(3000)]
+    weights = spark.createDataFrame(rows, ["entity", "term", "weight"])
+    best = keywords.top_terms(weights, "entity", n=1500).first()["top_keywords"].split(", ")
+    assert best == [f"t{i:05d}" for i in range(2999, 1499, -1)]
+
+
+def test_ties_rank_by_term(spark):
+    weights = spark.createDataFrame([("e", t, 1.0) for t in "cab"], ["entity", "term", "weight"])
+    assert keywords.top_terms(weights, "entity", n=2).first()["top_keywords"] == "a, b"
+
+
+def test_missing_columns_fail_early(clean):
+    with pytest.raises(ValueError, match="nothing"):
+        require_columns(clean, ["nothing"])
+    with pytest.raises(ValueError, match="speech"):
+        clean_speeches(clean)
+
+
+def test_fifty_characters_are_enough(spark):
+    rows = [(1, "a" * 49), (2, "a" * 50), (3, ""), (4, None), (5, "!" * 80 + "b" * 50)]
+    kept = clean_speeches(spark.createDataFrame(rows, "speech_id long, speech string"))
+    assert sorted(r["speech_id"] for r in kept.collect()) == [2, 5]
+
+
+def test_clean_queries_drop_single_characters(spark):
+    asked = spark.createDataFrame([(1, "a bc, the D ef"), (2, None), (3, "the")], "q long, query string")
+    cleaned = clean_queries(asked, "query", ["the"]).orderBy("q").collect()
+    assert [r["clean_text"] for r in cleaned] == ["bc ef", "", ""]
+
+
+def test_stems_by_vocabulary(spark):
+    def stemmer(word):
+        return F.when(word != "BAD", F.regexp_replace(word, "S$", ""))
+
+    tokens = spark.createDataFrame([("cats", 2), ("cat", 1), ("bad", 5)], ["term", "n"])
+    stems = stem_vocabulary(tokens, stemmer)
+    merged = apply_stems(tokens, stems).groupBy("term").agg(F.sum("n").alias("n")).collect()
+    assert [tuple(r) for r in merged] == [("cat", 3)]
+    words = tokens.withColumnRenamed("term", "word")
+    assert [r["stem"] for r in build_stopwords(words, stemmer).collect()] == ["cat"]
+    stops = spark.createDataFrame([("cat",)], ["stem"])
+    left = remove_stopwords_join(tokens, stops).collect()
+    assert sorted(r["term"] for r in left) == ["bad", "cats"]
