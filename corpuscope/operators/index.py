@@ -133,18 +133,21 @@ def unit_weights(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     )
 
 
-def tfidf(clean: DataFrame, key: str, min_df: int = 1) -> DataFrame:
+def tfidf(
+    clean: DataFrame, key: str, min_df: int = 1, counts: DataFrame | None = None
+) -> DataFrame:
     """TF-IDF weights of every entity, see :func:`unit_weights`.
 
-    Terms in fewer than ``min_df`` entities are left out before the norm is taken.
+    Terms in fewer than ``min_df`` entities are left out before the norm is taken. ``counts``
+    saves counting again what :func:`term_counts` gave for the same key.
     """
-    counts = term_counts(clean, key)
+    counts = counts if counts is not None else term_counts(clean, key)
     return unit_weights(counts, term_stats(counts, key, min_df), key)
 
 
-def build_index(clean: DataFrame) -> Index:
+def build_index(clean: DataFrame, counts: DataFrame | None = None) -> Index:
     """The index that searches and trends run on, with a speech as the entity."""
-    counts = term_counts(clean, SPEECH_ID)
+    counts = counts if counts is not None else term_counts(clean, SPEECH_ID)
     terms = term_stats(counts, SPEECH_ID)
     weights = unit_weights(counts, terms, SPEECH_ID).select(
         SPEECH_ID, "term", "shard", "tf", "weight"

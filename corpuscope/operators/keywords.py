@@ -29,15 +29,21 @@ def with_year(clean: DataFrame) -> DataFrame:
     return clean.withColumn("year", year_of(F.col("sitting_date")))
 
 
-def keywords_by(clean: DataFrame, key: str, n: int = 20, entity: str | None = None) -> DataFrame:
+def keywords_by(
+    clean: DataFrame,
+    key: str,
+    n: int = 20,
+    entity: str | None = None,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """The keyword report by ``speech_id``, ``political_party``, ``member_name``, ``year``, ...
 
     Entities without any term keep a row with empty keywords. ``entity`` selects one of them;
-    frequencies are those of the whole corpus all the same.
+    frequencies are those of the whole corpus all the same. ``counts`` saves counting again.
     """
     if key == "year" and key not in clean.columns:
         clean = with_year(clean)
-    counts = term_counts(clean, key)
+    counts = counts if counts is not None else term_counts(clean, key)
     weighted = raw_weights(counts, term_stats(counts, key)).select(key, "term", "raw")
     bare = counts.filter(F.col("tf") == 0).select(
         key, F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("raw")

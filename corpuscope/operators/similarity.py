@@ -163,7 +163,11 @@ def pair_similarities(
 
 
 def similar_pairs(
-    clean: DataFrame, key: str = "member_name", min_sim: float = 0.1, limit: int | None = 100
+    clean: DataFrame,
+    key: str = "member_name",
+    min_sim: float = 0.1,
+    limit: int | None = 100,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The most similar entities by the cosine of their TF-IDF vectors."""
-    return pair_similarities(tfidf(clean, key), key, min_sim, limit)
+    return pair_similarities(tfidf(clean, key, counts=counts), key, min_sim, limit)

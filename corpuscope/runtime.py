@@ -56,6 +56,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key)
 
 
+def partitions_for(spark: SparkSession, rows: int, rows_each: int = 1_000_000) -> int:
+    """How many partitions suit so many rows: one per core at least, the configured number at most."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-rows // rows_each)))
+
+
 # Spark prunes ``row_number() <= n`` ahead of the shuffle up to this n
 # (spark.sql.optimizer.windowGroupLimitThreshold); above it the groups are cut into slices first.
 _PRUNED_LIMIT = 1000
