@@ -49,6 +49,7 @@ SEARCHES = [
     (6, "ing ou eraux"),
     (7, "Zzzz erandre RE an"),
 ]
+ASKED = sql.values(SEARCHES, "query_id, query")
 TRENDS = [(1, "an"), (2, "enaux"), (3, "zzzz"), (4, "re zzzz"), (5, ""), (6, "The and")]
 
 
@@ -223,14 +224,25 @@ def accent_insensitive_filter(spark, sf_dir):
 # --- search and trend -------------------------------------------------------------------------
 
 
-@query(f"WITH {sql.scores(SEARCHES)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
+@query(f"WITH {sql.scores(ASKED)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
 def search_ranked(spark, sf_dir):
     built = built_index(spark, sf_dir)
     found = sr.search(built, search_table(spark), STOPS)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query(f"""WITH {sql.scores(SEARCHES)}{sql.RESULT}
+@query(f"""WITH {sql.scores("(SELECT item_id AS query_id, text AS query FROM benchmark)")}
+SELECT query_id, CAST(rank AS BIGINT) AS rank, speech_id, round_even(score, 4) AS score
+FROM matches WHERE rank <= 10 AND score > 0.05""")
+def search_benchmark(spark, sf_dir):
+    """A table of queries: every text of ``benchmark``."""
+    built = built_index(spark, sf_dir)
+    asked = table(spark, sf_dir, "benchmark").selectExpr("item_id AS query_id", "text AS query")
+    found = sr.search(built, asked, STOPS)
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), SPEECH_ID, "score")
+
+
+@query(f"""WITH {sql.scores(ASKED)}{sql.RESULT}
 WHERE rank > 20 AND rank <= 40 AND score > 0.05""")
 def search_page_two(spark, sf_dir):
     built = built_index(spark, sf_dir)
@@ -240,7 +252,7 @@ def search_page_two(spark, sf_dir):
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query(f"""WITH {sql.scores(SEARCHES)}
+@query(f"""WITH {sql.scores(ASKED)}
 SELECT q.query_id, clean_text, count(m.speech_id) AS results
 FROM queries q LEFT JOIN (SELECT * FROM matches WHERE rank <= 10 AND score > 0.05) m USING (query_id)
 GROUP BY ALL""")
@@ -253,7 +265,7 @@ def search_empty_and_unknown(spark, sf_dir):
     return joined.select("query_id", "clean_text", "results")
 
 
-@query(f"""WITH {sql.scores(SEARCHES)}
+@query(f"""WITH {sql.scores(ASKED)}
 SELECT query_id, speech_id, round(score, 6) AS score FROM scored""")
 def search_scores(spark, sf_dir):
     built = built_index(spark, sf_dir)
@@ -516,7 +528,7 @@ def clean_roundtrip(spark, sf_dir):
     return back.select(SPEECH_ID, "member_name", "sitting_date", "speech", "clean_text")
 
 
-@query(f"WITH {sql.scores(SEARCHES)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
+@query(f"WITH {sql.scores(ASKED)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
 def index_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "index")
     indexes.save_index(built_index(spark, sf_dir), path)

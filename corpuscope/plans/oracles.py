@@ -91,12 +91,12 @@ def values(rows, columns: str) -> str:
     return f"(SELECT * REPLACE (CAST({key} AS BIGINT) AS {key}) FROM (VALUES {body}) AS t({columns}))"
 
 
-def scores(queries) -> str:
-    """CTEs ending in ``scored(query_id, speech_id, score)``."""
+def scores(queries: str) -> str:
+    """CTEs ending in ``matches`` for the relation ``queries(query_id, query)``."""
     return f"""{weights('speech_id')},
 queries AS (
   SELECT query_id, coalesce({cleaned('query', 2)}, '') AS clean_text
-  FROM {values(queries, 'query_id, query')}
+  FROM {queries}
 ),
 query_counts AS (
   SELECT query_id, term, count(*) AS tf

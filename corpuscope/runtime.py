@@ -25,8 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody has used yet.
+
+    All paths of an application lie in one folder named after it, to be removed when it is done.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

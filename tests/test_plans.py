@@ -1,0 +1,97 @@
+"""What the plans look like, and what skewed input does to results."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from corpuscope.functions.greek import greek_stem
+from corpuscope.operators import index as ix, keywords, sentiment, similarity
+from corpuscope.operators.cleaning import clean_speeches
+from corpuscope.plans.views import LEXICON, STOPS, speeches
+from corpuscope.runtime import scratch_path
+from corpuscope.sources.speeches import read_clean, write_clean
+
+SMALL = "/root/testdata/sf0.001"
+PYTHON = re.compile("EvalPython|MapInArrow|MapInPandas|FlatMapGroups")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - {"topic_clusters"}))
+def test_no_query_pairs_all_rows(spark, name):
+    plan = plan_of(contract.queries()[name](spark, SMALL))
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["text_steps", "tokenizers", "sentiment_scores", "parse_dates"])
+def test_text_stays_in_the_jvm(spark, name):
+    assert not PYTHON.search(plan_of(contract.queries()[name](spark, SMALL)))
+
+
+def test_cleaning_and_stemming_stay_in_the_jvm(spark):
+    plan = plan_of(clean_speeches(speeches(spark, SMALL), STOPS, greek_stem))
+    assert not PYTHON.search(plan)
+    assert plan.count("upper(") == 1  # the cleaned text is computed once
+
+
+def test_counting_terms_of_speeches_needs_no_shuffle(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(ix, "written", lambda df, name: seen.setdefault(name, df))
+    clean = spark.range(100).selectExpr("id AS speech_id", "'aa bb aa' AS clean_text")
+    ix.term_counts(clean, "speech_id")
+    assert "Exchange" not in plan_of(seen["term-counts"])
+
+
+def test_only_needed_columns_are_read(spark):
+    path = scratch_path(spark, "test-clean")
+    write_clean(clean_speeches(speeches(spark, SMALL), STOPS), path, buckets=2)
+    series = sentiment.sentiment_by_year(read_clean(spark, path), LEXICON)
+    (schema,) = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(series)))
+    assert set(schema.split(",")) == {"sitting_date:string", "speech:string"}
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Copies of one speech, by one member of one party, are well over a third of all rows."""
+    copies = [(i, "ann", "red", "same words in every copy") for i in range(400)]
+    others = [(400 + i, f"m{i % 40}", f"p{i % 7}", f"other w{i % 50} words x{i}") for i in range(500)]
+    names = ["speech_id", "member_name", "political_party", "clean_text"]
+    return spark.createDataFrame(copies + others, names).repartition(6)
+
+
+def test_hot_groups_keep_whole_results(spark, skewed, monkeypatch):
+    monkeypatch.setattr(ix, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(ix, "HOT_TERMS", 4)
+    monkeypatch.setattr(ix, "SHARD_ROWS", 50)
+    rows = skewed.collect()
+    wanted = Counter()
+    for row in rows:
+        wanted.update((row["political_party"], term) for term in row["clean_text"].split())
+    counts = ix.term_counts(skewed, "political_party").collect()
+    assert {(r["political_party"], r["term"]): r["tf"] for r in counts} == dict(wanted)
+
+    weights = ix.tfidf(skewed, "speech_id")
+    assert weights.count() == sum(len(set(r["clean_text"].split())) for r in rows)
+    norms = weights.groupBy("speech_id").agg(F.sum(F.col("weight") ** 2).alias("n"))
+    assert norms.filter(F.abs(F.col("n") - 1) > 1e-9).count() == 0
+    assert norms.count() == len(rows)
+    largest = weights.filter("term = 'words'").groupBy("shard").count().agg(F.max("count")).first()
+    assert largest[0] < 150
+
+    report = keywords.keywords_by(skewed, "member_name", n=3)
+    assert report.count() == 41
+
+
+def test_copies_are_all_paired(spark, skewed, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(similarity, "FEW_ENTITIES", 10)
+    few = skewed.filter("speech_id >= 340 AND speech_id < 460")
+    pairs = similarity.similar_pairs(few, "speech_id", min_sim=0.99, limit=None)
+    assert pairs.count() == 60 * 59 // 2
