@@ -15,7 +15,7 @@ from corpuscope.operators import sentiment as opinion, similarity, topics, trend
 from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import LEXICON, STOPS, speeches, table
 from corpuscope.runtime import scratch_path, written
-from corpuscope.schema import QUERIES, SPEECH_ID, STEMS, WORDS
+from corpuscope.schema import QUERIES, SPEECH_COLUMNS, SPEECH_ID, STEMS, WORDS
 from corpuscope.sources import dictionaries, indexes, reports, speeches as stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -516,7 +516,7 @@ def csv_roundtrip(spark, sf_dir):
     columns = ["sitting_date", "member_name", "political_party", "speech"]
     raw = speeches(spark, sf_dir).select(*columns)
     reports.write_csv(raw, path)
-    return stored.read_speeches(spark, path).select(*columns)
+    return stored.read_speeches(spark, path, schema=SPEECH_COLUMNS).select(*columns)
 
 
 @query(f"""WITH {sql.CLEAN}

@@ -25,6 +25,26 @@ def test_csv_traps(spark, tmp_path):
     assert len({r[0] for r in got}) == 3
 
 
+def test_further_columns_pass_through(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(
+        "\ufeffrecord,sitting_date,member_name,roles,political_party,speech\n"
+        '7,1/2/2020,Ann,"chair, speaker",red,Hello\n',
+        encoding="utf-8",
+    )
+    df = stored.read_speeches(spark, str(tmp_path / "in.csv"))
+    assert df.columns[1:] == "record sitting_date member_name roles political_party speech".split()
+    assert tuple(df.first())[1:] == ("7", "1/2/2020", "Ann", "chair, speaker", "red", "Hello")
+    df.write.parquet(str(tmp_path / "table"))
+    again = stored.read_speeches(spark, str(tmp_path / "table"), fmt="parquet")
+    assert again.collect() == df.collect()
+
+
+def test_a_file_without_speeches_is_refused(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n1,2\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="speech"):
+        stored.read_speeches(spark, str(tmp_path / "in.csv"))
+
+
 def test_report_starts_with_byte_order_mark(spark, tmp_path):
     report = spark.createDataFrame([("α", 'x, "y"')], ["party", "top_keywords"])
     reports.write_report(report, str(tmp_path / "out"), files=1)
