@@ -75,6 +75,8 @@ def search_table(spark: SparkSession) -> DataFrame:
     return literal_table(spark, SEARCHES, QUERIES)
 
 
+# Rounding a small negative number gives 0.0 in Spark and -0.0 in DuckDB: hence ``+ 0.0`` below.
+
 # --- text -------------------------------------------------------------------------------------
 
 
@@ -331,7 +333,7 @@ def sentiment_scores(spark, sf_dir):
 
 
 @query(f"""WITH {sql.CLEAN}, {sql.sentiments('clean')}
-SELECT CAST({sql.YEAR} AS BIGINT) AS year, round_even(avg(value), 4) AS sentiment
+SELECT CAST({sql.YEAR} AS BIGINT) AS year, round_even(avg(value), 4) + 0.0 AS sentiment
 FROM scores WHERE {sql.YEAR} IS NOT NULL GROUP BY ALL""")
 def sentiment_by_year(spark, sf_dir):
     series = opinion.sentiment_by_year(clean(spark, sf_dir), LEXICON)
@@ -434,7 +436,7 @@ def assign_clusters(spark, sf_dir):
 
 @query(f"""WITH {sql.VECTORS}
 SELECT label AS cluster_id, {", ".join(
-    f"round(max(c) FILTER (pos = {i}), 6) AS Topic_{i}" for i in range(1, DIMS + 1))}
+    f"round(max(c) FILTER (pos = {i}), 6) + 0.0 AS Topic_{i}" for i in range(1, DIMS + 1))}
 FROM centroids GROUP BY ALL""")
 def cluster_topic_means(spark, sf_dir):
     means = clusters.cluster_topic_means(label_clusters(spark, sf_dir), dims=DIMS)
@@ -492,7 +494,8 @@ def cluster_speeches(spark, sf_dir):
 
 @query(f"""WITH {sql.SPEECHES_SQL}
 SELECT speech_id, member_name, CAST(label AS BIGINT) AS cluster_id,
-       round(embedding[1]::DOUBLE, 6) AS first, round(embedding[64]::DOUBLE, 6) AS last
+       round(embedding[1]::DOUBLE, 6) + 0.0 AS first,
+       round(embedding[64]::DOUBLE, 6) + 0.0 AS last
 FROM speeches JOIN embeddings ON vec_id = speech_id""")
 def attach_topics(spark, sf_dir):
     wide = topics.widen(embedded_speeches(spark, sf_dir))
@@ -546,7 +549,7 @@ def report_roundtrip(spark, sf_dir):
 
 @query(f"""WITH {sql.CLEAN}, {sql.sentiments('clean')},
 series AS (
-  SELECT CAST({sql.YEAR} AS BIGINT) AS year, round_even(avg(value), 4) AS sentiment
+  SELECT CAST({sql.YEAR} AS BIGINT) AS year, round_even(avg(value), 4) + 0.0 AS sentiment
   FROM scores WHERE {sql.YEAR} IS NOT NULL GROUP BY ALL
 )
 SELECT year, sentiment FROM series""")
