@@ -20,7 +20,7 @@ from corpuscope.schema import SPEECH_ID, columns_with_prefix, require_columns
 # Centroids per pass of the assignment; a task holds no more of them at once.
 _CHUNK = 1_024
 
-
+# K-Means starts that run at the same time.
 _PARALLEL_STARTS = 10
 
 
