@@ -22,8 +22,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-WORDS_PER_BATCH = 300_000
-TOKENS_PER_BATCH = 4_000_000
+WORDS_PER_BATCH = 150_000
+TOKENS_PER_BATCH = 1_500_000
 
 Split = Callable[[str], list]
 
