@@ -32,8 +32,9 @@ from corpuscope.runtime import written
 EM_PASSES = 2
 #: Pseudo-counts, spread over the pieces as their first weights are.
 SMOOTHING = 1000.0
-#: Shares of the pieces' paths that are tried.
-SHARES = (0.5, 0.3, 0.2, 0.1, 0.05, 0.03, 0.02, 0.01, 0.005, 0.002, 0.001, 0.0001)
+#: Shares of the pieces' paths, and constants added to a word's count, of which the best pair is taken.
+SHARES = (0.3, 0.1, 0.03, 0.01, 0.003, 0.001, 0.0001)
+ADDED = (0.1, 0.3, 1.0, 3.0, 10.0)
 #: First weight of a byte that no piece covers, against 1 for all pieces together.
 BYTE_WEIGHT = 1e-5
 _MARK = "▁"
@@ -226,25 +227,28 @@ def fit_pieces(word_counts: DataFrame, vocabulary: str, passes: int = EM_PASSES)
     return weights
 
 
-def fit_share(word_counts: DataFrame, vocabulary: str, weights: np.ndarray, tokens: int, kinds: int) -> float:
-    """The share of the pieces' paths under which the training words, each left out once, are likeliest.
+def fit_mixture(word_counts: DataFrame, vocabulary: str, weights: np.ndarray, tokens: int, kinds: int) -> tuple[float, float]:
+    """Share of the pieces' paths and constant added to counts that make the training words likeliest,
+    each occurrence scored as if it had been left out.
 
-    One pass adds up a dozen sums over all distinct words.
+    One pass adds up a few dozen sums over all distinct words.
     """
+    pairs = [(share, added) for share in SHARES for added in ADDED]
 
     def likelihoods(tables):
-        total = np.zeros(len(SHARES))
+        total = np.zeros(len(pairs))
         for table in tables:
             lattice = _lattice(vocabulary, weights, "fitted")
             for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist()):
                 paths = np.exp(lattice.log_probability(words))
                 counts = np.asarray(counts, float)
-                without = (counts - 1 + 0.1) / (tokens - 1 + 0.1 * (kinds + 1))
-                total += [(counts * np.log((1 - g) * without + g * paths)).sum() for g in SHARES]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(SHARES)), pa.int32()), pa.array(total, pa.float64())], ["share", "total"])
+                for i, (share, added) in enumerate(pairs):
+                    without = (counts - 1 + added) / (tokens - 1 + added * (kinds + 1))
+                    total[i] += (counts * np.log((1 - share) * without + share * paths)).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(pairs)), pa.int32()), pa.array(total, pa.float64())], ["pair", "total"])
 
-    rows = word_counts.mapInArrow(likelihoods, "share int, total double").groupBy("share").agg(F.sum("total"))
-    return SHARES[max(rows.collect(), key=lambda r: (r[1], -r[0]))[0]]
+    rows = word_counts.mapInArrow(likelihoods, "pair int, total double").groupBy("pair").agg(F.sum("total"))
+    return pairs[max(rows.collect(), key=lambda r: (r[1], -r[0]))[0]]
 
 
 def score_texts(
@@ -254,9 +258,11 @@ def score_texts(
 
     Returns ``id_col, n_tokens, n_known, train_tokens, base_score, score``: tokens with the end of the
     text, those the training rows hold, all training tokens, the log10 probability of an additively
-    smoothed word model (0.1 each), and that of the lattice, in which the arc over a whole word has
-    the share ``1 - g`` and the pieces' paths the share ``g`` (see ``fit_share``). A null or empty
-    text is an end alone. Without training rows the base is 0 and the pieces keep their first weights.
+    smoothed word model (0.1 each), and that of the lattice, in which the arc over a whole word and
+    the pieces' paths have the shares and the smoothing of ``fit_mixture``. Like the base, the arc
+    gives each unseen word the same floor, beside which its paths tell likely from unlikely words.
+    A null or empty text is an end alone. Without training rows the base is 0 and the pieces keep
+    their first weights.
     """
     is_training = F.coalesce(training, F.lit(False))
     texts = docs.select(
@@ -273,14 +279,13 @@ def score_texts(
     totals = counted.agg(F.sum(one).alias("words"), F.sum(F.size("words")).alias("kinds")).first()
     ends = docs.filter(is_training).count()
     n, kinds = (totals["words"] or 0) + ends, (totals["kinds"] or 0) + (ends > 0)
-    share = fit_share(counted, vocabulary, weights, n, kinds) if totals["words"] else SHARES[0]
-    floor = math.log10(0.1 / (0.1 * (kinds + 1))) if not n else -math.log10(n + 0.1 * (kinds + 1))
+    share, added = fit_mixture(counted, vocabulary, weights, n, kinds) if totals["words"] else (SHARES[0], ADDED[0])
 
-    def base_of(counts: np.ndarray) -> np.ndarray:
-        return np.log10(counts + 0.1) + floor if n else np.full(len(counts), floor)
+    def arc_of(counts: np.ndarray, added: float) -> np.ndarray:
+        return np.log10((counts + added) / (n + added * (kinds + 1)))
 
-    end_base = float(base_of(np.array([ends]))[0])
-    end_score = end_base + math.log10(1 - share)
+    end_base, end_arc = (float(arc_of(np.array([ends]), x)[0]) for x in (0.1, added))
+    end_score = end_arc + math.log10(1 - share)
 
     def score(tables):
         tables = list(tables)
@@ -289,7 +294,7 @@ def score_texts(
         words, counts = _merged(tables)
         names = list(words)
         paths = _lattice(vocabulary, weights, "fitted").log_probability(names)
-        arcs = math.log(1 - share) + base_of(counts) * math.log(10)
+        arcs = math.log(1 - share) + arc_of(counts, added) * math.log(10)
         scores = np.logaddexp(arcs, math.log(share) + paths) / math.log(10)
         for table in tables:
             rows = [[], []]
@@ -310,7 +315,7 @@ def score_texts(
         right = right.sort_values("bucket")
         counts = np.concatenate([np.zeros(0, np.int64), *(unpack(x, np.int64) for x in right["counts"])])[at.rank]
         scores = np.concatenate([np.zeros(0), *(unpack(x, np.float64) for x in right["scores"])])[at.rank]
-        bases = base_of(counts)
+        bases = arc_of(counts, 0.1)
         ends_at = np.cumsum(at.lengths)
 
         def sums(values: np.ndarray) -> np.ndarray:

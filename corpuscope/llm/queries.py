@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuscope.llm import bpe, lattice, token_counts
+from corpuscope.llm import bpe, lattice, mixing, partenum, token_counts
 from corpuscope.runtime import scratch_path
 
 
@@ -16,6 +16,17 @@ def fold(key: str, parts: int):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % parts, F.lit(-1))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 80 % of their five-word shingles."""
+    return partenum.jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))[0]
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    mixed = mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -50,7 +61,41 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_byte_bpe, op9_token_counts, op10_lattice_scores)
+    f.__name__: f for f in (op1_ngram_jaccard, op3_source_mix, op5_byte_bpe, op9_token_counts, op10_lattice_scores)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_source_mix": """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS hash
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM docs GROUP BY source),
+rounds AS (
+  SELECT 0 AS step, source, source_size, weight, false AS capped, 0.0::DOUBLE AS target FROM sources
+  UNION ALL
+  SELECT step + 1, source, source_size, weight, capped OR level * weight > 3.0 * source_size,
+         CASE WHEN capped THEN target ELSE least(level * weight, 3.0 * source_size) END
+  FROM (
+    SELECT *, (sum(source_size) OVER () - coalesce(sum(CASE WHEN capped THEN target END) OVER (), 0))::DOUBLE
+              / nullif(sum(CASE WHEN NOT capped THEN weight END) OVER (), 0) AS level
+    FROM rounds)
+  WHERE step < (SELECT count(*) FROM sources)),
+targets AS (SELECT * FROM rounds WHERE step = (SELECT count(*) FROM sources)),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         ('0x' || substr(md5('0 ' || coalesce('=' || d.source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift,
+         CASE WHEN rank % 2 = 1 THEN rank // 2 + 1 ELSE m + 1 - rank // 2 END AS place
+  FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, hash % ceil(n / 5000.0)::BIGINT, doc_id) AS rank
+        FROM (SELECT *, count(*) OVER (PARTITION BY source, size) AS n, count(*) OVER (PARTITION BY source) AS m FROM docs)) d
+  JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (floor(rate * place + shift) - floor(rate * (place - 1) + shift))::BIGINT * size AS taken
+FROM placed
+""",
+}
