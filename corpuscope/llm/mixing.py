@@ -61,9 +61,8 @@ def mix(
     Each document of a source is expected target / source_size times. Along the source these expectations
     are summed, one offset in [0, 1) drawn from the seed and the source is added, and a document is taken once for
     every integer that its part of the sum crosses: floor(r * i + u) - floor(r * (i - 1) + u) times
-    at place i. The order falls from the largest document over every second one to the smallest and
-    rises over the others, so that the words taken come near the target whatever the offset.
-    Ties in size go by a hash of the id, then the id. Reruns agree. Empty texts can be taken
+    at place i. Largest documents come first, so that the words taken come near the target; ties
+    in size go by a hash of the id, then the id. Reruns agree. Empty texts can be taken
     but have no words; a null source is a source of its own; with repeated ids each row counts.
 
     The places come from counts per (source, size), added up over the distinct sizes of a source, then
@@ -77,9 +76,7 @@ def mix(
     by_size = by_size.withColumn("slices", F.ceil(F.col("alike") / TIE_SLICE))
     by_size = written(by_size.withColumnRenamed("source", "s").withColumnRenamed("size", "n"), "by-size")
 
-    totals = by_size.groupBy(F.col("s").alias("source")).agg(
-        F.sum(F.col("n") * F.col("alike")).alias("source_size"), F.sum("alike").alias("source_docs")
-    )
+    totals = by_size.groupBy(F.col("s").alias("source")).agg(F.sum(F.col("n") * F.col("alike")).alias("source_size"))
     targets = written(source_targets(totals, weights, cap).withColumnRenamed("source", "s"), "targets")
     offset = _hashed(F.concat_ws(" ", F.lit(str(seed)), F.coalesce(F.concat(F.lit("="), F.col("s")), F.lit("null"))))
     targets = targets.withColumn("offset", offset / F.lit(4294967296.0))
@@ -98,8 +95,7 @@ def mix(
     within = Window.partitionBy("source", "size", "slice").orderBy(F.col("id").isNull(), "id")
     placed = placed.withColumn("within", F.row_number().over(within))
     same = placed["source"].eqNullSafe(slices["s"]) & (placed["size"] == slices["n"]) & (placed["slice"] == slices["slice_no"])
-    rank = F.col("before") + F.coalesce("skipped", F.lit(0)) + F.col("within")
-    place = F.when(rank % 2 == 1, F.floor(rank / 2) + 1).otherwise(F.col("source_docs") + 1 - F.floor(rank / 2))
+    place = F.col("before") + F.coalesce("skipped", F.lit(0)) + F.col("within")
     crossed = F.floor(F.col("rate") * place + F.col("offset")) - F.floor(F.col("rate") * (place - 1) + F.col("offset"))
     return placed.join(slices, same, "left").select(
         F.col("id").alias(id_col), "source", "size", "source_size", "target", crossed.cast("long").alias("copies")

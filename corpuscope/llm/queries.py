@@ -90,9 +90,8 @@ placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
          ('0x' || substr(md5('0 ' || coalesce('=' || d.source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift,
-         CASE WHEN rank % 2 = 1 THEN rank // 2 + 1 ELSE m + 1 - rank // 2 END AS place
-  FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, hash % ceil(n / 5000.0)::BIGINT, doc_id) AS rank
-        FROM (SELECT *, count(*) OVER (PARTITION BY source, size) AS n, count(*) OVER (PARTITION BY source) AS m FROM docs)) d
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size DESC, d.hash % ceil(n / 5000.0)::BIGINT, d.doc_id) AS place
+  FROM (SELECT *, count(*) OVER (PARTITION BY source, size) AS n FROM docs) d
   JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (floor(rate * place + shift) - floor(rate * (place - 1) + shift))::BIGINT * size AS taken
