@@ -5,21 +5,25 @@ similarity over the threshold, the number of shingles in only one of them is at
 from the band. The domain of shingles is hashed into more than k / 2 partitions, so one of them holds
 at most one such shingle; that partition is hashed into three parts, so two of the parts are equal in
 both sets. Every set therefore has as signatures, for each partition, the three ways to leave out one
-part, and similar sets share at least one signature. Candidates are verified on whole sets.
+part, and similar sets share at least one signature. Small sets take more than k / 3 partitions and
+the fifteen ways to leave out two of six parts: each signature covers more of the set, so that a
+passage in many short texts makes few equal ones. Candidates are verified on whole sets.
 
 - Equal sets are one class before anything is compared; within a task they make signatures once.
 - Parts that are empty in many sets would share meaningless signatures. A few spare partitions allow
   leaving those out: if no more partitions of a set are sparse than there are spare ones, one with
   contents still agrees. Other sets keep them, so no pair is lost.
 - Of the sets that share a signature, each is compared with two leaders only. Where such a group is
-  left in several components, its members from different components are compared as well, block by
-  block, after a lower bound of the distance between their histograms has sorted out most pairs.
-  Components are therefore those of all links, though copies are never expanded into all pairs.
+  left in several components, pairs from different components are checked as well if they also share
+  one of their rarest shingles, as similar sets must (the prefix filter), and if neither their sizes
+  nor the distance of their histograms rules them out. Components are therefore those of all links,
+  though copies are never expanded into all pairs.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -30,8 +34,11 @@ from corpuscope.llm.components import components
 from corpuscope.llm.shingles import digest, mix, shingle_set
 from corpuscope.runtime import written
 
-PARTS = 3
+#: Parts of a partition and how many are left out: for sets of a band up to SMALL, and for larger ones.
+SMALL, SMALL_PARTS, LARGE_PARTS = 220, (6, 2), (3, 1)
 SKETCH = 64
+#: Cells in which shingles of undecided sets are counted, to tell rare from frequent ones.
+CELLS = 1 << 20
 _BATCH = 2_000
 _RUN_PART = 4_096
 _STAR_PART = 64
@@ -75,18 +82,21 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         k = bands.distance(tag)
         if not k:
             continue
-        least = k // 2 + 1
+        parts, without = SMALL_PARTS if bands.last[tag] <= SMALL else LARGE_PARTS
+        least = k // (without + 1) + 1
         spare = least // 10 + 1
         n = least + spare
         seeded = mix(shingles ^ np.uint64((tag + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        cell = (seeded % np.uint64(n * PARTS)).astype(np.int64)  # partition and part at once
-        sums = np.zeros(n * PARTS, np.uint64)
+        cell = (seeded % np.uint64(n * parts)).astype(np.int64)  # partition and part at once
+        sums = np.zeros(n * parts, np.uint64)
         np.add.at(sums, cell, mix(seeded + np.uint64(0x632BE59BD9B4E019)))
-        sizes = np.bincount(cell, minlength=n * PARTS).reshape(n, PARTS)
-        sums = sums.reshape(n, PARTS)
-        kept = sizes.sum(1, keepdims=True) - sizes  # shingles left if one part is left out
-        place = np.arange(n * PARTS, dtype=np.uint64).reshape(n, PARTS) + np.uint64((tag + 1) << 32)
-        value = mix(mix(place) + mix(sums.sum(1, keepdims=True, dtype=np.uint64) - sums))
+        sizes = np.bincount(cell, minlength=n * parts).reshape(n, parts)
+        sums = sums.reshape(n, parts)
+        left_out = np.array(list(combinations(range(parts), without)))
+        kept = sizes.sum(1, keepdims=True) - sizes[:, left_out].sum(2)  # shingles in what is left
+        rest = sums.sum(1, keepdims=True, dtype=np.uint64) - sums[:, left_out].sum(2, dtype=np.uint64)
+        place = np.arange(kept.size, dtype=np.uint64).reshape(kept.shape) + np.uint64((tag + 1) << 32)
+        value = mix(mix(place) + mix(rest))
         if ((kept == 0).any(1)).sum() <= spare:
             value = value[kept > 0]
         out.append(value.ravel())
@@ -123,6 +133,7 @@ def _signature_rows(words: int, percent: int, buckets: int):
 
         def rows(sets: dict[bytes, tuple[int, np.ndarray]]):
             ids = np.array([i for i, _ in sets.values()], np.int64)
+            lengths = np.array([len(s) for _, s in sets.values()], np.uint32)
             each = [signatures(s, bands) for _, s in sets.values()]
             values = np.concatenate(each) if each else np.zeros(0, np.uint64)
             owner = np.repeat(np.arange(len(ids)), [len(e) for e in each])
@@ -136,10 +147,11 @@ def _signature_rows(words: int, percent: int, buckets: int):
                 own, counts = np.unique(owner[a:b], return_counts=True)
                 made["bucket"].append(int(bucket[a]))
                 made["ids"].append(ids[own].tobytes())
+                made["sizes"].append(lengths[own].tobytes())
                 made["counts"].append(counts.astype(np.uint16).tobytes())
                 raw = np.ascontiguousarray(values[a:b]).view(np.uint8).reshape(-1, 8)
                 made["values"].append(np.ascontiguousarray(raw[:, :_SIGNATURE_BYTES]).tobytes())
-            kinds = [("bucket", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("values", pa.binary())]
+            kinds = [("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "sizes", "counts", "values"))]
             return pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in kinds], [n for n, _ in kinds])
 
         sets: dict[bytes, tuple[int, np.ndarray]] = {}
@@ -160,57 +172,68 @@ def _signature_rows(words: int, percent: int, buckets: int):
     return run
 
 
-def _shared_signatures(tables):
+def _shared_signatures(percent: int):
     """Pairs (leader, member) of the sets that share a signature, and the larger groups themselves.
 
-    Rows: kind 0, a pair with the size of its group; kind 1, a part of a group with the group's hash.
+    Rows: kind 0, a pair with the size of its group, unless the sizes of the sets rule it out;
+    kind 1, a part of a group with the group's hash.
     """
-    seen = defaultdict(list)
-    for table in tables:
-        for bucket, ids, counts, values in zip(*(table.column(c).to_pylist() for c in ("bucket", "ids", "counts", "values"))):
-            raw = np.frombuffer(values, np.uint8).reshape(-1, _SIGNATURE_BYTES)
-            full = np.zeros((len(raw), 8), np.uint8)
-            full[:, :_SIGNATURE_BYTES] = raw
-            owners = np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.uint16))
-            seen[bucket].append((full.view(np.uint64).ravel(), owners))
-    for parts in seen.values():
-        values = np.concatenate([v for v, _ in parts])
-        owners = np.concatenate([o for _, o in parts])
-        order = np.lexsort((owners, values))
-        values, owners = values[order], owners[order]
-        new = np.r_[True, (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])]
-        values, owners = values[new], owners[new]
-        begins = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
-        sizes = np.diff(np.r_[begins, len(values)])
-        shared = np.repeat(sizes > 1, sizes)
-        values, owners = values[shared], owners[shared]
-        sizes = sizes[sizes > 1]
-        if not len(sizes):
-            continue
-        begins = np.r_[0, np.cumsum(sizes)[:-1]]
-        group = np.repeat(np.arange(len(sizes)), sizes)
-        # The first leader is the smallest id, the second the smallest by one of two hashes.
-        turn = mix(owners.view(np.uint64) + (values[begins] % np.uint64(2))[group] * np.uint64(0x9E3779B97F4A7C15))
-        second = owners[np.lexsort((turn, group))[begins]]
-        a = np.concatenate([owners[begins][group], second[group]])
-        b, m = np.concatenate([owners, owners]), np.concatenate([sizes[group]] * 2)
-        a, b, m = a[a != b], b[a != b], m[a != b]
-        order = np.lexsort((-m, b, a))
-        a, b, m = a[order], b[order], m[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
-        yield _rows(0, a[new], b[new], m[new], [None] * int(new.sum()))
-        # Groups with the same members count once.
-        large = np.flatnonzero(sizes > 2)
-        names = np.add.reduceat(mix(owners.view(np.uint64)), begins).view(np.int64)
-        _, first = np.unique(names[large], return_index=True)
-        name, part, size, members = [], [], [], []
-        for i in large[first]:
-            for p in range(0, sizes[i], _RUN_PART):
-                name.append(names[i])
-                part.append(p // _RUN_PART)
-                size.append(sizes[i])
-                members.append(owners[begins[i] + p : begins[i] + min(sizes[i], p + _RUN_PART)])
-        yield _rows(1, name, part, size, members)
+
+    def run(tables):
+        seen = defaultdict(list)
+        for table in tables:
+            columns = [table.column(c).to_pylist() for c in ("bucket", "ids", "sizes", "counts", "values")]
+            for bucket, ids, sizes, counts, values in zip(*columns):
+                raw = np.frombuffer(values, np.uint8).reshape(-1, _SIGNATURE_BYTES)
+                full = np.zeros((len(raw), 8), np.uint8)
+                full[:, :_SIGNATURE_BYTES] = raw
+                times = np.frombuffer(counts, np.uint16)
+                owners, lengths = np.repeat(np.frombuffer(ids, np.int64), times), np.repeat(np.frombuffer(sizes, np.uint32), times)
+                seen[bucket].append((full.view(np.uint64).ravel(), owners, lengths))
+        for parts in seen.values():
+            yield from _groups(*(np.concatenate(x) for x in zip(*parts)), percent)
+
+    return run
+
+
+def _groups(values: np.ndarray, owners: np.ndarray, lengths: np.ndarray, percent: int):
+    order = np.lexsort((owners, values))
+    values, owners, lengths = values[order], owners[order], lengths[order].astype(np.int64)
+    new = np.r_[True, (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])]
+    values, owners, lengths = values[new], owners[new], lengths[new]
+    begins = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    sizes = np.diff(np.r_[begins, len(values)])
+    shared = np.repeat(sizes > 1, sizes)
+    values, owners, lengths = values[shared], owners[shared], lengths[shared]
+    sizes = sizes[sizes > 1]
+    if not len(sizes):
+        return
+    begins = np.r_[0, np.cumsum(sizes)[:-1]]
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    # The first leader is the smallest id, the second the smallest by one of two hashes.
+    turn = mix(owners.view(np.uint64) + (values[begins] % np.uint64(2))[group] * np.uint64(0x9E3779B97F4A7C15))
+    leaders = np.concatenate([begins[group], np.lexsort((turn, group))[begins][group]])
+    member = np.concatenate([np.arange(len(owners))] * 2)
+    a, b, m = owners[leaders], owners[member], np.concatenate([sizes[group]] * 2)
+    x, y = lengths[leaders], lengths[member]
+    close = (a != b) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    a, b, m = a[close], b[close], m[close]
+    order = np.lexsort((-m, b, a))
+    a, b, m = a[order], b[order], m[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    yield _rows(0, a[new], b[new], m[new], [None] * int(new.sum()))
+    # Groups with the same members count once.
+    large = np.flatnonzero(sizes > 2)
+    names = np.add.reduceat(mix(owners.view(np.uint64)), begins).view(np.int64)
+    _, first = np.unique(names[large], return_index=True)
+    name, part, size, members = [], [], [], []
+    for i in large[first]:
+        for p in range(0, sizes[i], _RUN_PART):
+            name.append(names[i])
+            part.append(p // _RUN_PART)
+            size.append(sizes[i])
+            members.append(owners[begins[i] + p : begins[i] + min(sizes[i], p + _RUN_PART)])
+    yield _rows(1, name, part, size, members)
 
 
 def _rows(kind: int, a, b, m, members) -> pa.RecordBatch:
@@ -253,43 +276,104 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return rows.select("a", "part", "role", "id", "text").mapInArrow(compare, "a long, b long")
 
 
-def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components within groups that more than one component is left in."""
+def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs from different components among the sets of groups that are left in several of them.
+
+    Similar sets share one of the first ``n - ceil(n * percent / 100) + 1`` shingles of each, in any
+    order that is the same for all; this one puts rare shingles first. ``members`` has one row per
+    class of equal sets.
+    """
     comps = found.select(F.col("node").alias("class"), "component")
-    members = members.groupBy("class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    rows = groups.select(F.col("a").alias("run"), F.explode("members").alias("id")).distinct()
-    rows = written(rows, "group-members")
     classes = members.join(comps, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    rows = rows.withColumnRenamed("id", "class").join(written(classes, "group-classes"), "class")
-    rows = written(rows, "group-rows")
-    mixed = rows.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
-    mixed = mixed.filter("x < y").select("run", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(written(mixed, "mixed-groups"), "run")
+    classes = written(classes.select("class", "n", "sketch", "component"), "group-classes")
+    rows = groups.select(F.col("a").alias("run"), F.explode("members").alias("id"))
+    rows = written(rows.join(classes.select(F.col("class").alias("id"), "component"), "id"), "group-rows")
+    mixed = rows.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    undecided = rows.join(written(mixed.select("run"), "mixed-groups"), "run").select("id").distinct()
+    undecided = written(undecided.join(texts, "id").dropDuplicates(["id"]), "undecided")
+
+    def count(tables):
+        total = np.zeros(CELLS, np.int64)
+        for table in tables:
+            for text in table.column("text").to_pylist():
+                np.add.at(total, (shingle_set(text, words) % np.uint64(CELLS)).astype(np.int64), 1)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells], pa.int64())], ["cell", "n"])
+
+    cells = written(undecided.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")), "cells")
+    mean = cells.agg(F.sum("n")).first()[0] or 0
+    # Which cells are frequent: a bounded number, as all counts add up to CELLS times the mean.
+    often = dict(cells.filter(F.col("n") >= 8 + 4 * mean / CELLS).collect())
+
+    def prefixes(tables):
+        rank = np.zeros(CELLS, np.int64)
+        rank[list(often)] = list(often.values())
+        for table in tables:
+            firsts, owners = [], []
+            for key, text in zip(table.column("id").to_pylist(), table.column("text").to_pylist()):
+                own = shingle_set(text, words)
+                order = np.lexsort((own, rank[(own % np.uint64(CELLS)).astype(np.int64)]))
+                first = own[order[: len(own) - -(-len(own) * percent // 100) + 1]]
+                firsts.append(first.view(np.int64))
+                owners.append(np.full(len(first), key))
+            flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, owners)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flat], ["shingle", "class"])
+
+    rows = undecided.select("id", "text").mapInArrow(prefixes, "shingle long, class long")
+    rows = written(rows.join(classes, "class"), "prefixes")
+    mixed = rows.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
+    mixed = mixed.filter("x < y").select("shingle", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(written(mixed, "mixed-shingles"), "shingle")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("class").reset_index(drop=True)
-        n, comp, block = rows["n"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        lo, hi = int(rows["lo"].iloc[0]), int(rows["hi"].iloc[0])
-        bins = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        out = []
-        for i in range(len(rows)):
-            rest = slice(i + 1, None)
-            far = np.abs(bins[rest] - bins[i]).sum(1, dtype=np.int64)
-            ok = (comp[rest] != comp[i]) & (far * (100 + percent) <= (100 - percent) * (n[rest] + n[i]))
-            if lo != hi:
-                ok &= block[rest] != block[i]
-            out.append(np.stack([np.full(ok.sum(), i), np.flatnonzero(ok) + i + 1]))
-        at = np.concatenate(out, axis=1)
-        return pd.DataFrame({"a": rows["class"].to_numpy()[at[0]], "b": rows["class"].to_numpy()[at[1]]})
-
-    picked = rows.select("run", "lo", "hi", "class", "n", "component", "sketch", "block")
-    pairs = picked.groupBy("run", "lo", "hi").applyInPandas(compare, "a long, b long").distinct()
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    picked = rows.select("shingle", "lo", "hi", "class", "n", "component", "sketch", "block")
+    picked = picked.repartition(spread, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi", "class")
+    pairs = picked.mapInPandas(lambda tables: _by_key(tables, percent), "a long, b long").distinct()
     return pairs.withColumn("size", F.lit(_STAR_PART))
 
 
+def _by_key(tables, percent: int):
+    """Pairs within each run of rows of one key; the last run of a batch waits for the next batch."""
+    keys, waiting = ["shingle", "lo", "hi"], []
+    for table in tables:
+        if not len(table):
+            continue
+        table = pd.concat([*waiting, table])
+        last = (table[keys] == table[keys].iloc[-1]).all(axis=1).to_numpy()
+        done, waiting = table[~last], [table[last]]
+        if len(done):
+            yield _pairs_of(done, keys, percent)
+    if waiting:
+        yield _pairs_of(waiting[0], keys, percent)
+
+
+def _pairs_of(rows: pd.DataFrame, keys: list[str], percent: int) -> pd.DataFrame:
+    out = [_close_pairs(own, percent) for _, own in rows.groupby(keys, sort=False) if len(own) > 1]
+    return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+
+
+def _close_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Pairs of one block (or of two) that sizes and histograms do not rule out."""
+    names, n, comp, block = (rows[c].to_numpy() for c in ("class", "n", "component", "block"))
+    two = rows["lo"].iloc[0] != rows["hi"].iloc[0]
+    bins = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+    a, b = [], []
+    for i in range(len(rows) - 1):
+        ok = (comp[i + 1 :] != comp[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))
+        if two:
+            ok &= block[i + 1 :] != block[i]
+        at = np.flatnonzero(ok) + i + 1
+        if len(at):
+            far = np.abs(bins[at] - bins[i]).sum(1, dtype=np.int64)
+            at = at[far * (100 + percent) <= (100 - percent) * (n[at] + n[i])]
+            a.append(np.full(len(at), names[i]))
+            b.append(names[at])
+    none = np.zeros(0, np.int64)
+    return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+
+
 def jaccard_components(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -312,10 +396,10 @@ def jaccard_components(
 
     known = texts.filter(F.col("id").isNotNull())
     packed = known.mapInArrow(
-        _signature_rows(words, percent, buckets), "bucket int, ids binary, counts binary, values binary"
+        _signature_rows(words, percent, buckets), "bucket int, ids binary, sizes binary, counts binary, values binary"
     )
     schema = "kind int, a long, b long, size long, members array<long>"
-    shared = written(packed.repartition(buckets, "bucket").mapInArrow(_shared_signatures, schema), "shared")
+    shared = written(packed.repartition(buckets, "bucket").mapInArrow(_shared_signatures(percent), schema), "shared")
 
     class_of = written(members.select("id", "class").distinct(), "class-of")
     pairs = shared.filter("kind = 0").groupBy("a", "b").agg(F.max("size").alias("size"))
@@ -324,7 +408,8 @@ def jaccard_components(
     links = written(verified(pairs.filter("a < b"), known, words, percent), "links")
 
     groups = shared.filter("kind = 1").dropDuplicates(["a", "b"])
-    more = _left_over(groups, members.filter("id = class"), components(links), percent)
+    one_each = members.filter("id = class").dropDuplicates(["class"])
+    more = _left_over(groups, one_each, components(links), known, words, percent)
     links = written(links.union(verified(more, known, words, percent)), "all-links")
     # One id with several texts ties their sets together.
     tied = members.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a < b").select("a", "b")
