@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuscope.llm import bpe, lattice, mixing, partenum, token_counts
+from corpuscope.llm import bpe, forest, language, lattice, mixing, partenum, tiles, token_counts, toxicity, wrappers
 from corpuscope.runtime import scratch_path
 
 
@@ -21,12 +21,24 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))[0]
 
 
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every fiftieth."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return forest.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     mixed = mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return wrappers.extract(pages)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +53,31 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors with a cosine of 0.95 or more."""
+    return tiles.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four of five folds."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs, fold("doc_id", 5) != 0)
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return language.predict(docs.select("doc_id", "text", held_out), model).drop("text").select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of two of three folds."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.filter(fold("doc_id", 3) != 1), "text")
+    held_out = (fold("doc_id", 3) == 1).alias("held_out")
+    scored = toxicity.score(docs.withColumn("held_out", held_out), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document through a digest cache that starts empty."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -61,8 +98,12 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op3_source_mix, op5_byte_bpe, op9_token_counts, op10_lattice_scores)
-}
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard, op2_nearest_vectors, op3_source_mix, op4_main_text, op5_byte_bpe,
+        op6_near_vectors, op7_language, op8_toxicity, op9_token_counts, op10_lattice_scores,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op3_source_mix": """
