@@ -83,7 +83,8 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
                         known[word] = np.asarray(encoder._encode_single_piece(word), np.uint32).tobytes()
                 found = [known[word] for word in words]
                 rows[0].append(pack(np.fromiter(map(len, found), np.uint32, len(found)) // 4))
-                rows[1].append(pack(np.frombuffer(b"".join(found), np.uint32)))
+                ids = np.frombuffer(b"".join(found), np.uint32)
+                rows[1].append(pack(ids.astype(np.uint16) if not len(ids) or ids.max() < 2**16 else ids))
             yield pa.RecordBatch.from_arrays(
                 [*(table.column(n) for n in ("batch", "bucket", "check")), *(pa.array(r, pa.binary()) for r in rows)],
                 ["batch", "bucket", "check", "lengths", "ids"],
@@ -98,8 +99,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
         at.agree(right["check"])
         right = right.sort_values("bucket")
         none = np.zeros(0, np.uint32)
-        lengths = np.concatenate([none, *(unpack(x, np.uint32) for x in right["lengths"])]).astype(np.int64)
-        ids = np.concatenate([none, *(unpack(x, np.uint32) for x in right["ids"])]).astype(np.int32)
+        each = [unpack(x, np.uint32) for x in right["lengths"]]
+        lengths = np.concatenate([none, *each]).astype(np.int64)
+        packed = [unpack(x, np.uint8) for x in right["ids"]]
+        ids = [x.view(np.uint16 if len(x) == 2 * n.sum() else np.uint32) for x, n in zip(packed, each)]
+        ids = np.concatenate([none, *ids]).astype(np.int32)
         starts = np.r_[0, np.cumsum(lengths)]
         out, begin = [], 0
         for n in at.lengths:
