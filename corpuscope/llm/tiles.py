@@ -188,7 +188,9 @@ def _links(classes: DataFrame, width: int, least: float) -> DataFrame:
     sides = []
     for side in "ab":
         own = pairs.select("pair", F.col(f"bin_{side}").alias("bin"), F.col(f"tile_{side}").alias("tile"))
-        sides.append(own.join(packed, ["bin", "tile"]).select("pair", "ids", "copies", "vectors").groupBy("pair"))
+        own = own.join(packed, ["bin", "tile"])
+        # Columns of their own on either side, though both come from the same tables.
+        sides.append(own.select(*(F.col(c).alias(c) for c in ("pair", "ids", "copies", "vectors"))).groupBy("pair"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         (ids_a, copies_a, x), (ids_b, copies_b, y) = (_unpacked(t.iloc[0], width) for t in (left, right))

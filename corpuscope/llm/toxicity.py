@@ -2,9 +2,9 @@
 
 The lexicon is learned: words, and beginnings of words, that are in far more toxic than other texts.
 The trees see how dense they are, how near to second-person pronouns, and how the text is written
-(capitals, punctuation, disguised words). Labelled texts are dealt into three parts by a hash:
-one for the lexicon, one for the trees, one for the calibration, so that none judges its own rows.
-At most ``SAMPLE`` labelled texts (in expectation) are used.
+(capitals, punctuation, disguised words). So that nothing judges its own
+rows, the lexicon is taken without a text when that text trains the trees, and texts that neither
+have seen (every fifth, by a hash) calibrate. At most ``SAMPLE`` labelled texts (in expectation) are used.
 """
 
 from __future__ import annotations
@@ -94,8 +94,34 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     ]
 
 
+class Lexicon:
+    """How many of the toxic and of the other texts have each key, and the weights that follow."""
+
+    def __init__(self, counts: dict[str, tuple[int, int]], toxic: int, other: int) -> None:
+        self.counts, self.toxic, self.other = counts, toxic, other
+
+    def weights(self, less_toxic: int = 0, less_other: int = 0) -> dict[str, float]:
+        """Log ratio of rates of the keys with enough evidence, with so many texts that have them left out."""
+        out = {}
+        for key, (t, o) in self.counts.items():
+            evidence, ratio = evidence_of(t - less_toxic, o - less_other, self.toxic - less_toxic, self.other - less_other)
+            if evidence >= LEAST_EVIDENCE and ratio >= LEAST_RATIO:
+                out[key] = math.log(ratio)
+        return out
+
+
+def evidence_of(t: int, o: int, toxic: int, other: int) -> tuple[float, float]:
+    """Log-likelihood ratio and smoothed ratio of rates of a key in ``t`` of ``toxic`` and ``o`` of ``other`` texts."""
+    if t <= 0 or toxic <= 0 or other <= 0:
+        return 0.0, 0.0
+    o = max(o, 0)
+    both, every = t + o, toxic + other
+    evidence = t * math.log(t * every / (both * toxic)) + (o * math.log(o * every / (both * other)) if o else 0.0)
+    return 2 * evidence, (t + 0.5) / (toxic + 1) / ((o + 0.5) / (other + 1))
+
+
 class ToxicityModel:
-    """Lexicon, trees and calibration; without both kinds of labels a constant."""
+    """Weights of the lexicon, trees and calibration; without both kinds of labels a constant."""
 
     def __init__(self, lexicon: dict[str, float], trees: GBTClassificationModel | None, curve: IsotonicRegressionModel | None, constant: float) -> None:
         self.lexicon, self.trees, self.curve, self.constant = lexicon, trees, curve, constant
@@ -109,8 +135,8 @@ def _dense(rows: DataFrame, lexicon: dict[str, float], text_col: str) -> DataFra
     return rows.withColumn("_features", array_to_vector(measure.asNondeterministic()(F.col(text_col))))
 
 
-def _learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Keys with their log ratio of rates, from ``text`` and ``toxic``."""
+def _learn_lexicon(rows: DataFrame) -> Lexicon:
+    """From ``text`` and ``toxic``: the keys with nearly enough evidence, at most ``LEXICON``."""
 
     def count(tables):
         toxic, other = Counter(), Counter()
@@ -132,7 +158,7 @@ def _learn_lexicon(rows: DataFrame) -> dict[str, float]:
     sizes = {bool(t): n for t, n in rows.groupBy("toxic").count().collect()}
     all_t, all_o = sizes.get(True, 0), sizes.get(False, 0)
     if not all_t or not all_o:
-        return {}
+        return Lexicon({}, all_t, all_o)
     t, o = F.col("t"), F.col("o")
     part = t + o
     expected_t, expected_o = part * all_t / (all_t + all_o), part * all_o / (all_t + all_o)
@@ -141,9 +167,10 @@ def _learn_lexicon(rows: DataFrame) -> dict[str, float]:
     ratio = ((t + 0.5) / (all_t + 1)) / ((o + 0.5) / (all_o + 1))
     counts = rows.select("text", "toxic").mapInArrow(count, "key string, t long, o long")
     counts = counts.groupBy("key").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    found = counts.select("key", evidence.alias("evidence"), ratio.alias("ratio"))
-    found = found.filter((F.col("evidence") >= LEAST_EVIDENCE) & (F.col("ratio") >= LEAST_RATIO))
-    return {k: math.log(r) for k, _, r in found.orderBy(F.desc("evidence"), "key").limit(LEXICON).collect()}
+    found = counts.select("key", "t", "o", evidence.alias("evidence"), ratio.alias("ratio"))
+    found = found.filter((F.col("evidence") >= 0.7 * LEAST_EVIDENCE) & (F.col("ratio") >= 0.7 * LEAST_RATIO))
+    best = found.orderBy(F.desc("evidence"), "key").limit(LEXICON).collect()
+    return Lexicon({r.key: (r.t, r.o) for r in best}, all_t, all_o)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> ToxicityModel:
@@ -156,13 +183,17 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(drawn), "id")  # at most about SAMPLE ids
     rows = written(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(12)), F.lit(10))), "labelled")
-    lexicon = _learn_lexicon(rows.filter("part < 5"))
-    dense = written(
-        _dense(rows, lexicon, "text").select("part", F.col("toxic").cast("double").alias("label"), vector_to_array("_features").alias("values")),
-        "toxicity-features",
-    ).select("part", "label", array_to_vector("values").alias("_features"))
+    known = _learn_lexicon(rows.filter("part < 8"))
+    lexicon = known.weights()
+    parts = [("part < 8 AND toxic", known.weights(less_toxic=1)), ("part < 8 AND NOT toxic", known.weights(less_other=1)), ("part >= 8", lexicon)]
+    dense = None
+    for where, weights in parts:
+        own = _dense(rows.filter(where), weights, "text")
+        own = own.select("part", F.col("toxic").cast("double").alias("label"), vector_to_array("_features").alias("values"))
+        dense = own if dense is None else dense.union(own)
+    dense = written(dense, "toxicity-features").select("part", "label", array_to_vector("values").alias("_features"))
     counts = {label: each for label, each in dense.groupBy("label").count().collect()}
-    train = dense.filter("part BETWEEN 5 AND 7")
+    train = dense.filter("part < 8")
     kinds = {r[0] for r in train.select("label").distinct().collect()}
     if len(kinds) < 2:
         total = sum(counts.values())
