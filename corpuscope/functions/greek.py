@@ -1,46 +1,50 @@
 """A light stemmer for Greek as a Column expression.
 
 Greek stemming by suffix removal is described by Ntais (Stockholm, 2006) and Saroukos (Tampere,
-2008). This one only removes inflectional endings, the longest that leaves enough of a word, and
-leaves words that are not inflected alone. It needs no Python worker and no lookup, so it runs
-inside the cleaning projection.
+2008). This one removes inflectional endings by rule, the longest that leaves enough of a word. It
+needs no Python worker and no lookup, so it runs inside the cleaning projection; its patterns use
+nothing that other engines' regular expressions lack, so SQL can repeat it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
-_ACCENTED, _PLAIN = "ΆΈΉΊΌΎΏΪΫ", "ΑΕΗΙΟΥΩΙΥ"
-_COMBINING = "̀́̈͂"
-
-# Endings by the least number of letters that has to remain before them.
-_ENDINGS = {
-    3: "ΜΕΝΟΣ ΜΕΝΟΥ ΜΕΝΟΝ ΜΕΝΟΥΣ ΜΕΝΟΙ ΜΕΝΩΝ ΜΕΝΟ ΜΕΝΗ ΜΕΝΗΣ ΜΕΝΕΣ ΜΕΝΑ ΗΣ",
-    2: "ΟΥΣ ΟΥΝ ΟΥ ΕΙΣ ΩΝ",
-    1: "ΟΣ ΟΝ ΑΣ ΑΝ ΕΣ ΙΣ ΕΙ ΟΙ Α Ε Ο Ι (?<!Ο)Υ",
-    0: "Η",
-}
-
-# Prepositions, conjunctions, adverbs and numerals without inflection.
-_INDECLINABLE = """
-    ΑΠΟ ΓΙΑ ΜΕ ΣΕ ΚΑΤΑ ΠΑΡΑ ΑΝΤΙ ΜΕΤΑ ΕΠΙ ΠΕΡΙ ΥΠΟ ΑΝΑ ΜΕΧΡΙ ΠΡΟΣ
-    ΝΑ ΑΣ ΝΑΙ ΟΧΙ ΑΡΑ ΓΙΑΤΙ ΔΗΛΑΔΗ ΚΑΘΕ ΛΟΙΠΟΝ ΩΣΤΟΣΟ ΤΙ
-    ΕΔΩ ΕΚΕΙ ΤΩΡΑ ΤΟΤΕ ΠΟΤΕ ΠΑΛΙ ΠΙΑ ΑΚΟΜΑ ΗΔΗ ΕΤΣΙ ΜΕΣΑ ΜΑΛΙΣΤΑ ΣΗΜΕΡΑ ΦΕΤΟΣ ΠΕΡΥΣΙ
-    ΔΥΟ ΠΕΝΤΕ ΕΞΙ ΕΠΤΑ ΔΕΚΑ ΧΩΡΙΣ
-""".split()
-
-
-def _pattern() -> str:
-    # The lazy quantifier makes the shortest possible rest, that is the longest ending, win.
-    parts = [
-        f"^(.{{{least},}}?)(?:{'|'.join(endings.split())})$" for least, endings in _ENDINGS.items()
-    ]
-    return "|".join(parts)
-
-
-def greek_stem(word: Column) -> Column:
-    """The stem of an upper-cased word, without accents; words in other scripts stay as they are."""
-    plain = F.translate(word, _ACCENTED + _COMBINING, _PLAIN)
-    stem = F.regexp_replace(plain, _pattern(), "$1$2$3$4")
-    changed = F.when(plain.isin(_INDECLINABLE), plain).otherwise(stem)
-    return F.when(plain.rlike("^[Α-Ω]+$"), changed).otherwise(word)
+ACCENTED, PLAIN = "ΆΈΉΊΌΎΏΪΫ", "ΑΕΗΙΟΥΩΙΥ"
+COMBINING = "̀́̈͂"
+
+# Endings, tried in this order, by what has to remain before them.
+_RULES = (
+    # Neuters in -μα and feminines in -ση, -ξη, -ψη keep their theme in all cases.
+    (r".+?Μ", "ΑΤΑ ΑΤΩΝ ΑΤΟΣ ΑΤΙ"),
+    (r"..+?[ΣΞΨ]", "ΕΩΣ ΕΩΝ ΕΙΣ"),
+    # Verbs in the active and the passive voice, participles.
+    (
+        r"..+?",
+        "ΟΜΑΣΤΑΝ ΟΣΑΣΤΑΝ ΟΜΑΣΤΕ ΟΣΑΣΤΕ ΟΥΜΑΣΤΕ ΟΥΝΤΑΙ ΟΥΝΤΑΝ ΟΝΤΑΙ ΟΝΤΑΝ ΟΜΑΙ ΕΣΑΙ ΕΤΑΙ ΕΣΤΕ "
+        "ΟΥΣΑΜΕ ΟΥΣΑΤΕ ΟΥΣΑΝ ΟΥΣΕΣ ΟΥΣΑ ΟΥΣΕ ΟΥΜΕ ΟΥΝΕ ΑΜΕ ΑΤΕ ΑΝΕ ΟΜΕ ΕΤΕ ΟΝΤΑΣ ΩΝΤΑΣ",
+    ),
+    (r"...+?", "ΜΕΝΟΣ ΜΕΝΟΥ ΜΕΝΟΝ ΜΕΝΟΥΣ ΜΕΝΟΙ ΜΕΝΩΝ ΜΕΝΟ ΜΕΝΗ ΜΕΝΗΣ ΜΕΝΕΣ ΜΕΝΑ"),
+    # Nouns and adjectives.
+    (r"..+?", "ΟΥΣ ΟΥΝ ΕΙΣ ΟΥ"),
+    (r".+?", "ΟΣ ΟΝ ΟΙ ΗΣ ΑΣ ΑΝ ΕΣ ΕΙ ΩΝ ΙΣ"),
+    (r".+?", "Α Ε Η Ι Ο Ω"),
+)
+
+#: Matches a word with an ending; the rest is in whichever group matched.
+PATTERN = "|".join(f"^({rest})(?:{'|'.join(endings.split())})$" for rest, endings in _RULES)
+GROUPS = len(_RULES)
+
+
+def greek_stem(word: Column, keep: Sequence[str] = ()) -> Column:
+    """The stem of an upper-cased word, without accents; words in other scripts stay as they are.
+
+    ``keep`` lists words (upper-cased, without accents) that are not inflected, such as prepositions.
+    """
+    plain = F.translate(word, ACCENTED + COMBINING, PLAIN)
+    stem = F.regexp_replace(plain, PATTERN, "".join(f"${i}" for i in range(1, GROUPS + 1)))
+    if keep:
+        stem = F.when(plain.isin(list(keep)), plain).otherwise(stem)
+    return F.when(plain.rlike("^[Α-Ω]+$"), stem).otherwise(word)

@@ -42,30 +42,35 @@ def cluster_topics(
     k: int = 100,
     seed: int = 42,
     n_init: int = 10,
-    max_iter: int = 50,
+    max_iter: int = 300,
     column: str = "topics",
 ) -> Clusters:
     """K-Means on an array column: the best of ``n_init`` starts by inertia.
 
-    Clusters are numbered by size, largest first, then by centroid, so the same partition always
+    A start ends when no centroid moves further than MLlib's tolerance of 1e-4, at the latest after
+    ``max_iter`` iterations. Fewer than ``k`` ids come back if some cluster is left empty, as when
+    there are fewer than ``k`` different vectors. Clusters are numbered by size, largest first, then by centroid, so the same partition always
     gets the same ids.
     """
     require_columns(df, [column])
     vectors = df.select(array_to_vector(F.col(column)).alias("features"))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    vectors.count()
-
-    def fit(start: int):
-        return KMeans(k=k, seed=seed + start, maxIter=max_iter).fit(vectors)
-
-    # The starts are independent jobs over the same kept vectors; run together they fill the
-    # cluster while each of them waits for its next iteration.
-    with ThreadPool(min(n_init, _PARALLEL_STARTS)) as pool:
-        best = min(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(n_init)), key=_inertia)
-    sizes = best.summary.clusterSizes
-    centroids = [[float(x) for x in center] for center in best.clusterCenters()]
-    cost = float(best.summary.trainingCost)
-    vectors.unpersist()
+    try:
+        vectors.count()
+
+        def fit(start: int):
+            return KMeans(k=k, seed=seed + start, maxIter=max_iter).fit(vectors)
+
+        # The starts are independent jobs over the same kept vectors; run together they fill the
+        # cluster while each of them waits for its next iteration.
+        with ThreadPool(min(n_init, _PARALLEL_STARTS)) as pool:
+            target = inheritable_thread_target(df.sparkSession)(fit)
+            best = min(pool.map(target, range(n_init)), key=_inertia)
+        sizes = best.summary.clusterSizes
+        centroids = [[float(x) for x in center] for center in best.clusterCenters()]
+        cost = float(best.summary.trainingCost)
+    finally:
+        vectors.unpersist()
 
     filled = [i for i in range(len(centroids)) if sizes[i] > 0]
     order = sorted(filled, key=lambda i: (-sizes[i], [round(x, 9) for x in centroids[i]]))

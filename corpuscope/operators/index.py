@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpuscope.functions.dates import year_of
 from corpuscope.functions.text import count_terms, tokens
 from corpuscope.runtime import written
 from corpuscope.schema import SPEECH_ID, require_columns
@@ -29,7 +30,8 @@ SHARD_ROWS = 100_000
 
 @dataclass(frozen=True)
 class Index:
-    """A searchable corpus: ``speeches`` (one row per kept speech), ``terms`` and ``weights``.
+    """A searchable corpus: ``speeches`` (one row per kept speech), ``terms``, ``weights`` (with the
+    ``year`` of the speech, null without a valid date) and the distinct ``years``.
 
     ``buckets`` is set for a stored index, see :mod:`corpuscope.sources.layout`.
     """
@@ -37,6 +39,7 @@ class Index:
     speeches: DataFrame
     terms: DataFrame
     weights: DataFrame
+    years: DataFrame
     buckets: int | None = None
 
 
@@ -125,10 +128,15 @@ def unit_weights(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     ``shard`` numbers the slices of a long posting list (see SHARD_ROWS).
     """
     raw = raw_weights(counts, terms)
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    squares = F.sum(F.col("raw") * F.col("raw"))
+    if key == SPEECH_ID:
+        # The terms of one speech are few: one shuffle brings them together for norm and weights.
+        normed = raw.withColumn("norm", F.sqrt(squares.over(Window.partitionBy(key))))
+    else:
+        normed = raw.join(raw.groupBy(key).agg(F.sqrt(squares).alias("norm")), key)
     shard = F.pmod(F.xxhash64(F.col(key)), F.col("shards")).cast("int")
     weight = F.col("raw") / F.col("norm")
-    return raw.join(norms, key).select(
+    return normed.select(
         key, "term", shard.alias("shard"), "tf", "df", "idf", weight.alias("weight")
     )
 
@@ -146,10 +154,15 @@ def tfidf(
 
 
 def build_index(clean: DataFrame, counts: DataFrame | None = None) -> Index:
-    """The index that searches and trends run on, with a speech as the entity."""
+    """The index that searches and trends run on, with a speech as the entity.
+
+    Speeches without a ``sitting_date`` column have no years.
+    """
     counts = counts if counts is not None else term_counts(clean, SPEECH_ID)
     terms = term_stats(counts, SPEECH_ID)
-    weights = unit_weights(counts, terms, SPEECH_ID).select(
-        SPEECH_ID, "term", "shard", "tf", "weight"
-    )
-    return Index(clean, terms, weights)
+    dated = "sitting_date" in clean.columns
+    year = year_of(F.col("sitting_date")) if dated else F.lit(None)
+    spoken = clean.select(SPEECH_ID, year.cast("int").alias("year"))
+    weights = unit_weights(counts, terms, SPEECH_ID).join(spoken, SPEECH_ID, "left")
+    weights = weights.select(SPEECH_ID, "term", "shard", "tf", "weight", "year")
+    return Index(clean, terms, weights, spoken.select("year").filter("year > 0").distinct())

@@ -18,6 +18,10 @@ from corpuscope.runtime import top_per_group, written
 from corpuscope.schema import SPEECH_ID, require_columns
 from corpuscope.sources.layout import with_bucket
 
+# Up to so many different terms or speeches are named in the scan of a stored table, whose sorted
+# files can then skip row groups; more of them are only met by the join.
+NAMED_IN_SCAN = 200
+
 _RECORD = ["member_name", "sitting_date", "political_party"]
 
 
@@ -37,15 +41,23 @@ def query_weights(index: Index, queries: DataFrame) -> DataFrame:
     return written(weighted.drop("raw"), "query-weights")
 
 
+def _scan_of(table: DataFrame, wanted: DataFrame, key: str, buckets: int | None) -> DataFrame:
+    """A stored table, read only where the few keys of ``wanted`` (a written table) can be."""
+    if buckets is None:
+        return table
+    keys = [row[0] for row in wanted.select(key).distinct().limit(NAMED_IN_SCAN + 1).collect()]
+    return table if len(keys) > NAMED_IN_SCAN else table.filter(F.col(key).isin(keys))
+
+
 def postings_of(index: Index, terms: DataFrame) -> DataFrame:
-    """Join rows with ``term`` and ``shards`` to the postings of their terms.
+    """Join rows with ``term`` and ``shards`` (a written table) to the postings of their terms.
 
     A frequent term is met shard by shard, so its postings never sit in one task; on a stored
     index only the buckets of the wanted terms are read.
     """
     wanted = terms.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     wanted, keys = with_bucket(wanted.drop("shards"), ["term", "shard"], index.buckets)
-    return wanted.join(index.weights, keys)
+    return wanted.join(_scan_of(index.weights, terms, "term", index.buckets), keys)
 
 
 def score_queries(index: Index, weights: DataFrame) -> DataFrame:
@@ -81,8 +93,10 @@ def search_page(scored: DataFrame, page: int, size: int = 20, min_score: float =
 def records(index: Index, matches: DataFrame) -> DataFrame:
     """Turn matches into result records; null fields become empty text."""
     require_columns(index.speeches, [SPEECH_ID, "speech", *_RECORD])
-    matches, keys = with_bucket(written(matches, "matches"), [SPEECH_ID], index.buckets)
-    found = matches.join(index.speeches, keys).na.fill("", ["speech", *_RECORD])
+    stored = written(matches, "matches")
+    speeches = _scan_of(index.speeches, stored, SPEECH_ID, index.buckets)
+    matches, keys = with_bucket(stored, [SPEECH_ID], index.buckets)
+    found = matches.join(speeches, keys).na.fill("", ["speech", *_RECORD])
     return found.select(
         "query_id",
         "rank",

@@ -13,7 +13,7 @@ from corpuscope.functions.sentiment import sentiment
 from corpuscope.operators import cleaning, clusters, index as ix, keywords, sampling, search as sr
 from corpuscope.operators import sentiment as opinion, similarity, topics, trend
 from corpuscope.plans import oracles as sql
-from corpuscope.plans.views import LEXICON, STOPS, speeches, table
+from corpuscope.plans.views import GREEK_STOPS, LEXICON, STOPS, greek_speeches, speeches, table
 from corpuscope.runtime import scratch_path, written
 from corpuscope.schema import QUERIES, SPEECH_COLUMNS, SPEECH_ID, STEMS, WORDS
 from corpuscope.sources import dictionaries, indexes, reports, speeches as stored
@@ -62,6 +62,18 @@ def built_index(spark: SparkSession, sf_dir: str) -> ix.Index:
     return ix.build_index(written(clean(spark, sf_dir), "clean"))
 
 
+def selective_stem(word):
+    """The Greek stem, or null (rejected) if it is longer than 14 letters."""
+    stem = greek_stem(word)
+    return F.when(F.length(stem) <= 14, stem)
+
+
+def clean_greek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Greek speeches, cleaned and stemmed, with one form of sigma (see the oracle)."""
+    kept = cleaning.clean_speeches(greek_speeches(spark, sf_dir), GREEK_STOPS, selective_stem)
+    return kept.withColumn("clean_text", F.translate("clean_text", "ς", "σ"))
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A few rows as a relation whose size the planner knows."""
     structs = [
@@ -159,6 +171,23 @@ def stopwords_antijoin(spark, sf_dir):
     return cleaning.remove_stopwords_join(counted, stops)
 
 
+@query(f"""WITH {sql.CLEAN_GREEK} SELECT speech_id, clean_text FROM clean""")
+def clean_speeches_greek(spark, sf_dir):
+    return clean_greek(spark, sf_dir).select(SPEECH_ID, "clean_text")
+
+
+@query(f"""WITH {sql.GREEK_SPEECHES_SQL},
+words AS (SELECT DISTINCT unnest({sql.tokenized('speech', 1)}) AS word FROM speeches),
+stems AS (SELECT {sql.greek_stemmed("upper(replace(word, 'ß', 'ss'))")} AS stem FROM words)
+SELECT replace(lower(stem), 'ς', 'σ') AS stem, count(*) AS words FROM stems GROUP BY ALL""")
+def stem_vocabulary_greek(spark, sf_dir):
+    """How many words of the vocabulary share each stem."""
+    spoken = greek_speeches(spark, sf_dir).select(F.explode(text.words(F.col("speech"))).alias("term"))
+    # One form of sigma before the words are made distinct, as SQL lower-cases them.
+    stems = cleaning.stem_vocabulary(spoken.select(F.translate("term", "ς", "σ").alias("term")), greek_stem)
+    return stems.groupBy(F.translate("stem", "ς", "σ").alias("stem")).agg(F.count("*").alias("words"))
+
+
 # --- index ------------------------------------------------------------------------------------
 
 
@@ -223,6 +252,19 @@ def accent_insensitive_filter(spark, sf_dir):
     return keywords.filter_names(documents, "text", "EAU ción").select("doc_id", "source")
 
 
+@query("""SELECT doc_id, source FROM documents
+WHERE contains(strip_accents(lower(text)), 'eau') AND contains(strip_accents(lower(text)), 'ree')""")
+def accented_needles(spark, sf_dir):
+    """Needles with accents and capitals find words written with other ones."""
+    documents = table(spark, sf_dir, "documents")
+    return keywords.filter_names(documents, "text", "ÉaU rÉé").select("doc_id", "source")
+
+
+@query(f"WITH {sql.keywords('member_name')} SELECT * FROM report WHERE member_name = 'src7'")
+def keywords_of_member(spark, sf_dir):
+    return keywords.keywords_by(clean(spark, sf_dir), "member_name", entity="src7")
+
+
 # --- search and trend -------------------------------------------------------------------------
 
 
@@ -233,6 +275,19 @@ def search_ranked(spark, sf_dir):
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+GREEK_SEARCHES = [(1, "Ανδ τηοντιον"), (2, "ερεν ινγοσ ΑΝΔΡΕΣ"), (3, "ζζζζ"), (4, "τιοναντα"), (5, None)]
+
+
+@query(f"""WITH {sql.scores(sql.values(GREEK_SEARCHES, 'query_id, query'), sql.CLEAN_GREEK, sql.cleaned_greek('query', 2))}
+SELECT query_id, CAST(rank AS BIGINT) AS rank, speech_id, round_even(score, 4) AS score
+FROM matches WHERE rank <= 10 AND score > 0.05""")
+def search_greek(spark, sf_dir):
+    built = ix.build_index(written(clean_greek(spark, sf_dir), "clean"))
+    asked = literal_table(spark, GREEK_SEARCHES, QUERIES)
+    found = sr.search(built, asked, GREEK_STOPS, selective_stem)
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), SPEECH_ID, "score")
+
+
 @query(f"""WITH {sql.scores("(SELECT item_id AS query_id, text AS query FROM benchmark)")}
 SELECT query_id, CAST(rank AS BIGINT) AS rank, speech_id, round_even(score, 4) AS score
 FROM matches WHERE rank <= 10 AND score > 0.05""")
@@ -306,6 +361,22 @@ def term_trend(spark, sf_dir):
     )
 
 
+@query(_TREND)
+def stored_term_trend(spark, sf_dir):
+    """The trend from a stored index, without its speeches."""
+    path = scratch_path(spark, "index")
+    indexes.save_index(built_index(spark, sf_dir), path)
+    index = indexes.load_index(spark, path)
+    series = trend.term_trend(index, literal_table(spark, TRENDS, WORDS), STOPS)
+    return series.select(
+        "word_id",
+        "token",
+        "found",
+        F.col("year").cast("bigint").alias("year"),
+        F.round("score", 6).alias("score"),
+    )
+
+
 # --- similarity -------------------------------------------------------------------------------
 
 
@@ -315,6 +386,13 @@ def similar_members(spark, sf_dir):
     return pairs.select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
+@query(sql.similar("speech_id", 100))
+def similar_speeches(spark, sf_dir):
+    """Pairs among hundreds of entities, which are compared block by block."""
+    pairs = similarity.similar_pairs(clean(spark, sf_dir), SPEECH_ID)
+    return pairs.select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
 @query(sql.similar("political_party", 100))
 def similar_parties(spark, sf_dir):
     pairs = similarity.similar_pairs(clean(spark, sf_dir), "political_party")
@@ -365,6 +443,20 @@ def leading_topic(spark, sf_dir):
     )
 
 
+@query(f"""WITH {sql.weights('speech_id', 5)}
+SELECT speech_id, CAST(10 AS BIGINT) AS topics,
+       speech_id NOT IN (SELECT speech_id FROM weights) AS is_zero
+FROM clean""")
+def topic_coverage(spark, sf_dir):
+    """Every speech has topics; those without a frequent term have only zeros."""
+    found = topics.latent_topics(clean(spark, sf_dir))
+    return found.doc_topics.select(
+        SPEECH_ID,
+        F.size("topics").cast("bigint").alias("topics"),
+        F.forall("topics", lambda x: x == 0.0).alias("is_zero"),
+    )
+
+
 @query()
 def topic_terms(spark, sf_dir):
     found = topics.latent_topics(clean(spark, sf_dir))
@@ -387,6 +479,59 @@ def topic_energy(spark, sf_dir):
     )
 
 
+@query(f"""WITH {sql.CLEAN}
+SELECT topic, count(*) AS speeches, true AS energy_is_sigma_squared, true AS orthogonal, true AS unit_loadings
+FROM clean, (SELECT unnest(generate_series(1, 10)) AS topic) GROUP BY ALL""")
+def topic_checks(spark, sf_dir):
+    """Each of the topics against what a singular pair must be: the energy of its speech vector is
+    sigma squared, speech vectors are orthogonal to all others, loadings have length one."""
+    found = topics.latent_topics(clean(spark, sf_dir))
+    k = len(found.sigma)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(k)]))
+    x, y = F.get("topics", F.col("p.i")), F.get("topics", F.col("p.j"))
+    products = found.doc_topics.select("topics", pairs.alias("p")).groupBy("p.i", "p.j")
+    products = products.agg(F.sum(x * y).alias("product"), F.count("*").alias("speeches"))
+    scale = F.get(F.lit(found.sigma), F.col("i")) * F.get(F.lit(found.sigma), F.col("j"))
+    own = F.col("i") == F.col("j")
+    by_topic = products.groupBy((F.col("i") + 1).cast("bigint").alias("topic")).agg(
+        F.max("speeches").alias("speeches"),
+        F.bool_and(~own | (F.abs(F.col("product") / scale - 1) < 1e-6)).alias("energy_is_sigma_squared"),
+        F.bool_and(own | (F.abs(F.col("product") / scale) < 1e-6)).alias("orthogonal"),
+    )
+    lengths = found.topic_terms.groupBy(F.col("topic").cast("bigint").alias("topic")).agg(
+        (F.abs(F.sum(F.col("loading") * F.col("loading")) - 1) < 1e-6).alias("unit_loadings")
+    )
+    return by_topic.join(lengths, "topic")
+
+
+@query("""SELECT count(*) AS vectors, CAST(10 AS BIGINT) AS clusters, count(*) AS members,
+       CAST(0 AS BIGINT) AS not_at_nearest, CAST(0 AS BIGINT) AS off_mean
+FROM embeddings""")
+def kmeans_checks(spark, sf_dir):
+    """The partition that K-Means found: complete, every vector at its nearest centroid, every
+    centroid at the mean of its members."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("topics"))
+    grouped = clusters.cluster_topics(vectors, k=10, n_init=10)
+    k = len(grouped.centroids)
+    centroid = F.get(F.lit(grouped.centroids), F.col("cluster_id"))
+
+    def distance(center):
+        return F.aggregate(F.zip_with("topics", center, lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda a, d: a + d)
+
+    own = distance(centroid)
+    least = F.least(*[distance(F.lit(c)) for c in grouped.centroids])
+    sizes = grouped.assigned.groupBy("cluster_id").agg(
+        F.count("*").alias("n"),
+        F.count_if(own > least + 1e-9).alias("far"),
+        F.array(*[F.avg(F.get("topics", F.lit(j))) for j in range(DIMS)]).alias("mean"),
+    )
+    gap = F.aggregate(F.zip_with("mean", centroid, lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda a, d: a + d)
+    return sizes.agg(
+        F.sum("n").alias("vectors"), F.lit(k).cast("bigint").alias("clusters"), F.sum("n").alias("members"),
+        F.sum("far").alias("not_at_nearest"), F.count_if(gap > 1e-6).alias("off_mean"),
+    )
+
+
 @query()
 def topic_clusters(spark, sf_dir):
     """100 clusters of the speeches by topic, the best of 10 starts, with their mean topics."""
@@ -453,6 +598,16 @@ def cluster_top_topics(spark, sf_dir):
     return best.withColumn("cluster_id", F.col("cluster_id").cast("bigint"))
 
 
+@query(f"""WITH {sql.VECTORS}
+SELECT label AS cluster_id, 'Topic_' || pos AS topic, round_even(c, 3) AS weight
+FROM centroids WHERE c > 0.01""")
+def cluster_many_topics(spark, sf_dir):
+    """A threshold that leaves several topics per cluster."""
+    means = clusters.cluster_topic_means(label_clusters(spark, sf_dir), dims=DIMS)
+    best = clusters.cluster_top_topics(means, min_weight=0.01)
+    return best.withColumn("cluster_id", F.col("cluster_id").cast("bigint"))
+
+
 @query("""SELECT CAST(label AS BIGINT) AS cluster_id, count(*) AS n_speeches
 FROM embeddings GROUP BY ALL""")
 def cluster_sizes(spark, sf_dir):
@@ -498,7 +653,7 @@ SELECT speech_id, member_name, CAST(label AS BIGINT) AS cluster_id,
        round(embedding[64]::DOUBLE, 6) + 0.0 AS last
 FROM speeches JOIN embeddings ON vec_id = speech_id""")
 def attach_topics(spark, sf_dir):
-    wide = topics.widen(embedded_speeches(spark, sf_dir))
+    wide = topics.widen(embedded_speeches(spark, sf_dir), DIMS)
     return wide.select(
         SPEECH_ID,
         "member_name",

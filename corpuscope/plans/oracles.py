@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from corpuscope.functions.greek import ACCENTED, COMBINING, GROUPS, PATTERN, PLAIN
 from corpuscope.functions.text import PUNCTUATION
-from corpuscope.plans.views import LEXICON, SPEECHES_SQL, STOPS
+from corpuscope.plans.views import GREEK_SPEECHES_SQL, GREEK_STOPS, LEXICON, SPEECHES_SQL, STOPS
 
 _BLANKS = r"[\s\p{Z}]+"
 
@@ -30,6 +31,28 @@ def cleaned(text: str, min_word: int = 1) -> str:
     return f"array_to_string(list_filter({words}, lambda w: {keep}), ' ')"
 
 
+def greek_stemmed(word: str) -> str:
+    """The stem of an upper-cased word."""
+    plain = f"translate({word}, '{ACCENTED}{COMBINING}', '{PLAIN}')"
+    groups = "".join(f"\\{i}" for i in range(1, GROUPS + 1))
+    stem = f"regexp_replace({plain}, '{PATTERN}', '{groups}')"
+    return f"CASE WHEN regexp_full_match({plain}, '[Α-Ω]+') THEN {stem} ELSE {word} END"
+
+
+def cleaned_greek(text: str, min_word: int = 1, longest: int = 14) -> str:
+    """As ``cleaned``, with stems; stems of more than ``longest`` letters are rejected.
+
+    The final sigma is written as any other, since engines differ in lower-casing it.
+    """
+    stops = sql_list([stop.upper() for stop in GREEK_STOPS])
+    upper = f"upper(replace(lower({text}), 'ß', 'ss'))"
+    words = f"string_split_regex({unpunctuated(digits_joined(upper))}, '{_BLANKS}')"
+    words = f"list_filter({words}, lambda w: length(w) >= {min_word} AND NOT list_contains({stops}, w))"
+    stems = f"list_transform({words}, lambda w: {greek_stemmed('w')})"
+    stems = f"list_filter({stems}, lambda w: length(w) <= {longest} AND NOT list_contains({stops}, w))"
+    return f"replace(lower(array_to_string({stems}, ' ')), 'ς', 'σ')"
+
+
 def tokenized(text: str, least: int = 2) -> str:
     return rf"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}_]{{{least},}}')"
 
@@ -42,10 +65,12 @@ cleaned AS (
 ),
 clean AS (SELECT *, {YEAR} AS year FROM cleaned WHERE length(clean_text) >= 50)"""
 
+CLEAN_GREEK = CLEAN.replace(SPEECHES_SQL, GREEK_SPEECHES_SQL).replace(cleaned("speech"), cleaned_greek("speech"))
+
 
-def weights(key: str, min_df: int = 1) -> str:
+def weights(key: str, min_df: int = 1, clean: str = CLEAN) -> str:
     """CTEs ending in ``weights(key, term, tf, df, idf, raw, weight)``."""
-    return f"""{CLEAN},
+    return f"""{clean},
 counts AS (
   SELECT {key}, term, count(*) AS tf
   FROM (SELECT {key}, unnest({tokenized('clean_text')}) AS term FROM clean
@@ -91,11 +116,11 @@ def values(rows, columns: str) -> str:
     return f"(SELECT * REPLACE (CAST({key} AS BIGINT) AS {key}) FROM (VALUES {body}) AS t({columns}))"
 
 
-def scores(queries: str) -> str:
+def scores(queries: str, clean: str = CLEAN, clean_query: str = cleaned("query", 2)) -> str:
     """CTEs ending in ``matches`` for the relation ``queries(query_id, query)``."""
-    return f"""{weights('speech_id')},
+    return f"""{weights('speech_id', clean=clean)},
 queries AS (
-  SELECT query_id, coalesce({cleaned('query', 2)}, '') AS clean_text
+  SELECT query_id, coalesce({clean_query}, '') AS clean_text
   FROM {queries}
 ),
 query_counts AS (
