@@ -16,11 +16,13 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuscope.llm.dictionary import (
     Positions,
     bucket_count,
+    bucket_of,
     by_bucket,
     dictionaries,
     pack,
@@ -39,7 +41,8 @@ ADDED = (0.1, 0.3, 1.0, 3.0, 10.0)
 BYTE_WEIGHT = 1e-5
 _MARK = "▁"
 _WORDS_PER_ROW = 5_000
-_CELLS = 2_000_000
+_CELLS = 300_000
+_LEADING_BITS = 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _LOADED: dict = {}
 
@@ -78,6 +81,9 @@ class Lattice:
         hashes = np.array([self._hashes(np.array([[ord(c) for c in p]], np.uint64))[0, -1] for p in pieces], np.uint64)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
+        #: Which leading bits of a hash any piece has: most spans are no piece and need no search.
+        self.leading = np.zeros(1 << _LEADING_BITS, bool)
+        self.leading[(hashes >> np.uint64(64 - _LEADING_BITS)).astype(np.int64)] = True
 
     @staticmethod
     def _hashes(codes: np.ndarray) -> np.ndarray:
@@ -89,17 +95,25 @@ class Lattice:
 
     def _spans(self, words: list[str]):
         """Per span length: piece (-1: none) and log weight at each begin; and the characters."""
-        codes = np.array([[ord(c) for c in _MARK + w] for w in words], np.uint64)
+        joined = "".join([_MARK + w for w in words]).encode("utf-32-le")
+        codes = np.frombuffer(joined, np.uint32).reshape(len(words), -1).astype(np.uint64)
         hashes = self._hashes(codes)
         found, scores = [], []
         power = np.ones(1, np.uint64)
         for n in range(1, min(self.longest, codes.shape[1]) + 1):
             power *= _FACTOR
             spans = hashes[:, n:] - hashes[:, :-n] * power
-            at = np.minimum(np.searchsorted(self.hashes, spans), len(self.hashes) - 1)
-            piece = np.where(self.hashes[at] == spans, self.order[at], -1)
+            piece = np.full(spans.shape, -1, np.int64)
+            score = np.full(spans.shape, -np.inf)
+            maybe = np.flatnonzero(self.leading[(spans >> np.uint64(64 - _LEADING_BITS)).view(np.int64)].ravel())
+            wanted = spans.ravel()[maybe]
+            at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+            hit = self.hashes[at] == wanted
+            maybe, at = maybe[hit], self.order[at[hit]]
+            piece.ravel()[maybe] = at
+            score.ravel()[maybe] = self.log_weights[at]
             found.append(piece)
-            scores.append(np.where(piece >= 0, self.log_weights[piece], -np.inf))
+            scores.append(score)
         bare = found[0] < 0
         for code in np.unique(codes[bare]):
             of = [self.log_weights[self.pieces + b] for b in chr(int(code)).encode()]
@@ -117,11 +131,17 @@ class Lattice:
                 terms = [s[:, j] + total[:, j + k + 1] for k, s in enumerate(scores) if j + k + 1 <= length]
             else:
                 terms = [s[:, j - k - 1] + total[:, j - k - 1] for k, s in enumerate(scores) if j - k - 1 >= 0]
-            stacked = np.stack(terms)
-            top = stacked.max(0)
-            top[np.isneginf(top)] = 0
+            top = terms[0]
+            for term in terms[1:]:
+                top = np.maximum(top, term)
+            top = np.where(np.isneginf(top), 0, top)
+            sums = np.zeros(n)
+            for term in terms:
+                # Most spans are no pieces: only rows with a path are raised to their power.
+                rows = np.flatnonzero(term > top - 700)
+                sums[rows] += np.exp(term[rows] - top[rows])
             with np.errstate(divide="ignore"):
-                total[:, j] = top + np.log(np.exp(stacked - top).sum(0))
+                total[:, j] = top + np.log(sums)
         return total
 
     def _blocks(self, words: list[str]):
@@ -183,21 +203,37 @@ def _merged(tables) -> tuple[dict[str, int], np.ndarray]:
     return words, np.bincount(np.concatenate(places), np.concatenate(counts), len(words)).astype(np.int64)
 
 
-def _word_counts(parts: DataFrame) -> DataFrame:
-    """Distinct training words with their counts, some thousands to a row."""
+def _word_counts(parts: DataFrame, buckets: int) -> DataFrame:
+    """Distinct words by bucket with their counts in training texts, some thousands to a row."""
 
     def merge(tables):
         words, counts = _merged(tables)
         names = list(words)
-        seen = np.flatnonzero(counts > 0)
-        for a in range(0, len(seen), _WORDS_PER_ROW):
-            own = seen[a : a + _WORDS_PER_ROW]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([[names[i] for i in own]], pa.list_(pa.string())), pa.array([counts[own]], pa.list_(pa.int64()))],
-                ["words", "counts"],
-            )
+        owner = bucket_of(names, buckets)
+        order = np.argsort(owner, kind="stable")
+        ends = np.flatnonzero(np.diff(owner[order].astype(int))) + 1
+        for own in np.split(order, ends) if len(order) else []:
+            for a in range(0, len(own), _WORDS_PER_ROW):
+                at = own[a : a + _WORDS_PER_ROW]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([owner[at[0]]], pa.int32()), pa.array([[names[i] for i in at]], pa.list_(pa.string())),
+                     pa.array([counts[at]], pa.list_(pa.int64()))],
+                    ["bucket", "words", "counts"],
+                )
+
+    return by_bucket(parts).mapInArrow(merge, "bucket int, words array<string>, counts array<long>")
+
+
+def _path_weights(word_counts: DataFrame, vocabulary: str, weights: np.ndarray) -> DataFrame:
+    """Add ``paths``: the natural log of the summed weights of each word's paths."""
+
+    def run(tables):
+        for table in tables:
+            lattice = _lattice(vocabulary, weights, "fitted")
+            paths = [lattice.log_probability(words) for words in table.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*table.columns, pa.array(paths, pa.list_(pa.float64()))], [*table.schema.names, "paths"])
 
-    return by_bucket(parts).mapInArrow(merge, "words array<string>, counts array<long>")
+    return word_counts.mapInArrow(run, "bucket int, words array<string>, counts array<long>, paths array<double>")
 
 
 def fit_pieces(word_counts: DataFrame, vocabulary: str, passes: int = EM_PASSES) -> np.ndarray:
@@ -215,7 +251,8 @@ def fit_pieces(word_counts: DataFrame, vocabulary: str, passes: int = EM_PASSES)
             for table in tables:
                 lattice = _lattice(vocabulary, now, f"pass {step}")
                 for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist()):
-                    total += lattice.expected(words, np.asarray(counts, float))
+                    seen = [i for i, c in enumerate(counts) if c]
+                    total += lattice.expected([words[i] for i in seen], np.asarray(counts, float)[seen])
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.float64())], ["piece", "uses"])
 
@@ -227,27 +264,27 @@ def fit_pieces(word_counts: DataFrame, vocabulary: str, passes: int = EM_PASSES)
     return weights
 
 
-def fit_mixture(word_counts: DataFrame, vocabulary: str, weights: np.ndarray, tokens: int, kinds: int) -> tuple[float, float]:
+def fit_mixture(paths: DataFrame, tokens: int, kinds: int) -> tuple[float, float]:
     """Share of the pieces' paths and constant added to counts that make the training words likeliest,
     each occurrence scored as if it had been left out.
 
-    One pass adds up a few dozen sums over all distinct words.
+    ``paths`` has the words' counts and path weights; one pass adds up a few dozen sums.
     """
     pairs = [(share, added) for share in SHARES for added in ADDED]
 
     def likelihoods(tables):
         total = np.zeros(len(pairs))
         for table in tables:
-            lattice = _lattice(vocabulary, weights, "fitted")
-            for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist()):
-                paths = np.exp(lattice.log_probability(words))
-                counts = np.asarray(counts, float)
-                for i, (share, added) in enumerate(pairs):
-                    without = (counts - 1 + added) / (tokens - 1 + added * (kinds + 1))
-                    total[i] += (counts * np.log((1 - share) * without + share * paths)).sum()
+            counts = table.column("counts").flatten().to_numpy().astype(float)
+            own = np.exp(table.column("paths").flatten().to_numpy())[counts > 0]
+            counts = counts[counts > 0]
+            for i, (share, added) in enumerate(pairs):
+                without = (counts - 1 + added) / (tokens - 1 + added * (kinds + 1))
+                total[i] += (counts * np.log((1 - share) * without + share * own)).sum()
         yield pa.RecordBatch.from_arrays([pa.array(range(len(pairs)), pa.int32()), pa.array(total, pa.float64())], ["pair", "total"])
 
-    rows = word_counts.mapInArrow(likelihoods, "pair int, total double").groupBy("pair").agg(F.sum("total"))
+    rows = paths.select("counts", "paths").mapInArrow(likelihoods, "pair int, total double")
+    rows = rows.groupBy("pair").agg(F.sum("total"))
     return pairs[max(rows.collect(), key=lambda r: (r[1], -r[0]))[0]]
 
 
@@ -270,16 +307,18 @@ def score_texts(
     )
     buckets = bucket_count(docs)
     parts = written(dictionaries(texts, split_words, buckets, weighed=True), "lattice-words")
-    counted = written(_word_counts(parts), "lattice-counts")
+    counted = written(_word_counts(parts, buckets), "lattice-counts")
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = counted.repartition(spread)
     weights = fit_pieces(counted, vocabulary)
 
     one = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    totals = counted.agg(F.sum(one).alias("words"), F.sum(F.size("words")).alias("kinds")).first()
+    distinct = F.size(F.filter("counts", lambda x: x > 0))
+    totals = counted.agg(F.sum(one).alias("words"), F.sum(distinct).alias("kinds")).first()
     ends = docs.filter(is_training).count()
     n, kinds = (totals["words"] or 0) + ends, (totals["kinds"] or 0) + (ends > 0)
-    share, added = fit_mixture(counted, vocabulary, weights, n, kinds) if totals["words"] else (SHARES[0], ADDED[0])
+    paths = written(_path_weights(counted, vocabulary, weights), "lattice-paths")
+    share, added = fit_mixture(paths, n, kinds) if totals["words"] else (SHARES[0], ADDED[0])
 
     def arc_of(counts: np.ndarray, added: float) -> np.ndarray:
         return np.log10((counts + added) / (n + added * (kinds + 1)))
@@ -288,14 +327,20 @@ def score_texts(
     end_score = end_arc + math.log10(1 - share)
 
     def score(tables):
-        tables = list(tables)
-        if not tables:
-            return
-        words, counts = _merged(tables)
-        names = list(words)
-        paths = _lattice(vocabulary, weights, "fitted").log_probability(names)
+        words: dict[str, int] = {}
+        parts_, counts, own_paths = [], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for table in tables:
+            if table.num_rows == 0:
+                continue
+            fitted = table.filter(pc.is_valid(table.column("paths")))
+            for own in fitted.column("words").to_pylist():
+                words.update(zip(own, range(len(words), len(words) + len(own))))
+            counts.append(fitted.column("counts").flatten().to_numpy())
+            own_paths.append(fitted.column("paths").flatten().to_numpy())
+            parts_.append(table.filter(pc.is_null(table.column("paths"))).select(["batch", "bucket", "check", "words"]))
+        counts, tables = np.concatenate(counts), parts_
         arcs = math.log(1 - share) + arc_of(counts, added) * math.log(10)
-        scores = np.logaddexp(arcs, math.log(share) + paths) / math.log(10)
+        scores = np.logaddexp(arcs, math.log(share) + np.concatenate(own_paths)) / math.log(10)
         for table in tables:
             rows = [[], []]
             for own in table.column("words").to_pylist():
@@ -307,7 +352,9 @@ def score_texts(
                 ["batch", "bucket", "check", "counts", "scores"],
             )
 
-    scored = by_bucket(parts).mapInArrow(score, "batch long, bucket int, check long, counts binary, scores binary")
+    # The words of a bucket meet their counts and paths in the task that has the bucket.
+    met = by_bucket(parts.drop("counts").unionByName(paths, allowMissingColumns=True))
+    scored = met.mapInArrow(score, "batch long, bucket int, check long, counts binary, scores binary")
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         at = Positions(left.iloc[0])
