@@ -56,7 +56,7 @@ _NOT_ARTICLE = frozenset("ad ads advert advertisement sponsored promo comment co
 #: ``with-sidebar`` names a page that has a sidebar, not the sidebar.
 _HAVING = frozenset("with has no without".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _NAME_PART = re.compile(r"[a-z]+")
@@ -95,10 +95,12 @@ def parse(page: str) -> Node:
     root = Node("", "")
     stack, at = [root], 0
     lower = None
-    for m in iter(lambda: _TAG.search(page, at), None):
-        if m.start() > at:
-            stack[-1].kids.append(page[at : m.start()])
-        at = m.end()
+    tags = _TAG.finditer(page)
+    while (m := next(tags, None)) is not None:
+        begin, end = m.span()
+        if begin > at:
+            stack[-1].kids.append(page[at:begin])
+        at = end
         if m[2] is None:
             continue
         tag = m[2].lower()
@@ -134,6 +136,7 @@ def parse(page: str) -> Node:
             at = len(page) if end < 0 else end
             stop = page.find(">", at)
             at = len(page) if stop < 0 else stop + 1
+            tags = _TAG.finditer(page, at)
         elif tag not in _VOID and not m[3].endswith("/"):
             stack.append(node)
     if at < len(page):
@@ -142,7 +145,10 @@ def parse(page: str) -> Node:
 
 
 def _tidy(parts: list[str]) -> str:
-    return _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+    text = "".join(parts)
+    if "&" in text:
+        text = html.unescape(text)
+    return " ".join(text.split()) if text.isascii() else _SPACE.sub(" ", text).strip()
 
 
 def blocks(root: Node) -> list[tuple[int, str, str]]:
