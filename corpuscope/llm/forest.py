@@ -30,7 +30,7 @@ LEAF_SAMPLE = 32
 #: A query is shown leaves with so many entries, as a share of all vectors (a vector met in two trees counts twice).
 SHARE = 1.5
 #: A task ranks about so many entries, read in groups.
-GROUP_ENTRIES = 40_000
+GROUP_ENTRIES = 16_000
 
 
 class Forest:

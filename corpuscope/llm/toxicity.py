@@ -40,7 +40,8 @@ _DISGUISE = str.maketrans("013457@$!|", "oieastasii")
 _TOKEN = re.compile(r"\S+")
 _WORD = re.compile(r"[^\W\d_]+")
 _INSIDE = re.compile(r"[^\W\d_][\d@$!|*#._-]+[^\W\d_]")
-_PUNCTUATION = re.compile(r"[^\w\s]")
+_PUNCTUATION = re.compile(r"[^\w\s]+")
+_CAPITALS = re.compile("[A-ZÀ-ÖØ-ÞΑ-ΩА-Я]+")
 
 
 def keys_of(word: str) -> list[str]:
@@ -48,14 +49,14 @@ def keys_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
 
 
-def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
-    """The dozen numbers; all 0 for a null or empty text."""
+def features(text: str | None, lexicon: dict[str, float], known: dict[str, float] | None = None) -> list[float]:
+    """The dozen numbers; all 0 for a null or empty text. ``known`` keeps words' weights for further texts."""
     text = text or ""
     words = _WORD.findall(text)
     if not text.strip():
         return [0.0] * 12
     lower = [w.lower() for w in words]
-    known: dict[str, float] = {}
+    known = {} if known is None else known
     hits, total, best = [], 0.0, 0.0
     for i, word in enumerate(lower):
         weight = known.get(word)
@@ -77,7 +78,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
                 best = max(best, weight)
     n, size = max(1, len(words)), len(text)
     upper = sum(map(str.isupper, words))
-    capitals = sum(1 for c in text if c.isupper())
+    capitals = sum(map(len, _CAPITALS.findall(text)))
     return [
         len(hits) / n,
         math.log1p(len(hits)),
@@ -88,7 +89,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         capitals / size,
         upper / n,
         (text.count("!") + text.count("?")) / size,
-        len(_PUNCTUATION.findall(text)) / size,
+        sum(map(len, _PUNCTUATION.findall(text))) / size,
         disguised / n,
         math.log1p(disguised_hits),
     ]
@@ -130,7 +131,8 @@ class ToxicityModel:
 def _dense(rows: DataFrame, lexicon: dict[str, float], text_col: str) -> DataFrame:
     @F.pandas_udf("array<double>")
     def measure(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t, lexicon) for t in texts])
+        known: dict[str, float] = {}
+        return pd.Series([features(t, lexicon, known) for t in texts])
 
     return rows.withColumn("_features", array_to_vector(measure.asNondeterministic()(F.col(text_col))))
 
