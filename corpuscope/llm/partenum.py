@@ -16,7 +16,7 @@ passage in many short texts makes few equal ones. Candidates are verified on who
 - Of the sets that share a signature, each is compared with two leaders only. Where such a group is
   left in several components, pairs from different components are checked as well if they also share
   one of their rarest shingles, as similar sets must (the prefix filter), and if neither their sizes
-  nor the distance of their histograms rules them out. Components are therefore those of all links,
+  nor the place of that shingle nor the distance of their histograms rules them out. Components are therefore those of all links,
   though copies are never expanded into all pairs.
 """
 
@@ -39,6 +39,8 @@ SMALL, SMALL_PARTS, LARGE_PARTS = 220, (6, 2), (3, 1)
 SKETCH = 64
 #: Cells in which shingles of undecided sets are counted, to tell rare from frequent ones.
 CELLS = 1 << 20
+#: Bits of the map by which texts are picked before a join.
+BITMAP = 1 << 23
 _BATCH = 2_000
 _RUN_PART = 4_096
 _STAR_PART = 64
@@ -243,6 +245,25 @@ def _rows(kind: int, a, b, m, members) -> pa.RecordBatch:
     )
 
 
+def _with_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts whose ids may be among ``ids``, so that a join shuffles few others.
+
+    A bitmap of fixed size (a megabyte) by the hash of the id; the more ids, the more texts pass.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP))
+    words = ids.select(place.alias("place")).selectExpr("CAST(place DIV 64 AS INT) AS word", "shiftleft(1L, CAST(place % 64 AS INT)) AS bit")
+    bitmap = np.zeros(BITMAP // 64, np.int64)
+    for word, bits in words.groupBy("word").agg(F.bit_or("bit")).collect():
+        bitmap[word] = bits
+
+    @F.pandas_udf("boolean")
+    def may_be(places: pd.Series) -> pd.Series:
+        places = places.to_numpy()
+        return pd.Series((bitmap[places // 64] >> (places % 64)) & 1 == 1)
+
+    return texts.filter(may_be(place))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b, size)`` whose sets are similar enough, read from whole texts.
 
@@ -254,7 +275,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     pairs = written(pairs.groupBy("a", "b").agg(F.max("size").alias("size")).withColumn("part", part), "pairs")
     wanted = pairs.select("a", "part", F.col("a").alias("id"), F.lit(0).alias("role")).distinct()
     wanted = wanted.union(pairs.select("a", "part", F.col("b").alias("id"), F.lit(1).alias("role")))
-    rows = written(wanted, "compared").join(texts, "id")
+    wanted = written(wanted, "compared")
+    rows = wanted.join(_with_ids(texts, wanted), "id")
     rows = rows.repartition(spread, "a", "part").sortWithinPartitions("a", "part", "role", "id")
 
     def compare(tables):
@@ -289,8 +311,8 @@ def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: D
     rows = groups.select(F.col("a").alias("run"), F.explode("members").alias("id"))
     rows = written(rows.join(classes.select(F.col("class").alias("id"), "component"), "id"), "group-rows")
     mixed = rows.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    undecided = rows.join(written(mixed.select("run"), "mixed-groups"), "run").select("id").distinct()
-    undecided = written(undecided.join(texts, "id").dropDuplicates(["id"]), "undecided")
+    undecided = written(rows.join(written(mixed.select("run"), "mixed-groups"), "run").select("id").distinct(), "undecided-ids")
+    undecided = written(undecided.join(_with_ids(texts, undecided), "id").dropDuplicates(["id"]), "undecided")
 
     def count(tables):
         total = np.zeros(CELLS, np.int64)
@@ -309,17 +331,18 @@ def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: D
         rank = np.zeros(CELLS, np.int64)
         rank[list(often)] = list(often.values())
         for table in tables:
-            firsts, owners = [], []
+            firsts, owners, places = [], [], []
             for key, text in zip(table.column("id").to_pylist(), table.column("text").to_pylist()):
                 own = shingle_set(text, words)
                 order = np.lexsort((own, rank[(own % np.uint64(CELLS)).astype(np.int64)]))
                 first = own[order[: len(own) - -(-len(own) * percent // 100) + 1]]
                 firsts.append(first.view(np.int64))
                 owners.append(np.full(len(first), key))
-            flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, owners)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flat], ["shingle", "class"])
+                places.append(np.arange(len(first)))
+            flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, owners, places)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flat], ["shingle", "class", "place"])
 
-    rows = undecided.select("id", "text").mapInArrow(prefixes, "shingle long, class long")
+    rows = undecided.select("id", "text").mapInArrow(prefixes, "shingle long, class long, place long")
     rows = written(rows.join(classes, "class"), "prefixes")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
     mixed = mixed.filter("x < y").select("shingle", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
@@ -328,7 +351,7 @@ def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: D
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
     spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    picked = rows.select("shingle", "lo", "hi", "class", "n", "component", "sketch", "block")
+    picked = rows.select("shingle", "lo", "hi", "class", "place", "n", "component", "sketch", "block")
     picked = picked.repartition(spread, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi", "class")
     pairs = picked.mapInPandas(lambda tables: _by_key(tables, percent), "a long, b long").distinct()
     return pairs.withColumn("size", F.lit(_STAR_PART))
@@ -355,13 +378,19 @@ def _pairs_of(rows: pd.DataFrame, keys: list[str], percent: int) -> pd.DataFrame
 
 
 def _close_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of one block (or of two) that sizes and histograms do not rule out."""
-    names, n, comp, block = (rows[c].to_numpy() for c in ("class", "n", "component", "block"))
+    """Pairs of one block (or of two) that sizes, places and histograms do not rule out.
+
+    If this is the first shingle in order that two sets share, they share at most what follows it
+    in either; a similar pair therefore stays at its first shared shingle.
+    """
+    names, n, comp, block, place = (rows[c].to_numpy() for c in ("class", "n", "component", "block", "place"))
+    rest = n - place
     two = rows["lo"].iloc[0] != rows["hi"].iloc[0]
     bins = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, SKETCH).astype(np.int16)
     a, b = [], []
     for i in range(len(rows) - 1):
         ok = (comp[i + 1 :] != comp[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))
+        ok &= (100 + percent) * np.minimum(rest[i + 1 :], rest[i]) >= percent * (n[i + 1 :] + n[i])
         if two:
             ok &= block[i + 1 :] != block[i]
         at = np.flatnonzero(ok) + i + 1
