@@ -77,7 +77,7 @@ def clean_words(
     def accepted(stem: Column) -> Column:
         return stem.isNotNull() & ~stem.isin(stops) if stops else stem.isNotNull()
 
-    return F.filter(F.transform(surface, stemmer), accepted)
+    return F.filter(F.transform(surface, lambda word: stemmer(word)), accepted)
 
 
 def clean_text(
