@@ -27,6 +27,7 @@ from corpuscope.operators.keywords import keywords_by, with_year
 from corpuscope.operators.sentiment import sentiment_by_year
 from corpuscope.operators.similarity import similar_pairs
 from corpuscope.operators.topics import attach_topics, latent_topics, top_topic_terms
+from corpuscope.runtime import release
 from corpuscope.schema import SPEECH_ID
 from corpuscope.sources.dictionaries import load_stopwords, stop_list
 from corpuscope.sources.indexes import save_index
@@ -104,6 +105,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("corpuscope").getOrCreate()
     stops = stop_list(load_stopwords(spark, args.stops))
     build_all(read_speeches(spark, args.speeches), args.out, stops, buckets=args.buckets)
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -27,18 +27,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody has used yet.
 
-    All paths of an application lie in one folder named after it, to be removed when it is done.
+    All paths of an application lie in one folder named after it, which :func:`release` removes.
     """
     folder = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: iterations neither grow the plan nor lose work with an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table that is used several times to the shared folder and read it back.
 
@@ -49,6 +43,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once no result that reads them is needed."""
+    context = spark.sparkContext
+    path = f"{shared_dir(spark).rstrip('/')}/{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a table that arrives in fewer splits than there are cores one partition per core.
 

@@ -81,6 +81,19 @@ def test_topics_of_low_rank(spark):
     assert found.sigma == pytest.approx([6**0.5, 6**0.5])
 
 
+def test_speeches_without_a_frequent_term_have_zeros(spark):
+    rows = [(i, "aa bb" if i % 2 else "bb cc") for i in range(6)] + [(6, "rare words"), (7, "")]
+    clean = spark.createDataFrame(rows, ["speech_id", "clean_text"])
+    found = topics.latent_topics(clean, k=2, min_df=3)
+    vectors = {r["speech_id"]: r["topics"] for r in found.doc_topics.collect()}
+    assert sorted(vectors) == list(range(8))
+    assert vectors[6] == vectors[7] == [0.0, 0.0] and any(vectors[0])
+    attached = topics.attach_topics(clean, found.doc_topics, dims=2)
+    assert attached.count() == 8 and {"Topic_1", "Topic_2"} <= set(attached.columns)
+    grouped = clusters.cluster_topics(found.doc_topics, k=3, n_init=2)
+    assert grouped.assigned.count() == 8
+
+
 def points(spark, n=200, seed=1):
     rng = np.random.default_rng(seed)
     centers = rng.normal(size=(4, 3)) * 10

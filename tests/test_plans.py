@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from corpuscope.functions.greek import greek_stem
-from corpuscope.operators import index as ix, keywords, sentiment, similarity
+from corpuscope.operators import index as ix, keywords, search as sr, sentiment, similarity, trend
 from corpuscope.operators.cleaning import clean_speeches
 from corpuscope.plans.views import LEXICON, STOPS, speeches
 from corpuscope.runtime import scratch_path
+from corpuscope.sources import reports
+from corpuscope.sources.indexes import bucket_number, load_index, save_index
 from corpuscope.sources.speeches import read_clean, write_clean
 
 SMALL = "/root/testdata/sf0.001"
@@ -57,6 +59,61 @@ def test_only_needed_columns_are_read(spark):
     assert set(schema.split(",")) == {"sitting_date:string", "speech:string"}
 
 
+@pytest.fixture(scope="module")
+def index_path(spark):
+    path = scratch_path(spark, "test-index")
+    clean = clean_speeches(speeches(spark, SMALL), STOPS)
+    write_clean(clean, f"{path}/clean", buckets=4)
+    index = ix.build_index(read_clean(spark, f"{path}/clean").drop("bucket"))
+    save_index(index, path, 4, speeches=f"{path}/clean")
+    return path
+
+
+def test_a_stored_trend_reads_no_speeches(spark, index_path):
+    words = spark.createDataFrame([(1, "an"), (2, "zzzz")], "word_id long, word string")
+    files = trend.term_trend(load_index(spark, index_path), words, STOPS).inputFiles()
+    read = {f.split(index_path)[1].split("/")[1] for f in files if index_path in f}
+    assert "weights" in read and read <= {"weights", "years"}
+
+
+def test_a_stored_search_names_its_few_terms_in_the_scan(spark, index_path, monkeypatch):
+    index = load_index(spark, index_path)
+    asked = spark.createDataFrame([(1, "an"), (2, "ing")], "query_id long, query string")
+    scored = sr.score_queries(index, sr.query_weights(index, sr.clean_queries(asked)))
+    scans = [x for x in plan_of(scored).splitlines() if "FileScan" in x and "weight:double" in x]
+    assert scans and any("In(term, [" in x.split("PushedFilters")[1] for x in scans)
+    monkeypatch.setattr(sr, "NAMED_IN_SCAN", 1)
+    many = sr.score_queries(index, sr.query_weights(index, sr.clean_queries(asked)))
+    assert "In(term" not in plan_of(many)
+    assert Counter(many.collect()) == Counter(scored.collect())
+
+
+def test_stored_speeches_are_not_copied(spark, index_path):
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(index_path)
+    paths = {r.path.split(index_path)[1].split("/")[1] for r in listed.select("path").collect()}
+    assert paths == {"clean", "terms", "weights", "years", "layout"}
+    assert [bucket_number(n) for n in (0, 10**8, 10**12)] == [16, 25, 10_000]
+
+
+def test_only_the_rows_of_a_report_are_moved_into_one_file(spark, monkeypatch, tmp_path):
+    seen = {}
+    monkeypatch.setattr(reports, "write_csv", lambda df, path: seen.setdefault(path, df))
+    report = keywords.keywords_by(clean_speeches(speeches(spark, SMALL), STOPS), "member_name")
+    reports.write_report(report, "one", files=1)
+    plan = plan_of(seen["one"])
+    assert plan.index("Exchange") < plan.index("ObjectHashAggregate")  # printed from the top
+    assert "Coalesce" not in plan
+
+
+@pytest.mark.parametrize("files", [1, 3, None])
+def test_reports_are_in_order(spark, tmp_path, files):
+    rows = spark.createDataFrame([(str(i % 97), i) for i in range(97)], "name string, n int")
+    reports.write_report(rows.repartition(5), str(tmp_path / "out"), files=files)
+    parts = sorted((tmp_path / "out").glob("part-*.csv"))
+    lines = [x for part in parts for x in part.read_text("utf-8-sig").splitlines() if x != "name,n"]
+    assert [x.split(",")[0] for x in lines] == sorted(str(i) for i in range(97))
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Copies of one speech, by one member of one party, are well over a third of all rows."""
