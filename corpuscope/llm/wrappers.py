@@ -30,6 +30,8 @@ DEPTH = 60
 # Names of HTML elements by their meaning.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "noembed", "noframes", "xmp", "svg", "math")
+#: Of these, the ones that may be closed by a slash in their own tag.
+_FOREIGN = frozenset(("svg", "math"))
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
@@ -57,7 +59,8 @@ _NOT_ARTICLE = frozenset("ad ads advert advertisement sponsored promo comment co
 _HAVING = frozenset("with has no without".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NAMING = frozenset("class id role itemprop".split())
 _SPACE = re.compile(r"\s+")
 _NAME_PART = re.compile(r"[a-z]+")
 
@@ -74,11 +77,11 @@ class Node:
             return
         names: list[str] = []
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), (a or b or c).lower()
-            if key == "hidden" or (key == "aria-hidden" and value == "true"):
+            key = key.lower()
+            if key == "hidden" or (key == "aria-hidden" and (a or b or c).lower() == "true"):
                 self.drop = True
-            elif key != "aria-hidden":
-                names += _NAME_PART.findall(value)
+            elif key in _NAMING:
+                names += _NAME_PART.findall((a or b or c).lower())
         if names and tag not in ("html", "body"):
             self.label = f"{tag}.{'.'.join(names[:4])}"
             against = _NOT_ARTICLE if self.main or "main" in names else _NOT_MAIN
@@ -130,7 +133,7 @@ def parse(page: str) -> Node:
                     break
         node = Node(tag, m[3])
         stack[-1].kids.append(node)
-        if tag in _RAW:
+        if tag in _RAW and not (tag in _FOREIGN and m[3].endswith("/")):
             lower = page.lower() if lower is None else lower
             end = lower.find(f"</{tag}", at)
             at = len(page) if end < 0 else end

@@ -52,6 +52,20 @@ def test_odd_pages(page, text):
     assert one(page) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article style='overflow: hidden'><p>a</p></article>", "a"), ('<body title="The hidden valley"><p>b</p></body>', "b"),
+        ("<main data-id=comment-5><p>c</p></main>", "c"), ("<div data-role='banner' data-class=ad><p>d</p></div>", "d"),
+        ("<p><img alt='a hidden id=comment'>e</p>", "e"), ("<p title='x' HIDDEN>f</p><p Role = banner>g</p><p>h</p>", "h"),
+        ("<article><p>i <svg class=x viewBox='0 0 1 1' /> j</p><p>k</p></article>", "i j\nk"),
+        ("<p>l<math/></p><p>m</p><svg><text>no</text></svg><p>n</p>", "l\nm\nn"), ("<p>o<svg/>p</p><svg>no</svg>", "op"),
+    ],
+)
+def test_attributes_by_whole_names_and_closed_drawings(page, text):
+    assert one(page) == text
+
+
 def test_deep_long_and_hostile_pages_end():
     start = time.time()
     assert one("<div>" * 30_000 + "x") == "x"
