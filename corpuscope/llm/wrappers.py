@@ -2,8 +2,8 @@
 
 Every page is read into a tree; runs of like siblings fold into one *slot*. The folded trees (skeletons)
 of a host's pages are aligned with the host's most frequent skeleton by simple tree matching, which gives
-slots of different pages a common name. Text that a slot repeats on nearly all different pages of the
-host is template; varying text is content. Elements that HTML itself names as something other
+slots of different pages a common name. Text that a slot repeats on nearly all different articles of the
+host is template; varying text is content. Versions of one article count as one. Elements that HTML itself names as something other
 than main text (navigation, footers, forms, scripts ...) never are content.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from corpuscope.runtime import written
 
-#: Share of a host's different pages whose slot repeats a text that makes it template, and the fewest pages.
+#: Share of a host's different articles whose slot repeats a text that makes it template, and the fewest articles.
 TEMPLATE_SHARE = 0.9
 TEMPLATE_PAGES = 4
 #: Slots are named by so many steps from the root; what is deeper belongs to the slot above.
@@ -248,12 +248,17 @@ def align(reference: str, own: str) -> dict[str, str]:
     return names
 
 
-def _key(slot: str, text: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{slot}\n{text}") - 2**63
+def least_mark(found: list[tuple[int, str, str]]) -> int:
+    """The mark that a block needs to be content: an article's if articles hold most of the marked text.
+
+    Otherwise any mark will do, so that a teaser does not stand for the page; without marks all is content.
+    """
+    marked = sum(len(t) for main, _, t in found if main)
+    return 2 if 2 * sum(len(t) for main, _, t in found if main == 2) > marked else int(marked > 0)
 
 
 def _slots(tables):
-    """Every distinct (slot, text) of a page, and the page's skeleton."""
+    """Every (slot, text) of a page, whether it is content, and the page's skeleton."""
     for table in tables:
         rows = defaultdict(list)
         for host, page in zip(table.column("host").to_pylist(), table.column("html").to_pylist()):
@@ -265,46 +270,76 @@ def _slots(tables):
             rows["page"].append(digest)
             rows["slots"].append([p for _, p, _ in found])
             rows["texts"].append([xxhash.xxh3_64_intdigest(t) - 2**63 for _, _, t in found])
+            least = least_mark(found)
+            rows["content"].append([main >= least for main, _, _ in found])
         kinds = [("host", pa.string()), ("skeleton", pa.string()), ("page", pa.int64()),
-                 ("slots", pa.list_(pa.string())), ("texts", pa.list_(pa.int64()))]
+                 ("slots", pa.list_(pa.string())), ("texts", pa.list_(pa.int64())), ("content", pa.list_(pa.bool_()))]
         yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in kinds], [n for n, _ in kinds])
 
 
 def _named(tables):
-    """Slots under the names that the reference skeleton of the host gives them."""
+    """Every distinct pair of a page, its slot named as in the reference skeleton of the host, and how many are content."""
     for table in tables:
-        names = [
-            [align(ref or "", own)[s] for s in slots]
-            for ref, own, slots in zip(*(table.column(c).to_pylist() for c in ("reference", "skeleton", "slots")))
-        ]
+        slots, texts, content, sizes = [], [], [], []
+        columns = ("reference", "skeleton", "slots", "texts", "content")
+        for ref, own, *blocks in zip(*(table.column(c).to_pylist() for c in columns)):
+            names, pairs = align(ref or "", own), {}
+            for slot, text, main in zip(*blocks):
+                pair = (names[slot], text)
+                pairs[pair] = main or pairs.get(pair, False)
+            slots.append([s for s, _ in pairs])
+            texts.append([t for _, t in pairs])
+            content.append(list(pairs.values()))
+            sizes.append(sum(pairs.values()))
         yield pa.RecordBatch.from_arrays(
-            [table.column("host"), table.column("page"), pa.array(names, pa.list_(pa.string())), table.column("texts")],
-            ["host", "page", "slots", "texts"],
-        )
+            [table.column("host"), table.column("page"), pa.array(slots, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.int64())),
+             pa.array(content, pa.list_(pa.bool_())), pa.array(sizes, pa.int32())],
+            ["host", "page", "slots", "texts", "content", "size"],
+        )
 
 
 def induce(pages: DataFrame) -> DataFrame:
     """Per ``host``: its reference skeleton and the (slot, text) pairs that are template.
 
-    ``pages`` has ``host`` and ``html``. All pages count, equal ones once. A pair is template if it
-    stands on ``TEMPLATE_SHARE`` of the host's different pages and these are ``TEMPLATE_PAGES`` at
-    least; a host has at most its pages' mean number of blocks / ``TEMPLATE_SHARE`` such pairs.
+    ``pages`` has ``host`` and ``html``. All pages count, equal ones once, and pages that share most of
+    their content blocks together about once: a page counts 1 / m if more than half of its content pairs
+    stand on m pages or more each. These counts added up are the host's articles. A pair is template if it
+    has ``TEMPLATE_SHARE`` of them, and they are ``TEMPLATE_PAGES`` at least; a host has at most its
+    pages' mean number of blocks / ``TEMPLATE_SHARE`` such pairs.
     """
-    schema = "host string, skeleton string, page long, slots array<string>, texts array<long>"
+    schema = "host string, skeleton string, page long, slots array<string>, texts array<long>, content array<boolean>"
     slots = written(pages.mapInArrow(_slots, schema), "page-slots")
     shapes = slots.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("n"))
     # The most frequent skeleton; aggregated, so that no task sorts the shapes of a host.
     reference = shapes.groupBy("host").agg(F.max(F.struct("n", "skeleton"))["skeleton"].alias("reference"))
     reference = written(reference.withColumnRenamed("host", "h"), "references")
-    named = slots.join(reference, F.col("host").eqNullSafe(F.col("h")), "left").drop("h")
-    named = named.mapInArrow(_named, "host string, page long, slots array<string>, texts array<long>")
-    pairs = named.select("host", "page", F.explode(F.arrays_zip("slots", "texts")).alias("x"))
-    pairs = pairs.select("host", "page", F.col("x.slots").alias("slot"), F.col("x.texts").alias("text")).distinct()
-    often = pairs.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n"))
-    each = slots.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    each = each.filter(F.col("pages") >= TEMPLATE_PAGES).withColumnRenamed("host", "h")
-    fixed = often.join(written(each, "host-pages"), F.col("host").eqNullSafe(F.col("h")))
-    fixed = fixed.filter(F.col("n") >= TEMPLATE_SHARE * F.col("pages")).drop("h")
+    named = slots.dropDuplicates(["host", "page"]).join(reference, F.col("host").eqNullSafe(F.col("h")), "left").drop("h")
+    schema = "host string, page long, slots array<string>, texts array<long>, content array<boolean>, size int"
+    named = written(named.mapInArrow(_named, schema), "named-slots")
+    pairs = named.select("host", "page", "size", F.explode(F.arrays_zip("slots", "texts", "content")).alias("x"))
+    pairs = pairs.select("host", "page", "size", F.col("x.slots").alias("slot"), F.col("x.texts").alias("text"), F.col("x.content").alias("content"))
+    # Pairs of one page only make no template and fold nothing.
+    often = pairs.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    often = written(often.toDF("h", "s", "t", "n"), "repeated-pairs")
+    same = F.col("host").eqNullSafe(F.col("h")) & (F.col("slot") == F.col("s")) & (F.col("text") == F.col("t"))
+    shared = written(pairs.join(often, same).drop("h", "s", "t"), "shared-pairs")
+    half = F.floor(F.col("size") / 2).cast("int")
+    folded = shared.filter("content").groupBy("host", "page", "size").agg(F.sort_array(F.collect_list("n"), False).alias("counts"))
+    folded = folded.filter(F.size("counts") > half).select(
+        F.col("host").alias("h"), F.col("page").alias("p"), (1 - 1 / F.element_at("counts", half + 1)).alias("less")
+    )
+    folded = written(folded, "folded-pages")
+    less = folded.groupBy("h").agg(F.sum("less").alias("less"))
+    each = named.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= TEMPLATE_PAGES)
+    each = each.join(less, F.col("host").eqNullSafe(F.col("h")), "left")
+    # Rounded, so that thirds and the like add up to whole articles.
+    each = each.select(F.col("host").alias("h"), F.round(F.col("pages") - F.coalesce("less", F.lit(0.0)), 6).alias("articles"))
+    each = each.filter(F.col("articles") >= TEMPLATE_PAGES)
+    there = F.col("host").eqNullSafe(F.col("h")) & (F.col("page") == F.col("p"))
+    support = shared.filter(F.col("n") >= TEMPLATE_PAGES).join(folded, there, "left").drop("h", "p")
+    support = support.groupBy("host", "slot", "text").agg(F.sum(1 - F.coalesce("less", F.lit(0.0))).alias("support"))
+    fixed = support.join(written(each, "host-articles"), F.col("host").eqNullSafe(F.col("h")))
+    fixed = fixed.filter(F.round("support", 6) >= F.round(TEMPLATE_SHARE * F.col("articles"), 6)).drop("h")
     fixed = fixed.groupBy("host").agg(F.collect_list(F.struct("slot", "text")).alias("template"))
     out = reference.join(fixed, F.col("h").eqNullSafe(F.col("host")), "left").drop("host")
     return written(out, "wrappers")
@@ -313,15 +348,15 @@ def induce(pages: DataFrame) -> DataFrame:
 def main_text(page: str | None, reference: str, template: set[tuple[str, int]]) -> str:
     """The content blocks of a page, one a line.
 
-    If some blocks stand in an article, only those are content, else those in other marked main
-    content, else all. Of them, template blocks are left out, unless that leaves nothing.
+    Content are the blocks of articles if these hold most of the text in marked main content, else
+    all in marked main content, else all. Of them, template blocks are left out, unless that leaves nothing.
     """
     found = blocks(parse(page or ""))
     if not found:
         return ""
-    best = max(main for main, _, _ in found)
+    least = least_mark(found)
     names = align(reference or "", skeleton([p for _, p, _ in found]))
-    own = [(names[p], t) for main, p, t in found if main == best]
+    own = [(names[p], t) for main, p, t in found if main >= least]
     kept = [t for s, t in own if (s, xxhash.xxh3_64_intdigest(t) - 2**63) not in template] if template else []
     return "\n".join(kept or [t for _, t in own])
 

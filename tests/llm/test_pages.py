@@ -99,6 +99,28 @@ def test_text_that_a_host_repeats_is_template(spark):
     assert found[16] == "no host" and found[17] == ""
 
 
+def test_a_teaser_does_not_stand_for_the_page():
+    teaser = "<article><p>Read next</p></article>"
+    body = "<p>The long story of the page</p><p>and how it ends</p>"
+    text = "The long story of the page\nand how it ends"
+    assert one(f"<p>out</p><main>{body}</main>{teaser}") == one(f"<div class=content>{body}{teaser}</div><p>out</p>") == f"{text}\nRead next"
+    assert one(f"<main><p>Short</p><article>{body}</article></main>") == text
+
+
+def test_versions_of_one_article_count_once(spark):
+    def page(k, edited):
+        lines = [f"Line {i} of story {k}" + (edited if i == 7 else "") for i in range(9)]
+        return "<body><p>Welcome to us</p>" + "".join(f"<p>{x}</p>" for x in lines) + "</body>", "\n".join(lines)
+
+    # Only versions of one story; mostly these, with others; two stories with versions, and their template.
+    hosts = {"a": [(0, f" v{j}") for j in range(12)], "b": [(0, f" v{j}") for j in range(60)] + [(k, "") for k in range(1, 6)]}
+    hosts["c"] = [(0, f" v{j}") for j in range(50)] + [(9, f" w{j}") for j in range(50)] + [(k, "") for k in range(1, 5)]
+    pages = [(f"http://{h}.org/{i}", *page(*which)) for h, own in hosts.items() for i, which in enumerate(own)]
+    found = extract(spark, [p[:2] for p in pages])
+    for i, (url, _, text) in enumerate(pages):
+        assert found[i] == ("Welcome to us\n" if url.startswith("http://a.") else "") + text
+
+
 def test_nothing(spark):
     assert wrappers.extract(spark.createDataFrame([], SCHEMA)).count() == 0
 
