@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuscope.runtime import written
@@ -77,6 +78,8 @@ class LanguageModel:
         for code in sorted(languages):
             self.families.setdefault(_FAMILY_OF.get(code, code), []).append(code)
         self.machines: dict[tuple[str, str], tuple[np.ndarray, float]] = {}
+        #: Per language, the logarithm of how much more frequent each slot is than if all were alike.
+        self.gains: np.ndarray | None = None
 
     def pairs(self) -> list[tuple[str, str, list[str], list[str]]]:
         """Two names and the languages on either side, for each machine there is to fit."""
@@ -118,14 +121,31 @@ class LanguageModel:
         return names, scores
 
 
-def fit(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> LanguageModel:
-    """Learn from the rows where ``training`` is true, whose language is known and whose text has a letter."""
+    def familiarity(self, texts: list[str | None]) -> np.ndarray:
+        """The mean gain of a text's triples in the language they are most frequent in; 0 is no better than chance.
+
+        It does not compare languages, so it also tells that a text is in none of them.
+        """
+        out = np.zeros(len(texts))
+        for start in range(0, len(texts) if self.gains is not None else 0, 512):
+            shares = np.stack([letter_triples(t) for t in texts[start : start + 512]]) ** 2
+            out[start : start + 512] = (shares @ self.gains.T).max(axis=1)
+        return out
+
+
+def fit(
+    docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", familiar: bool = False
+) -> LanguageModel:
+    """Learn from the rows where ``training`` is true, whose language is known and whose text has a letter.
+
+    ``familiar``: learn as well what :func:`predict` needs to say how familiar a text is.
+    """
     rows = docs.filter(training & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     rows = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = {lang: n for lang, n in rows.groupBy("lang").count().collect()}  # one row per language
     model = LanguageModel(list(counts))
     pairs = model.pairs()
-    if not pairs:
+    if not pairs and not (familiar and counts):
         return model
     drawn = F.lit(False)
     place = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000_007))
@@ -139,6 +159,11 @@ def fit(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str
 
     sample = rows.filter(drawn).select("lang", "text").mapInArrow(features, "lang string, values array<double>")
     sample = written(sample, "language-sample").select("lang", array_to_vector("values").alias("features"))
+    if familiar:
+        # One row per language; squares of the features are shares of the triples.
+        summary = Summarizer.metrics("normL2", "count").summary(F.col("features")).alias("s")
+        sums = sample.groupBy("lang").agg(summary).select("s.normL2", "s.count").collect()
+        model.gains = np.log(0.1 + 0.9 * WIDTH * np.stack([norm.toArray() ** 2 / n for norm, n in sums])) if sums else None
     for a, b, first, second in pairs:
         own = sample.filter(F.col("lang").isin(first + second)).withColumn("label", F.col("lang").isin(first).cast("double"))
         fitted = LinearSVC(maxIter=30, regParam=1e-4, standardization=False).fit(own)
@@ -151,13 +176,16 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
 
     ``und`` with score 0 if the text is null or has no letter, or nothing could be learned; if only one
     language could, it is that. Existing columns of those names are replaced. Ties between languages
-    go to the first code in order.
+    go to the first code in order. If the model was fitted with ``familiar``, ``familiarity`` is added, too.
     """
+    familiar = model.gains is not None
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double" + (", familiarity double" if familiar else ""))
     def judge(texts: pd.Series) -> pd.DataFrame:
         names, scores = model.predict(list(texts))
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+        found = {"lang_pred": names, "score": scores}
+        return pd.DataFrame(found | {"familiarity": model.familiarity(list(texts))} if familiar else found)
 
-    judged = docs.drop("lang_pred", "score").withColumn("_judged", judge.asNondeterministic()(F.col(text_col)))
-    return judged.withColumns({"lang_pred": F.col("_judged.lang_pred"), "score": F.col("_judged.score")}).drop("_judged")
+    added = ["lang_pred", "score", *(["familiarity"] if familiar else [])]
+    judged = docs.drop(*added).withColumn("_judged", judge.asNondeterministic()(F.col(text_col)))
+    return judged.withColumns({name: F.col(f"_judged.{name}") for name in added}).drop("_judged")

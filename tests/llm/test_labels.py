@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import string
 
 from pyspark.sql import functions as F
 
@@ -31,6 +33,23 @@ def test_toxicity_of_held_out_rows(spark):
     assert sum(toxic) / len(toxic) >= 0.6 and sum(clean) / len(clean) <= 0.03
 
 
+def test_pipeline_rejects_what_is_in_no_learned_language(spark):
+    draw = random.Random(1)
+    noise = [" ".join("".join(draw.choices(string.ascii_lowercase, k=draw.randint(2, 10))) for _ in range(n)) for n in (5, 20, 100, 500) * 5]
+    strange = [
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+        "minden emberi lény szabadon születik és egyenlő méltósága és joga van",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "все люди рождаются свободными и равными в своем достоинстве и правах",
+        "すべての人間は生まれながらにして自由であり",
+    ]
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    added = spark.createDataFrame([(-i, t) for i, t in enumerate(noise + strange, 1)], "doc_id long, text string")
+    both = docs.unionByName(added, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, both, MEDIUM).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.filter(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+
+
 def test_language_without_text_or_letters(spark):
     rows = [(1, "hello there my friend", "en"), (2, "guten Tag mein Freund", "de"), (3, None, "en"), (4, "", "de"), (5, "12 !? 34", "en"), (None, "ça où là", None), (6, "x" * 50_000, None), (1, "hello there my friend", "en")]
     docs = spark.createDataFrame([(*r, "s", "p") for r in rows], "doc_id long, text string, lang string, score string, _judged2 string")
