@@ -50,6 +50,17 @@ def test_pipeline_rejects_what_is_in_no_learned_language(spark):
     assert kept == {r.doc_id for r in docs.filter(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
 
 
+def test_pipeline_drops_what_reaches_its_own_toxicity_bound(spark, monkeypatch):
+    def score(docs, model):
+        given = docs.withColumn("score", F.col("text").cast("double"))
+        return given.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels: None)
+    monkeypatch.setattr(toxicity, "score", score)
+    docs = spark.createDataFrame([(0, "0.0"), (1, "0.29"), (2, "0.3"), (3, "0.5"), (4, "0.7"), (5, "1.0")], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, MEDIUM).collect()} == {0, 1}
+
+
 def test_language_without_text_or_letters(spark):
     rows = [(1, "hello there my friend", "en"), (2, "guten Tag mein Freund", "de"), (3, None, "en"), (4, "", "de"), (5, "12 !? 34", "en"), (None, "ça où là", None), (6, "x" * 50_000, None), (1, "hello there my friend", "en")]
     docs = spark.createDataFrame([(*r, "s", "p") for r in rows], "doc_id long, text string, lang string, score string, _judged2 string")
