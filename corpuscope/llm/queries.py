@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuscope.llm import bpe, forest, language, lattice, mixing, partenum, tiles, token_counts, toxicity, wrappers
+from corpuscope.llm import bpe, forest, language, lattice, mixing, partenum, shards, tiles, token_counts, toxicity, wrappers
 from corpuscope.runtime import scratch_path
 
 
@@ -97,11 +97,21 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_exact_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform shuffle of all documents into 16 shards of equal counts (at most one apart)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return shards.shuffled(docs, 16).select(
+        "doc_id", shards.text_bytes(F.col("text")).alias("size"), F.crc32("text").alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_nearest_vectors, op3_source_mix, op4_main_text, op5_byte_bpe,
         op6_near_vectors, op7_language, op8_toxicity, op9_token_counts, op10_lattice_scores,
+        op12_exact_shards,
     )
 }
 
