@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuscope.llm import bpe, forest, language, lattice, mixing, partenum, shards, tiles, token_counts, toxicity, wrappers
+from corpuscope.llm import bpe, forest, language, lattice, manifest, mixing, partenum, shards, tiles, token_counts, toxicity, wrappers
 from corpuscope.runtime import scratch_path
 
 
@@ -97,6 +97,21 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its way to the root, and the root it leads to once its line ends are deleted."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    row = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(fold("doc_id", 2) == 0, manifest.leaf_digest(*row, F.replace("text", F.lit("\n"), F.lit(""))))
+    leaf = manifest.leaf_digest(*row, F.col("text"))
+    tree = manifest.tree_key(F.col("source"))
+    leaves = docs.select("doc_id", tree.alias("tree"), leaf.alias("digest"), tampered.alias("tampered"))
+    built = manifest.build(leaves, ["doc_id"])
+    folded = manifest.fold(built, F.col("tampered"), {"doc_id": "long", "digest": "binary"})
+    found = {"leaf": "digest", "subroot": "subroot", "root": "root", "proof_sha256": "proof", "folded_root": "folded_root"}
+    shown = [F.lower(F.hex(column)).alias(name) for name, column in found.items()]
+    return folded.select("doc_id", *shown, (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op12_exact_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A uniform shuffle of all documents into 16 shards of equal counts (at most one apart)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -111,11 +126,69 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard, op2_nearest_vectors, op3_source_mix, op4_main_text, op5_byte_bpe,
         op6_near_vectors, op7_language, op8_toxicity, op9_token_counts, op10_lattice_scores,
-        op12_exact_shards,
+        op11_merkle_manifest, op12_exact_shards,
     )
 }
 
+# CRC-32 of a decimal number, byte by byte, each byte bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  [4294967295] || list_transform(range(1, length({id}::VARCHAR) + 1), lambda i: ascii(substr({id}::VARCHAR, i::INT, 1))::BIGINT),
+  lambda c, b: list_reduce([xor(c, b)] || range(8),
+    lambda d, step: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END)))"""
+
+_TAMPERED = f"CASE WHEN {_CRC32.format(id='doc_id')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+def _field(value: str) -> str:
+    """A value as it is hashed."""
+    return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source,
+         sha256(known || {_field('text')}) AS leaf,
+         sha256(known || {_field(_TAMPERED)}) AS changed
+  FROM (SELECT *, {_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field('n_chars')} AS known FROM documents)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS total,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree
+  FROM hashed),
+below AS (
+  SELECT tree, 0 AS level, place, leaf AS h, total FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (total + 2) // 3
+  FROM below WHERE total > 1 GROUP BY tree, level, place // 3, total),
+subroots AS (SELECT tree, h AS subroot, level AS top FROM below WHERE total = 1),
+above AS (
+  SELECT 0 AS level, tree - 1 AS place, subroot AS h, count(*) OVER () AS total FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (total + 2) // 3
+  FROM above WHERE total > 1 GROUP BY level, place // 3, total),
+tops AS (SELECT h AS root, level AS top FROM above WHERE total = 1),
+-- All nodes of a document's way share one numbering of levels: first those below its subroot.
+nodes AS (
+  SELECT tree, level, place, h FROM below WHERE total > 1
+  UNION ALL
+  SELECT s.tree, s.top + a.level, a.place, a.h FROM above a, subroots s WHERE a.total > 1),
+runs AS (
+  SELECT tree, level, place // 3 AS run, list(h ORDER BY place) AS hs, min(place) AS start FROM nodes GROUP BY ALL),
+folded AS (
+  SELECT l.doc_id, l.leaf, l.tree, 0 AS level, l.place AS place, l.place AS leaf_place, l.changed AS h, '' AS proof, s.top AS turn, s.top + t.top AS last
+  FROM leaves l JOIN subroots s USING (tree), tops t
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.tree, f.level + 1,
+         CASE WHEN f.level + 1 = f.turn THEN f.tree - 1 ELSE r.run END, f.leaf_place,
+         sha256(array_to_string(r.hs[1:r.at - 1] || [f.h] || r.hs[r.at + 1:len(r.hs)], '')),
+         f.proof || array_to_string(r.hs[1:r.at - 1] || r.hs[r.at + 1:len(r.hs)], ''), f.turn, f.last
+  FROM (SELECT *, CASE WHEN turn = 0 AND level = 0 THEN tree - 1 ELSE place END AS p FROM folded WHERE level < last) f
+  JOIN (SELECT *, unnest(range(1, len(hs) + 1)) AS at FROM runs) r
+    ON r.tree = f.tree AND r.level = f.level AND r.start + r.at - 1 = f.p)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM folded JOIN subroots USING (tree), tops WHERE level = last
+""",
     "op3_source_mix": """
 WITH RECURSIVE docs AS (
   SELECT doc_id, source,
