@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuscope.llm import bpe, forest, language, lattice, manifest, mixing, partenum, shards, tiles, token_counts, toxicity, wrappers
+from corpuscope.llm import bpe, forest, language, lattice, manifest, mixing, partenum, ranked, shards, tiles, token_counts
+from corpuscope.llm import toxicity, wrappers
 from corpuscope.runtime import scratch_path
 
 
@@ -121,12 +122,18 @@ def op12_exact_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return ranked.rank(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_nearest_vectors, op3_source_mix, op4_main_text, op5_byte_bpe,
         op6_near_vectors, op7_language, op8_toxicity, op9_token_counts, op10_lattice_scores,
-        op11_merkle_manifest, op12_exact_shards,
+        op11_merkle_manifest, op12_exact_shards, op13_ranked_search,
     )
 }
 
@@ -220,5 +227,32 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        (floor(rate * place + shift) - floor(rate * (place - 1) + shift))::BIGINT * size AS taken
 FROM placed
+""",
+    "op13_ranked_search": """
+WITH words AS (
+  SELECT doc_id, d, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS d FROM documents)),
+asked AS (
+  SELECT item_id, i, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS i FROM benchmark)),
+sizes AS (SELECT d, any_value(doc_id) AS doc_id, count(*)::BIGINT AS n FROM words GROUP BY d),
+totals AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM sizes),
+counts AS (SELECT d, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, totals GROUP BY term, nn),
+scores AS (
+  SELECT i, item_id, d, s.doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // l))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN sizes s USING (d), totals
+  GROUP BY ALL),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ordered WHERE rank <= 10
 """,
 }
