@@ -7,6 +7,7 @@ concatenated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,6 +34,7 @@ class Index:
     """A searchable corpus: ``speeches`` (one row per kept speech), ``terms``, ``weights`` (with the
     ``year`` of the speech, null without a valid date) and the distinct ``years``.
 
+    ``yearly`` has the sum of a term's weights in each year it is used, as trends show it.
     ``buckets`` is set for a stored index, see :mod:`corpuscope.sources.layout`.
     """
 
@@ -41,22 +43,26 @@ class Index:
     weights: DataFrame
     years: DataFrame
     buckets: int | None = None
+    yearly: DataFrame | None = None
 
 
-def term_counts(clean: DataFrame, key: str) -> DataFrame:
+def term_counts(clean: DataFrame, key: str, carried: Sequence[str] = ()) -> DataFrame:
     """``(key, term, tf)`` for each entity; an entity without terms has one row of ``''`` and 0.
 
     Rows with a null key are dropped. For speeches the counting happens inside the row, without
     a shuffle; for groups only partial sums are shuffled. The result is used several times (for
     frequencies, weights and norms), so it is written once and texts are tokenized once.
+    ``carried`` names further columns of a speech to keep beside its counts.
     """
     require_columns(clean, [key, "clean_text"])
     entities = clean.filter(F.col(key).isNotNull())
     found = tokens(F.col("clean_text"))
     if key == SPEECH_ID:
         posting = F.col("posting")
-        counts = entities.select(key, F.explode_outer(count_terms(found)).alias("posting")).select(
+        posting_of = F.explode_outer(count_terms(found)).alias("posting")
+        counts = entities.select(key, *carried, posting_of).select(
             key,
+            *carried,
             F.coalesce(posting["term"], F.lit("")).alias("term"),
             F.coalesce(posting["tf"], F.lit(0)).alias("tf"),
         )
@@ -69,6 +75,31 @@ def term_counts(clean: DataFrame, key: str) -> DataFrame:
     return written(counts, "term-counts")
 
 
+def grouped_counts(clean: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
+    """:func:`term_counts` for each of several keys, from one reading and tokenizing of the texts.
+
+    The counts of a speech carry its keys, so a group's counts are a roll-up of theirs: each count is
+    added to all its groups in one aggregation, whose shuffle moves partial sums only.
+    """
+    groups = [key for key in keys if key != SPEECH_ID]
+    require_columns(clean, [SPEECH_ID, *groups])
+    types = dict(clean.dtypes)
+    counts = term_counts(clean, SPEECH_ID, groups)
+    found = {SPEECH_ID: counts.select(SPEECH_ID, "term", "tf")}
+    if groups:
+        entities = F.array(*[
+            F.struct(F.lit(key).alias("grouping"), F.col(key).cast("string").alias("entity"))
+            for key in groups
+        ])
+        rows = counts.select(F.inline(entities), "term", "tf").filter("entity IS NOT NULL")
+        sums = rows.groupBy("grouping", "entity", "term").agg(F.sum("tf").alias("tf"))
+        sums = written(sums, "grouped-counts", by="grouping")
+        for key in groups:
+            entity = F.col("entity").cast(types[key]).alias(key)
+            found[key] = sums.filter(F.col("grouping") == key).select(entity, "term", "tf")
+    return {key: found[key] for key in keys}
+
+
 def entity_count(counts: DataFrame, key: str) -> Column:
     """The number of entities, those without terms included, as a scalar subquery."""
     return counts.agg(F.count_distinct(F.col(key)).alias("n")).scalar()
@@ -165,4 +196,11 @@ def build_index(clean: DataFrame, counts: DataFrame | None = None) -> Index:
     spoken = clean.select(SPEECH_ID, year.cast("int").alias("year"))
     weights = unit_weights(counts, terms, SPEECH_ID).join(spoken, SPEECH_ID, "left")
     weights = weights.select(SPEECH_ID, "term", "shard", "tf", "weight", "year")
-    return Index(clean, terms, weights, spoken.select("year").filter("year > 0").distinct())
+    years = spoken.select("year").filter("year > 0").distinct()
+    return Index(clean, terms, weights, years, yearly=yearly_sums(weights))
+
+
+def yearly_sums(weights: DataFrame) -> DataFrame:
+    """``(term, year, score)``: the sum of a term's weights in the speeches of each year."""
+    used = weights.filter("year > 0").groupBy("term", "year")
+    return used.agg(F.sum("weight").alias("score"))

@@ -41,10 +41,13 @@ def query_weights(index: Index, queries: DataFrame) -> DataFrame:
     return written(weighted.drop("raw"), "query-weights")
 
 
-def _scan_of(table: DataFrame, wanted: DataFrame, key: str, buckets: int | None) -> DataFrame:
+def scan_of(table: DataFrame, wanted: DataFrame, key: str, buckets: int | None) -> DataFrame:
     """A stored table, read only where the few keys of ``wanted`` (a written table) can be."""
-    if buckets is None:
-        return table
+    return table if buckets is None else few_of(table, wanted, key)
+
+
+def few_of(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Only the rows of a table with one of the keys of ``wanted``, if these are few; else all rows."""
     keys = [row[0] for row in wanted.select(key).distinct().limit(NAMED_IN_SCAN + 1).collect()]
     return table if len(keys) > NAMED_IN_SCAN else table.filter(F.col(key).isin(keys))
 
@@ -57,7 +60,7 @@ def postings_of(index: Index, terms: DataFrame) -> DataFrame:
     """
     wanted = terms.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     wanted, keys = with_bucket(wanted.drop("shards"), ["term", "shard"], index.buckets)
-    return wanted.join(_scan_of(index.weights, terms, "term", index.buckets), keys)
+    return wanted.join(scan_of(index.weights, terms, "term", index.buckets), keys)
 
 
 def score_queries(index: Index, weights: DataFrame) -> DataFrame:
@@ -90,11 +93,41 @@ def search_page(scored: DataFrame, page: int, size: int = 20, min_score: float =
     return best_matches(scored, page * size, min_score).filter(F.col("rank") > (page - 1) * size)
 
 
+def search_after(
+    scored: DataFrame, cursors: DataFrame, size: int = 20, min_score: float = 0.05
+) -> DataFrame:
+    """The next ``size`` matches of each query behind its cursor, with their ``rank`` in the whole ranking.
+
+    ``cursors(query_id, score, speech_id, rank)`` names the last row seen, as :func:`next_cursors` gives it; a
+    query with nulls starts at the top, one without a row is not asked for. What was shown
+    before is not ranked again: the rows up to the cursor are dropped before any sorting.
+    """
+    if size < 1:
+        raise ValueError("a page has at least 1 row")
+    last = cursors.select(
+        "query_id", F.col("score").alias("_score"), F.col(SPEECH_ID).alias("_id"),
+        F.coalesce("rank", F.lit(0)).alias("_rank"),
+    )
+    at = F.round("score", 9)
+    behind = F.col("_id").isNull() | (at < F.col("_score")) | ((at == F.col("_score")) & (F.col(SPEECH_ID) > F.col("_id")))
+    left = scored.filter(F.col("score") > min_score).join(last, "query_id").filter(behind)
+    order = [at.desc(), F.col(SPEECH_ID)]
+    page = top_per_group(left, "query_id", order, size, "_place", slice_by=SPEECH_ID)
+    rank = (F.col("_rank") + F.col("_place")).cast("int").alias("rank")
+    return page.select(*scored.columns, rank)
+
+
+def next_cursors(page: DataFrame) -> DataFrame:
+    """The cursor behind each query's last row; a query whose page is empty has none and is done."""
+    end = F.max_by(F.struct(F.round("score", 9).alias("score"), SPEECH_ID, "rank"), "rank")
+    return page.groupBy("query_id").agg(end.alias("end")).select("query_id", "end.*")
+
+
 def records(index: Index, matches: DataFrame) -> DataFrame:
     """Turn matches into result records; null fields become empty text."""
     require_columns(index.speeches, [SPEECH_ID, "speech", *_RECORD])
     stored = written(matches, "matches")
-    speeches = _scan_of(index.speeches, stored, SPEECH_ID, index.buckets)
+    speeches = scan_of(index.speeches, stored, SPEECH_ID, index.buckets)
     matches, keys = with_bucket(stored, [SPEECH_ID], index.buckets)
     found = matches.join(speeches, keys).na.fill("", ["speech", *_RECORD])
     return found.select(

@@ -22,7 +22,7 @@ from corpuscope.operators.clusters import (
     cluster_topics,
     write_cluster_speeches,
 )
-from corpuscope.operators.index import build_index, term_counts
+from corpuscope.operators.index import build_index, grouped_counts
 from corpuscope.operators.keywords import keywords_by, with_year
 from corpuscope.operators.sentiment import sentiment_by_year
 from corpuscope.operators.similarity import similar_pairs
@@ -61,7 +61,7 @@ def build_all(
     clean = read_clean(spark, f"{out}/clean").drop("bucket")
 
     clean = with_year(clean)
-    counts = {key: term_counts(clean, key) for key in GROUPS}
+    counts = grouped_counts(clean, GROUPS)
     for key in GROUPS:
         # Only the report by speech grows with the corpus; the others fit one file.
         report = keywords_by(clean, key, counts=counts[key])

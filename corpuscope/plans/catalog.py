@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -28,6 +29,7 @@ class Query:
 
 
 CATALOG: dict[str, Query] = {}
+GROUPS = (SPEECH_ID, "political_party", "year", "member_name")
 
 
 def query(oracle: str | None = None) -> Callable[[Run], Run]:
@@ -236,6 +238,23 @@ def keywords_by_speech(spark, sf_dir):
     return keywords.keywords_by(clean(spark, sf_dir), SPEECH_ID)
 
 
+@query(" UNION ALL ".join(
+    f"""SELECT '{key}' AS grouping, CAST({key} AS VARCHAR) AS entity, top_keywords
+FROM (WITH {sql.keywords(key)} SELECT * FROM report)"""
+    for key in GROUPS
+))
+def keywords_in_one_pass(spark, sf_dir):
+    """The four reports from one tokenization."""
+    dated = keywords.with_year(clean(spark, sf_dir))
+    reports_by = [
+        keywords.keywords_by(dated, key, counts=counts).select(
+            F.lit(key).alias("grouping"), F.col(key).cast("string").alias("entity"), "top_keywords"
+        )
+        for key, counts in ix.grouped_counts(dated, GROUPS).items()
+    ]
+    return reduce(DataFrame.unionByName, reports_by)
+
+
 @query(f"""WITH {sql.keywords('member_name')}
 SELECT * FROM report
 WHERE contains(strip_accents(lower(member_name)), 'src')
@@ -309,6 +328,25 @@ def search_page_two(spark, sf_dir):
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query(f"""WITH {sql.scores(ASKED)}
+SELECT query_id, CAST(rank AS BIGINT) AS rank, speech_id, round(score, 6) AS score
+FROM matches WHERE rank <= 60 AND score > 0.05""")
+def search_by_cursor(spark, sf_dir):
+    """Three pages, each behind the last row of the one before."""
+    built = built_index(spark, sf_dir)
+    asked = cleaning.clean_queries(search_table(spark), "query", STOPS)
+    scored = written(sr.score_queries(built, sr.query_weights(built, asked)), "scored")
+    start = "CAST(NULL AS DOUBLE) AS score", f"CAST(NULL AS BIGINT) AS {SPEECH_ID}", "0 AS rank"
+    cursors, pages = asked.selectExpr("query_id", *start), []
+    for _ in range(3):
+        pages.append(written(sr.search_after(scored, cursors, 20), "page"))
+        cursors = sr.next_cursors(pages[-1])
+    shown = reduce(DataFrame.unionByName, pages)
+    return shown.select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), SPEECH_ID, F.round("score", 6).alias("score")
+    )
+
+
 @query(f"""WITH {sql.scores(ASKED)}
 SELECT q.query_id, clean_text, count(m.speech_id) AS results
 FROM queries q LEFT JOIN (SELECT * FROM matches WHERE rank <= 10 AND score > 0.05) m USING (query_id)

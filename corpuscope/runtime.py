@@ -33,13 +33,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a table that is used several times to the shared folder and read it back.
 
-    Unlike a cache it outlives its executors, and each use reads only the columns it needs.
+    Unlike a cache it outlives its executors, and each use reads only the columns it needs. With
+    ``by`` the table is partitioned by that column.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

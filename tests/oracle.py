@@ -51,7 +51,7 @@ def difference(spark, sf_dir: str, run, sql: str) -> str | None:
             f"{sum(got.values())} / {sum(wanted.values())} rows; "
             f"{len(missing)} missing {missing[:2]}; {len(extra)} extra {extra[:2]}"
         )
-    same = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    same = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
     odd = [
         (name, kind, sql_types[name])
         for name, kind in types.items()

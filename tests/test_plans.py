@@ -51,6 +51,28 @@ def test_counting_terms_of_speeches_needs_no_shuffle(spark, monkeypatch):
     assert "Exchange" not in plan_of(seen["term-counts"])
 
 
+def test_four_reports_tokenize_once(spark):
+    tokenized = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        tokenized.add(1)
+        return text
+
+    rows = [(i, f"m{i % 4}" if i % 5 else None, i % 3, f"word{i % 7} again again") for i in range(50)]
+    clean = spark.createDataFrame([*rows, (50, "m1", 2, "x")], "speech_id long, member_name string, year int, clean_text string")
+    watched = clean.withColumn("clean_text", counted.asNondeterministic()("clean_text"))
+    keys = ["speech_id", "member_name", "year"]
+    found = ix.grouped_counts(watched, keys)
+    for key in keys:
+        report = keywords.keywords_by(watched, key, counts=found[key])
+        assert "clean_text" not in plan_of(report)
+        assert Counter(report.collect()) == Counter(keywords.keywords_by(clean, key).collect())
+        assert found[key].schema[key].dataType == clean.schema[key].dataType
+    assert tokenized.value == 51
+    assert plan_of(found["year"]).count("PartitionFilters: [isnotnull(grouping") == 1
+
+
 def test_only_needed_columns_are_read(spark):
     path = scratch_path(spark, "test-clean")
     write_clean(clean_speeches(speeches(spark, SMALL), STOPS), path, buckets=2)
@@ -73,7 +95,7 @@ def test_a_stored_trend_reads_no_speeches(spark, index_path):
     words = spark.createDataFrame([(1, "an"), (2, "zzzz")], "word_id long, word string")
     files = trend.term_trend(load_index(spark, index_path), words, STOPS).inputFiles()
     read = {f.split(index_path)[1].split("/")[1] for f in files if index_path in f}
-    assert "weights" in read and read <= {"weights", "years"}
+    assert "yearly" in read and read <= {"yearly", "years"}
 
 
 def test_a_stored_search_names_its_few_terms_in_the_scan(spark, index_path, monkeypatch):
@@ -91,7 +113,7 @@ def test_a_stored_search_names_its_few_terms_in_the_scan(spark, index_path, monk
 def test_stored_speeches_are_not_copied(spark, index_path):
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(index_path)
     paths = {r.path.split(index_path)[1].split("/")[1] for r in listed.select("path").collect()}
-    assert paths == {"clean", "terms", "weights", "years", "layout"}
+    assert paths == {"clean", "terms", "weights", "yearly", "years", "layout"}
     assert [bucket_number(n) for n in (0, 10**8, 10**12)] == [16, 25, 10_000]
 
 

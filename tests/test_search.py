@@ -85,6 +85,21 @@ def test_pages(spark):
             sr.best_matches(scored, top_k=bad)
 
 
+def test_cursors_resume(spark):
+    rows = [(q, i, round(1.0 - (i // 3) / 50, 9)) for q in (1, 2) for i in range(45 if q == 1 else 7)]
+    scored = spark.createDataFrame(rows, "query_id long, speech_id long, score double").repartition(4)
+    whole = sorted(tuple(r) for r in sr.best_matches(scored, 100).select("query_id", "rank", "speech_id").collect())
+    cursors = spark.createDataFrame([(1, None, None, None), (2, None, None, None)], "query_id long, score double, speech_id long, rank int")
+    shown = []
+    while not cursors.isEmpty():
+        page = sr.search_after(scored, cursors, size=10)
+        shown += [tuple(r) for r in page.select("query_id", "rank", "speech_id").collect()]
+        cursors = spark.createDataFrame(sr.next_cursors(page).collect(), cursors.schema)
+    assert sorted(shown) == whole and len(whole) == 52
+    with pytest.raises(ValueError):
+        sr.search_after(scored, cursors, size=0)
+
+
 def test_shards_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(ix, "SHARD_ROWS", 1)
     cut = ix.build_index(spark.createDataFrame(SPEECHES, NAMES))
