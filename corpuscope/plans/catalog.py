@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from corpuscope.functions import dates, text
 from corpuscope.functions.greek import greek_stem
 from corpuscope.functions.sentiment import sentiment
-from corpuscope.operators import cleaning, clusters, index as ix, keywords, sampling, search as sr
+from corpuscope.operators import blocks, cleaning, clusters, index as ix, keywords, sampling, search as sr
 from corpuscope.operators import sentiment as opinion, similarity, topics, trend
 from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import GREEK_STOPS, LEXICON, STOPS, greek_speeches, speeches, table
@@ -328,6 +328,33 @@ def search_page_two(spark, sf_dir):
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query(f"""WITH {sql.scores("(SELECT item_id AS query_id, text AS query FROM benchmark)")}
+SELECT query_id, CAST(rank AS BIGINT) AS rank, speech_id, round_even(score, 4) AS score
+FROM matches WHERE rank <= 10 AND score > 0.05""")
+def search_blocks(spark, sf_dir):
+    """``search_benchmark`` without reading the blocks that cannot matter."""
+    built = built_index(spark, sf_dir)
+    path = scratch_path(spark, "blocks")
+    indexes.save_blocks(blocks.build_blocks(built, rows=64), path)
+    asked = table(spark, sf_dir, "benchmark").selectExpr("item_id AS query_id", "text AS query")
+    weights = sr.query_weights(built, cleaning.clean_queries(asked, "query", STOPS))
+    found, _ = blocks.search_blocks(indexes.load_blocks(spark, path), weights)
+    score = F.bround("score", 4).alias("score")
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), SPEECH_ID, score)
+
+
+@query(f"""WITH {sql.scores("(SELECT item_id AS query_id, text AS query FROM benchmark)")}
+SELECT query_id, term, count(*) AS postings, true AS none_twice
+FROM query_weights JOIN weights USING (term) GROUP BY ALL""")
+def search_blocks_read(spark, sf_dir):
+    """The postings of every query's terms, none of which is read twice."""
+    built = built_index(spark, sf_dir)
+    asked = table(spark, sf_dir, "benchmark").selectExpr("item_id AS query_id", "text AS query")
+    weights = sr.query_weights(built, cleaning.clean_queries(asked, "query", STOPS))
+    _, read = blocks.search_blocks(blocks.build_blocks(built, rows=64), weights)
+    return read.select("query_id", "term", "postings", (F.col("read") <= F.col("postings")).alias("none_twice"))
+
+
 @query(f"""WITH {sql.scores(ASKED)}
 SELECT query_id, CAST(rank AS BIGINT) AS rank, speech_id, round(score, 6) AS score
 FROM matches WHERE rank <= 60 AND score > 0.05""")
