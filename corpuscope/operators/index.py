@@ -29,21 +29,33 @@ HOT_TERM_CHARS = 64
 SHARD_ROWS = 100_000
 
 
+@dataclass(frozen=True)
+class Part:
+    """One segment of a growing index: ``terms(term, df, shards)`` of its own and its
+    ``counts(speech_id, term, shard, tf, year)``."""
+
+    terms: DataFrame
+    counts: DataFrame
+
+
 @dataclass(frozen=True)
 class Index:
     """A searchable corpus: ``speeches`` (one row per kept speech), ``terms``, ``weights`` (with the
     ``year`` of the speech, null without a valid date) and the distinct ``years``.
 
     ``yearly`` has the sum of a term's weights in each year it is used, as trends show it.
-    ``buckets`` is set for a stored index, see :mod:`corpuscope.sources.layout`.
+    ``buckets`` is set for a stored index, see :mod:`corpuscope.sources.layout`. An index in segments has
+    ``parts`` and ``norms(speech_id, norm)`` in place of weights, see :mod:`corpuscope.sources.segments`.
     """
 
     speeches: DataFrame
     terms: DataFrame
-    weights: DataFrame
+    weights: DataFrame | None
     years: DataFrame
     buckets: int | None = None
     yearly: DataFrame | None = None
+    parts: tuple[Part, ...] = ()
+    norms: DataFrame | None = None
 
 
 def term_counts(clean: DataFrame, key: str, carried: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ and shuffles a large one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -16,7 +17,7 @@ from corpuscope.operators.cleaning import clean_queries
 from corpuscope.operators.index import Index
 from corpuscope.runtime import top_per_group, written
 from corpuscope.schema import SPEECH_ID, require_columns
-from corpuscope.sources.layout import with_bucket
+from corpuscope.sources.layout import BUCKET, with_bucket
 
 # Up to so many different terms or speeches are named in the scan of a stored table, whose sorted
 # files can then skip row groups; more of them are only met by the join.
@@ -56,13 +57,34 @@ def postings_of(index: Index, terms: DataFrame) -> DataFrame:
     """Join rows with ``term`` and ``shards`` (a written table) to the postings of their terms.
 
     A frequent term is met shard by shard, so its postings never sit in one task; on a stored
-    index only the buckets of the wanted terms are read.
+    index only the buckets of the wanted terms are read. In a segmented index counts become weights here.
     """
+    if index.parts:
+        return _postings_of_parts(index, terms)
     wanted = terms.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     wanted, keys = with_bucket(wanted.drop("shards"), ["term", "shard"], index.buckets)
     return wanted.join(scan_of(index.weights, terms, "term", index.buckets), keys)
 
 
+def _postings_of_parts(index: Index, terms: DataFrame) -> DataFrame:
+    """As :func:`postings_of`, from the counts of each segment, the frequencies of all and the norms."""
+    wanted, keys = with_bucket(terms.drop("shards"), ["term"], index.buckets)
+    known = scan_of(index.terms, terms, "term", index.buckets).drop("shards")
+    wanted = written(wanted.join(known, keys).drop(BUCKET), "wanted-terms")
+    found = []
+    for part in index.parts:
+        # How a term is cut into shards is the segment's own.
+        own, keys = with_bucket(wanted, ["term"], index.buckets)
+        own = own.join(scan_of(part.terms, wanted, "term", index.buckets).drop("df"), keys).drop(BUCKET)
+        own = own.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
+        own, keys = with_bucket(written(own, "part-terms"), ["term", "shard"], index.buckets)
+        counts = scan_of(part.counts, wanted, "term", index.buckets)
+        found.append(own.join(counts, keys).drop(BUCKET, "shard"))
+    matched, keys = with_bucket(reduce(DataFrame.unionByName, found), [SPEECH_ID], index.buckets)
+    weight = F.col("tf") * F.col("idf") / F.col("norm")
+    return matched.join(index.norms, keys).withColumn("weight", weight).drop(BUCKET, "norm")
+
+
 def score_queries(index: Index, weights: DataFrame) -> DataFrame:
     """``(query_id, speech_id, score)``: the cosine of each query with each matching speech."""
     product = F.col("query_weight") * F.col("weight")

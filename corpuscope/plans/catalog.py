@@ -17,7 +17,7 @@ from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import GREEK_STOPS, LEXICON, STOPS, greek_speeches, speeches, table
 from corpuscope.runtime import scratch_path, written
 from corpuscope.schema import QUERIES, SPEECH_COLUMNS, SPEECH_ID, STEMS, WORDS
-from corpuscope.sources import dictionaries, indexes, reports, speeches as stored
+from corpuscope.sources import dictionaries, indexes, reports, segments, speeches as stored
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -759,6 +759,37 @@ def index_roundtrip(spark, sf_dir):
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def grown_index(spark: SparkSession, sf_dir: str) -> ix.Index:
+    """The speeches in two additions of about a half each; others are added, replaced and deleted on the way."""
+    kept = written(clean(spark, sf_dir), "clean")
+    half = F.pmod(F.xxhash64(SPEECH_ID), F.lit(2))
+    store = segments.Store(spark, scratch_path(spark, "store")).create(buckets=8)
+    first = kept.filter(half == 0)
+    store.add(first, refresh=False)
+    strangers = first.withColumn(SPEECH_ID, F.col(SPEECH_ID) + 10**12)
+    store.add(strangers, refresh=False)
+    store.add(kept.filter(half == 1).withColumn("clean_text", F.concat("clean_text", F.lit(" replaced"))), refresh=False)
+    store.delete(strangers, refresh=False)
+    store.merge(store.version().segments[:2])
+    store.add(kept.filter(half == 1), replacing=True)
+    return store.index()
+
+
+@query(f"WITH {sql.scores(ASKED)}{sql.RESULT} WHERE rank <= 10 AND score > 0.05")
+def search_grown_index(spark, sf_dir):
+    """An index that was added to, replaced in, deleted from and merged searches like one built at once."""
+    found = sr.search(grown_index(spark, sf_dir), search_table(spark), STOPS)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query(_TREND)
+def trend_grown_index(spark, sf_dir):
+    words = literal_table(spark, TRENDS, WORDS)
+    series = trend.term_trend(grown_index(spark, sf_dir), words, STOPS)
+    year, score = F.col("year").cast("bigint").alias("year"), F.round("score", 6).alias("score")
+    return series.select("word_id", "token", "found", year, score)
+
+
 @query(f"WITH {sql.keywords('political_party')} SELECT * FROM report")
 def report_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "report")
