@@ -32,7 +32,7 @@ from corpuscope.schema import SPEECH_ID
 from corpuscope.sources.dictionaries import load_stopwords, stop_list
 from corpuscope.sources.indexes import save_index
 from corpuscope.sources.reports import to_json_records, write_report
-from corpuscope.sources.speeches import read_clean, read_speeches, write_clean
+from corpuscope.sources.speeches import ingest_speeches, read_clean, write_clean
 
 GROUPS = (SPEECH_ID, "political_party", "year", "member_name")
 
@@ -104,7 +104,8 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("corpuscope").getOrCreate()
     stops = stop_list(load_stopwords(spark, args.stops))
-    build_all(read_speeches(spark, args.speeches), args.out, stops, buckets=args.buckets)
+    raw = ingest_speeches(spark, args.speeches, f"{args.out}/raw")
+    build_all(raw, args.out, stops, buckets=args.buckets)
     release(spark)
 
 

@@ -17,7 +17,7 @@ from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import GREEK_STOPS, LEXICON, STOPS, greek_speeches, speeches, table
 from corpuscope.runtime import scratch_path, written
 from corpuscope.schema import QUERIES, SPEECH_COLUMNS, SPEECH_ID, STEMS, WORDS
-from corpuscope.sources import dictionaries, indexes, reports, segments, speeches as stored
+from corpuscope.sources import dictionaries, ids, indexes, reports, segments, speeches as stored
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -742,6 +742,22 @@ def csv_roundtrip(spark, sf_dir):
     return stored.read_speeches(spark, path, schema=SPEECH_COLUMNS).select(*columns)
 
 
+@query(f"""WITH {sql.SPEECHES_SQL},
+twice AS (
+  SELECT sitting_date, member_name, political_party, speech FROM speeches
+  UNION ALL SELECT sitting_date, member_name, political_party, nullif(speech, '') FROM speeches),
+digested AS (SELECT *, sha256({sql.listed(["sitting_date", "member_name", "political_party", "speech"])}) AS digest FROM twice),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY digest) - 1 AS number FROM digested)
+SELECT ('0x' || substr(sha256(digest || ':' || number || ':0'), 1, 15))::BIGINT AS speech_id,
+       sitting_date, member_name, political_party, speech
+FROM numbered""")
+def lasting_ids(spark, sf_dir):
+    """Every speech twice (they have copies anyway), in splits of another order."""
+    raw = speeches(spark, sf_dir).select("sitting_date", "member_name", "political_party", "speech")
+    again = raw.withColumn("speech", F.nullif("speech", F.lit("")))
+    return ids.lasting_ids(raw.unionByName(again).repartition(7, F.length("speech")))
+
+
 @query(f"""WITH {sql.CLEAN}
 SELECT speech_id, member_name, sitting_date, speech, clean_text FROM clean""")
 def clean_roundtrip(spark, sf_dir):

@@ -13,6 +13,11 @@ def sql_list(words) -> str:
     return "[" + ", ".join("'" + word.replace("'", "''") + "'" for word in words) + "]"
 
 
+def listed(columns: list[str]) -> str:
+    """The values of a row as one text, each with its length in bytes."""
+    return " || ',' || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in columns)
+
+
 def digits_joined(text: str) -> str:
     """There is no look-behind in RE2, but joining twice gives the same."""
     once = rf"regexp_replace({text}, '(\d)[.,](\d)', '\1\2', 'g')"
