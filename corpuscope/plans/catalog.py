@@ -12,11 +12,11 @@ from corpuscope.functions import dates, text
 from corpuscope.functions.greek import greek_stem
 from corpuscope.functions.sentiment import sentiment
 from corpuscope.operators import blocks, cleaning, clusters, index as ix, keywords, sampling, search as sr
-from corpuscope.operators import sentiment as opinion, similarity, topics, trend
+from corpuscope.operators import names, sentiment as opinion, similarity, topics, trend
 from corpuscope.plans import oracles as sql
 from corpuscope.plans.views import GREEK_STOPS, LEXICON, STOPS, greek_speeches, speeches, table
 from corpuscope.runtime import scratch_path, written
-from corpuscope.schema import QUERIES, SPEECH_COLUMNS, SPEECH_ID, STEMS, WORDS
+from corpuscope.schema import NEEDLE, QUERIES, SPEECH_COLUMNS, SPEECH_ID, STEMS, WORDS
 from corpuscope.sources import dictionaries, ids, indexes, reports, segments, speeches as stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +279,44 @@ def accented_needles(spark, sf_dir):
     return keywords.filter_names(documents, "text", "ÉaU rÉé").select("doc_id", "source")
 
 
+NEEDLES = [
+    (1, " SRC  1 "), (2, "sŕc"), (3, "rc1 Src"), (4, "7"), (5, "zzz"), (6, ""), (7, "c1 c2"), (8, "SRC19"), (9, None),
+]
+_FOUND = """SELECT needle_id, {columns} FROM {table}, {needles}
+WHERE trim(coalesce(needle, '')) <> ''
+  AND len(list_filter(string_split_regex(trim(strip_accents(lower(needle))), ' +'),
+                      lambda w: NOT contains(strip_accents(lower({name})), w))) = 0"""
+
+
+@query(f"""WITH {sql.keywords('member_name')} """ + _FOUND.format(
+    columns="member_name, top_keywords", table="report", name="member_name",
+    needles=sql.values(NEEDLES, "needle_id, needle"),
+))
+def find_members_by_needles(spark, sf_dir):
+    """The keyword report for a table of needles, by an index of the names' letters."""
+    report = written(keywords.keywords_by(clean(spark, sf_dir), "member_name"), "report")
+    index = names.build_names(report.select("member_name"), "member_name", "member_name")
+    asked = literal_table(spark, NEEDLES, NEEDLE)
+    found = names.find_names(index, asked).select("needle_id", F.col("name").alias("member_name"))
+    return found.join(report, "member_name")
+
+
+TEXT_NEEDLES = [(1, "EAU ción"), (2, "ÉaU rÉé"), (3, "ing the"), (4, "q"), (6, "thention OU"), (7, "eau")]
+
+
+@query(_FOUND.format(
+    columns="doc_id, source", table="documents", name="text", needles=sql.values(TEXT_NEEDLES, "needle_id, needle")
+))
+def find_texts_by_needles(spark, sf_dir):
+    """Needles in whole texts, by a stored index of which a lookup reads the buckets of its letters."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    path = scratch_path(spark, "names")
+    indexes.save_names(names.build_names(documents, "text", "doc_id"), path, buckets=16)
+    found = names.find_names(indexes.load_names(spark, path), literal_table(spark, TEXT_NEEDLES, NEEDLE))
+    found = written(found.select("needle_id", F.col("name_id").alias("doc_id")), "found")
+    return found.join(documents.drop("text"), "doc_id")
+
+
 @query(f"WITH {sql.keywords('member_name')} SELECT * FROM report WHERE member_name = 'src7'")
 def keywords_of_member(spark, sf_dir):
     return keywords.keywords_by(clean(spark, sf_dir), "member_name", entity="src7")
@@ -569,6 +607,49 @@ def topic_checks(spark, sf_dir):
     return by_topic.join(lengths, "topic")
 
 
+@query("""SELECT unnest(generate_series(1, 10)) AS topic, true AS is_weights_times_loadings, true AS none_is_stronger""")
+def topic_optimality(spark, sf_dir):
+    """Each topic's speech vector is the weights times its loadings, and no direction that is left is stronger.
+
+    The strongest direction beside the topics is looked for by power iteration from a start of its own.
+    """
+    kept = written(clean(spark, sf_dir), "clean")
+    found = topics.latent_topics(kept)
+    k = len(found.sigma)
+    weights = written(ix.tfidf(kept, SPEECH_ID, min_df=5).select(SPEECH_ID, "term", "weight"), "weights")
+    loadings = found.topic_terms.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("topic", "loading"))).alias("l"))
+    loadings = written(loadings.select("term", F.col("l.loading").alias("loadings")), "loadings")
+    doc_topics = written(found.doc_topics, "doc-topics")
+
+    term_loading = F.posexplode("loadings").alias("at", "loading")
+    image = weights.join(loadings, "term").select(SPEECH_ID, "weight", term_loading)
+    image = image.groupBy(SPEECH_ID, "at").agg(F.sum(F.col("weight") * F.col("loading")).alias("x"))
+    gap = F.abs(F.get("topics", F.col("at")) - F.col("x"))
+    gaps = image.join(doc_topics, SPEECH_ID).groupBy("at").agg(F.max(gap).alias("gap"))
+
+    start = F.pmod(F.xxhash64("term", F.lit(7)), F.lit(2001)) / 1000.0 - 1.0
+    direction = written(loadings.select("term", start.alias("v")), "direction")
+    strength = 0.0
+    for _ in range(6):
+        along = direction.join(loadings, "term").agg(
+            *[F.sum(F.col("v") * F.get("loadings", F.lit(j))) for j in range(k)]
+        ).first()
+        beside = F.zip_with("loadings", F.lit(list(along)), lambda x, c: x * c)
+        rest = F.col("v") - F.aggregate(beside, F.lit(0.0), lambda a, x: a + x)
+        rest = written(direction.join(loadings, "term").select("term", rest.alias("v")), "rest")
+        size = rest.agg(F.sqrt(F.sum(F.col("v") * F.col("v")))).first()[0]
+        up = weights.join(rest, "term").groupBy(SPEECH_ID).agg(F.sum(F.col("weight") * F.col("v")).alias("u"))
+        up = written(up, "image")
+        strength = up.agg(F.sqrt(F.sum(F.col("u") * F.col("u")))).first()[0] / size
+        down = weights.join(up, SPEECH_ID).groupBy("term").agg((F.sum(F.col("weight") * F.col("u")) / size).alias("v"))
+        direction = written(down, "direction")
+    return gaps.select(
+        (F.col("at") + 1).cast("bigint").alias("topic"),
+        (F.col("gap") < 1e-9).alias("is_weights_times_loadings"),
+        (F.lit(strength) <= F.get(F.lit(found.sigma), F.col("at")) * (1 + 1e-4)).alias("none_is_stronger"),
+    )
+
+
 @query("""SELECT count(*) AS vectors, CAST(10 AS BIGINT) AS clusters, count(*) AS members,
        CAST(0 AS BIGINT) AS not_at_nearest, CAST(0 AS BIGINT) AS off_mean
 FROM embeddings""")

@@ -29,6 +29,11 @@ WORDS = T.StructType(
 )
 
 
+NEEDLE = T.StructType(
+    [T.StructField("needle_id", T.LongType()), T.StructField("needle", T.StringType())]
+)
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Fail before any job starts when a needed column is missing."""
     missing = sorted(set(names) - set(df.columns))

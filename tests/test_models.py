@@ -177,3 +177,21 @@ def test_top_topics_of_clusters(spark):
     with pytest.raises(ValueError):
         clusters.cluster_topic_means(df.select("cluster_id"))
     assert df.filter(F.lit(False)).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 200])
+def test_triangles_keep_small_singular_values(spark, partitions):
+    """Inner products would lose a direction that is 1e-9 of the strongest."""
+    rng = np.random.default_rng(3)
+    left, _ = np.linalg.qr(rng.normal(size=(400, 4)))
+    right, _ = np.linalg.qr(rng.normal(size=(4, 4)))
+    wanted = np.array([1.0, 1e-2, 1e-5, 1e-9])
+    matrix = left * wanted @ right.T
+    names = topics._names(4)
+    table = spark.createDataFrame(matrix.tolist(), names).repartition(partitions)
+    sigma, vectors = topics._spectrum(topics._triangle(table, names))
+    assert np.allclose(sigma, wanted, rtol=1e-5)
+    basis = matrix @ vectors / sigma
+    assert np.abs(basis.T @ basis - np.eye(4)).max() < 1e-5
+    empty = topics._spectrum(topics._triangle(table.limit(0), names))
+    assert len(empty[0]) == 0
