@@ -190,6 +190,21 @@ def stem_vocabulary_greek(spark, sf_dir):
     return stems.groupBy(F.translate("stem", "ς", "σ").alias("stem")).agg(F.count("*").alias("words"))
 
 
+@query(f"""WITH {sql.GREEK_SPEECHES_SQL},
+words AS (SELECT unnest({sql.tokenized('speech', 1)}) AS word FROM speeches),
+stems AS (SELECT replace(lower({sql.greek_stemmed("upper(replace(word, 'ß', 'ss'))")}), 'ς', 'σ') AS stem FROM words)
+SELECT stem, count(*) AS n FROM stems GROUP BY ALL""")
+def stems_from_dictionary(spark, sf_dir):
+    """How often each stem is said, by a stored dictionary that learned the words in two parts."""
+    spoken = greek_speeches(spark, sf_dir).select(SPEECH_ID, F.explode(text.words(F.col("speech"))).alias("term"))
+    spoken = written(spoken.withColumn("term", F.translate("term", "ς", "σ")), "spoken")
+    known = dictionaries.StemDictionary(spark, scratch_path(spark, "stem-dictionary"), greek_stem, "1")
+    known.update(spoken.filter(F.pmod(SPEECH_ID, F.lit(2)) == 0))
+    counted = spoken.groupBy("term").agg(F.count("*").alias("n"))
+    merged = cleaning.apply_stems(counted, known.stems(spoken))
+    return merged.groupBy(F.translate("term", "ς", "σ").alias("stem")).agg(F.sum("n").alias("n"))
+
+
 # --- index ------------------------------------------------------------------------------------
 
 

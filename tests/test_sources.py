@@ -127,3 +127,27 @@ def test_cluster_export(spark, tmp_path):
         "--- Ομιλία 1/2 ---\nΟμιλητής: Ann\nΗμερομηνία: -\nΚείμενο:\nA" + end
         + "--- Ομιλία 2/2 ---\nΟμιλητής: Άγνωστος\nΗμερομηνία: 1/1/2000\nΚείμενο:\nB" + end
     )
+
+
+def test_words_are_stemmed_once(spark, tmp_path):
+    stemmed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def shortened(word):
+        stemmed.add(1)
+        return None if word == "BAD" else word[:3]
+
+    stem = shortened.asNondeterministic()
+    path = str(tmp_path / "stems")
+
+    def words(*rows):
+        return spark.createDataFrame([(r,) for r in rows], "term string")
+
+    first = dictionaries.StemDictionary(spark, path, stem, "a")
+    assert first.update(words("tables", "tables", "bad", None)) == 2 and stemmed.value == 2
+    again = dictionaries.StemDictionary(spark, path, stem, "a")  # another session goes on
+    assert again.update(words("tables", "chairs", "bad")) == 1 and stemmed.value == 3
+    found = {r.term: r.stem for r in again.stems(words("bad", "chairs", "lamps")).collect()}
+    assert found == {"bad": None, "chairs": "cha", "lamps": "lam"} and stemmed.value == 4
+    other = dictionaries.StemDictionary(spark, path, stem, "b")
+    assert other.update(words("tables")) == 1 and other.known().count() == 1 and again.known().count() == 4
