@@ -15,6 +15,22 @@ from pyspark.sql import Column, functions as F
 ACCENTED, PLAIN = "ΆΈΉΊΌΎΏΪΫ", "ΑΕΗΙΟΥΩΙΥ"
 COMBINING = "̀́̈͂"
 
+# Words that have no endings, by class, upper-cased and without accents: taken whole, as removing what looks
+# like an ending would leave one or two letters or make them meet other words.
+UNINFLECTED = tuple(
+    (
+        # prepositions
+        "ΑΝΤΙ ΑΠΟ ΓΙΑ ΔΙΑ ΕΠΙ ΚΑΤΑ ΜΕΣΩ ΜΕΤΑ ΜΕΧΡΙ ΠΑΡΑ ΠΕΡΙ ΠΡΟΣ ΥΠΟ ΧΩΡΙΣ ΩΣ "
+        # conjunctions and particles
+        "ΑΛΛΑ ΑΡΑ ΓΙΑΤΙ ΔΗΛΑΔΗ ΔΙΟΤΙ ΕΠΕΙΔΗ Η ΙΣΩΣ ΛΟΙΠΟΝ ΜΟΛΟΝΟΤΙ ΝΑ ΟΤΙ ΟΥΤΕ ΟΧΙ ΠΙΑ ΩΣΤΕ ΩΣΤΟΣΟ "
+        # adverbs
+        "ΑΚΟΜΑ ΑΚΟΜΗ ΑΥΡΙΟ ΕΔΩ ΕΚΕΙ ΕΞΗΣ ΕΤΣΙ ΕΞΩ ΗΔΗ ΚΑΤΩ ΜΑΛΙΣΤΑ ΜΕΣΑ ΠΑΛΙ ΠΑΝΤΑ ΠΑΝΩ ΠΕΡΥΣΙ ΠΟΛΥ ΠΟΤΕ ΣΗΜΕΡΑ "
+        "ΤΟΤΕ ΤΩΡΑ ΦΕΤΟΣ ΧΘΕΣ "
+        # numerals and pronouns
+        "ΔΕΚΑ ΔΥΟ ΕΓΩ ΕΞΙ ΕΠΤΑ ΕΣΥ ΚΑΘΕΤΙ ΟΚΤΩ ΠΕΝΤΕ"
+    ).split()
+)
+
 # Endings, tried in this order, by what has to remain before them.
 _RULES = (
     # Neuters in -μα and feminines in -ση, -ξη, -ψη keep their theme in all cases.
@@ -38,10 +54,11 @@ PATTERN = "|".join(f"^({rest})(?:{'|'.join(endings.split())})$" for rest, ending
 GROUPS = len(_RULES)
 
 
-def greek_stem(word: Column, keep: Sequence[str] = ()) -> Column:
+def greek_stem(word: Column, keep: Sequence[str] = UNINFLECTED) -> Column:
     """The stem of an upper-cased word, without accents; words in other scripts stay as they are.
 
-    ``keep`` lists words (upper-cased, without accents) that are not inflected, such as prepositions.
+    First words without endings are set aside (``keep``, upper-cased and without accents), then the first rule that fits
+    removes one ending and leaves the letters it asks for.
     """
     plain = F.translate(word, ACCENTED + COMBINING, PLAIN)
     stem = F.regexp_replace(plain, PATTERN, "".join(f"${i}" for i in range(1, GROUPS + 1)))

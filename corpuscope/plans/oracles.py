@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuscope.functions.greek import ACCENTED, COMBINING, GROUPS, PATTERN, PLAIN
+from corpuscope.functions.greek import ACCENTED, COMBINING, GROUPS, PATTERN, PLAIN, UNINFLECTED
 from corpuscope.functions.text import PUNCTUATION
 from corpuscope.plans.views import GREEK_SPEECHES_SQL, GREEK_STOPS, LEXICON, SPEECHES_SQL, STOPS
 
@@ -41,7 +41,8 @@ def greek_stemmed(word: str) -> str:
     plain = f"translate({word}, '{ACCENTED}{COMBINING}', '{PLAIN}')"
     groups = "".join(f"\\{i}" for i in range(1, GROUPS + 1))
     stem = f"regexp_replace({plain}, '{PATTERN}', '{groups}')"
-    return f"CASE WHEN regexp_full_match({plain}, '[Α-Ω]+') THEN {stem} ELSE {word} END"
+    return f"""CASE WHEN list_contains({sql_list(UNINFLECTED)}, {plain}) THEN {plain}
+    WHEN regexp_full_match({plain}, '[Α-Ω]+') THEN {stem} ELSE {word} END"""
 
 
 def cleaned_greek(text: str, min_word: int = 1, longest: int = 14) -> str:
