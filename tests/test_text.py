@@ -147,7 +147,9 @@ def test_sentiment_against_plain_python(spark, words):
         ("είναι", "εινα"),
         ("κύριοι", "κυρι"),
         ("συγκεκριμένα", "συγκεκρι"),
-        ("από", "απ"),
+            ("από", "απο"),
+            ("όχι", "οχι"),
+            ("θέμα", "θεμ"),
         ("η", "η"),
         ("1991", "1991"),
         ("the", "the"),
