@@ -43,6 +43,10 @@ CELLS = 1 << 20
 BITMAP = 1 << 23
 _BATCH = 2_000
 _RUN_PART = 4_096
+#: Numbers of pairs and groups that a task holds before it passes them on.
+_HELD = 6_000_000
+#: Buckets of signatures that a task reads one after the other.
+_BUCKETS_EACH = 4
 _STAR_PART = 64
 _BLOCK = 1_000
 _SIGNATURE_BYTES = 5
@@ -150,7 +154,7 @@ def _signature_rows(words: int, percent: int, buckets: int):
                 made["bucket"].append(int(bucket[a]))
                 made["ids"].append(ids[own].tobytes())
                 made["sizes"].append(lengths[own].tobytes())
-                made["counts"].append(counts.astype(np.uint16).tobytes())
+                made["counts"].append(counts.astype(np.uint32).tobytes())
                 raw = np.ascontiguousarray(values[a:b]).view(np.uint8).reshape(-1, 8)
                 made["values"].append(np.ascontiguousarray(raw[:, :_SIGNATURE_BYTES]).tobytes())
             kinds = [("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "sizes", "counts", "values"))]
@@ -174,31 +178,110 @@ def _signature_rows(words: int, percent: int, buckets: int):
     return run
 
 
-def _shared_signatures(percent: int):
+def _shared_signatures(percent: int, targets: int):
     """Pairs (leader, member) of the sets that share a signature, and the larger groups themselves.
 
-    Rows: kind 0, a pair with the size of its group, unless the sizes of the sets rule it out;
-    kind 1, a part of a group with the group's hash.
+    A task reads its buckets one after the other. Pairs and groups found in several of them are kept once, and leave packed
+    by the task that will drop those which other tasks have found as well: kind 0, pairs ``a, b, size of the group``, unless
+    the sizes of the sets rule them out; kind 1, parts of groups ``name, part, size, members ...``.
     """
 
     def run(tables):
-        seen = defaultdict(list)
-        for table in tables:
-            columns = [table.column(c).to_pylist() for c in ("bucket", "ids", "sizes", "counts", "values")]
-            for bucket, ids, sizes, counts, values in zip(*columns):
-                raw = np.frombuffer(values, np.uint8).reshape(-1, _SIGNATURE_BYTES)
-                full = np.zeros((len(raw), 8), np.uint8)
-                full[:, :_SIGNATURE_BYTES] = raw
-                times = np.frombuffer(counts, np.uint16)
-                owners, lengths = np.repeat(np.frombuffer(ids, np.int64), times), np.repeat(np.frombuffer(sizes, np.uint32), times)
-                seen[bucket].append((full.view(np.uint64).ravel(), owners, lengths))
-        for parts in seen.values():
-            yield from _groups(*(np.concatenate(x) for x in zip(*parts)), percent)
+        at, parts = None, []
+        pairs, groups, held = [], {}, 0
+        for bucket, ids, sizes, counts, values in _rows_of(tables, "bucket", "ids", "sizes", "counts", "values"):
+            if bucket != at and parts:
+                held += _collect(_groups(*(np.concatenate(x) for x in zip(*parts)), percent), pairs, groups)
+                parts = []
+            if held > _HELD:
+                yield from _packed(pairs, groups, targets)
+                pairs, groups, held = [], {}, 0
+            at = bucket
+            raw = np.frombuffer(values, np.uint8).reshape(-1, _SIGNATURE_BYTES)
+            full = np.zeros((len(raw), 8), np.uint8)
+            full[:, :_SIGNATURE_BYTES] = raw
+            times = np.frombuffer(counts, np.uint32)
+            owners, lengths = np.repeat(np.frombuffer(ids, np.int64), times), np.repeat(np.frombuffer(sizes, np.uint32), times)
+            parts.append((full.view(np.uint64).ravel(), owners, lengths))
+        if parts:
+            _collect(_groups(*(np.concatenate(x) for x in zip(*parts)), percent), pairs, groups)
+        yield from _packed(pairs, groups, targets)
 
     return run
 
 
+def _rows_of(tables, *names: str):
+    for table in tables:
+        yield from zip(*(table.column(n).to_pylist() for n in names))
+
+
+def _collect(found, pairs: list, groups: dict) -> int:
+    """Add what one bucket gave; returns about how many numbers that are."""
+    if found is None:
+        return 0
+    near, large = found
+    pairs.append(near)
+    more = 0
+    for name, part, size, members in large:
+        if (name, part) not in groups:
+            groups[name, part] = (size, members)
+            more += len(members) + 3
+    return near.size + more
+
+
+def _once(pairs: list) -> np.ndarray:
+    """Rows ``a, b, size``, each pair once with the largest size of its groups."""
+    rows = np.concatenate(pairs) if pairs else np.zeros((0, 3), np.int64)
+    rows = rows[np.lexsort((-rows[:, 2], rows[:, 1], rows[:, 0]))]
+    return rows[np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)]] if len(rows) else rows
+
+
+def _packed(pairs: list, groups: dict, targets: int):
+    out = []
+    rows = _once(pairs)
+    target = (mix(rows[:, 0].copy().view(np.uint64) ^ mix(rows[:, 1].copy().view(np.uint64))) % np.uint64(targets)).astype(np.int64)
+    order = np.argsort(target, kind="stable")
+    rows, target = rows[order], target[order]
+    cuts = np.flatnonzero(np.r_[True, target[1:] != target[:-1], True]) if len(rows) else []
+    out += [(int(target[a]), 0, rows[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    mine = defaultdict(list)
+    for (name, part), (size, members) in groups.items():
+        place = int(mix(np.array([name + part], np.int64).view(np.uint64))[0] % np.uint64(targets))
+        mine[place] += [np.array([name, part, size, len(members)], np.int64), members]
+    out += [(place, 1, np.concatenate(own).tobytes()) for place, own in mine.items()]
+    for a in range(0, len(out), 256):
+        chunk = list(zip(*out[a : a + 256]))
+        types = (pa.int32(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(chunk, types)], ["target", "kind", "packed"])
+
+
+def _met_once(tables):
+    """Unpack pairs and groups and keep each once: rows ``kind, a, b, size, members``."""
+    pairs, names = [], set()
+    for kind, packed in _rows_of(tables, "kind", "packed"):
+        numbers = np.frombuffer(packed, np.int64)
+        if kind == 0:
+            pairs.append(numbers.reshape(-1, 3))
+            if sum(map(len, pairs)) > _HELD:
+                pairs = [_once(pairs)]
+            continue
+        new, at = [], 0
+        while at < len(numbers):
+            name, part, size, n = numbers[at : at + 4].tolist()
+            if (name, part) not in names:
+                names.add((name, part))
+                new.append((name, part, size, numbers[at + 4 : at + 4 + n]))
+            at += 4 + n
+        if new:
+            yield _rows(1, *zip(*new))
+    rows = _once(pairs)
+    for a in range(0, len(rows), 100_000):
+        own = rows[a : a + 100_000]
+        yield _rows(0, own[:, 0], own[:, 1], own[:, 2], [None] * len(own))
+
+
 def _groups(values: np.ndarray, owners: np.ndarray, lengths: np.ndarray, percent: int):
+    """Of one bucket: rows ``a, b, size`` of pairs, and parts ``name, part, size, members`` of groups."""
     order = np.lexsort((owners, values))
     values, owners, lengths = values[order], owners[order], lengths[order].astype(np.int64)
     new = np.r_[True, (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])]
@@ -209,7 +292,7 @@ def _groups(values: np.ndarray, owners: np.ndarray, lengths: np.ndarray, percent
     values, owners, lengths = values[shared], owners[shared], lengths[shared]
     sizes = sizes[sizes > 1]
     if not len(sizes):
-        return
+        return None
     begins = np.r_[0, np.cumsum(sizes)[:-1]]
     group = np.repeat(np.arange(len(sizes)), sizes)
     # The first leader is the smallest id, the second the smallest by one of two hashes.
@@ -220,22 +303,17 @@ def _groups(values: np.ndarray, owners: np.ndarray, lengths: np.ndarray, percent
     x, y = lengths[leaders], lengths[member]
     close = (a != b) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
     a, b, m = a[close], b[close], m[close]
-    order = np.lexsort((-m, b, a))
-    a, b, m = a[order], b[order], m[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
-    yield _rows(0, a[new], b[new], m[new], [None] * int(new.sum()))
+    pairs = _once([np.column_stack([a, b, m])])
     # Groups with the same members count once.
     large = np.flatnonzero(sizes > 2)
     names = np.add.reduceat(mix(owners.view(np.uint64)), begins).view(np.int64)
     _, first = np.unique(names[large], return_index=True)
-    name, part, size, members = [], [], [], []
+    parts = []
     for i in large[first]:
         for p in range(0, sizes[i], _RUN_PART):
-            name.append(names[i])
-            part.append(p // _RUN_PART)
-            size.append(sizes[i])
-            members.append(owners[begins[i] + p : begins[i] + min(sizes[i], p + _RUN_PART)])
-    yield _rows(1, name, part, size, members)
+            members = owners[begins[i] + p : begins[i] + min(sizes[i], p + _RUN_PART)]
+            parts.append((int(names[i]), p // _RUN_PART, int(sizes[i]), members))
+    return pairs, parts
 
 
 def _rows(kind: int, a, b, m, members) -> pa.RecordBatch:
@@ -276,7 +354,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     wanted = pairs.select("a", "part", F.col("a").alias("id"), F.lit(0).alias("role")).distinct()
     wanted = wanted.union(pairs.select("a", "part", F.col("b").alias("id"), F.lit(1).alias("role")))
     wanted = written(wanted, "compared")
-    rows = wanted.join(_with_ids(texts, wanted), "id")
+    # Merged at every size: a table that fits a broadcast today would make another plan tomorrow.
+    rows = wanted.join(_with_ids(texts, wanted).hint("merge"), "id")
     rows = rows.repartition(spread, "a", "part").sortWithinPartitions("a", "part", "role", "id")
 
     def compare(tables):
@@ -312,7 +391,8 @@ def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: D
     rows = written(rows.join(classes.select(F.col("class").alias("id"), "component"), "id"), "group-rows")
     mixed = rows.groupBy("run").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     undecided = written(rows.join(written(mixed.select("run"), "mixed-groups"), "run").select("id").distinct(), "undecided-ids")
-    undecided = written(undecided.join(_with_ids(texts, undecided), "id").dropDuplicates(["id"]), "undecided")
+    undecided = undecided.join(_with_ids(texts, undecided).hint("merge"), "id").dropDuplicates(["id"])
+    undecided = written(undecided, "undecided")
 
     def count(tables):
         total = np.zeros(CELLS, np.int64)
@@ -373,34 +453,35 @@ def _by_key(tables, percent: int):
 
 
 def _pairs_of(rows: pd.DataFrame, keys: list[str], percent: int) -> pd.DataFrame:
-    out = [_close_pairs(own, percent) for _, own in rows.groupby(keys, sort=False) if len(own) > 1]
-    return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-
-
-def _close_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Pairs of one block (or of two) that sizes, places and histograms do not rule out.
 
     If this is the first shingle in order that two sets share, they share at most what follows it
-    in either; a similar pair therefore stays at its first shared shingle.
+    in either; a similar pair therefore stays at its first shared shingle. The rows of a key stand together; each
+    is paired with those behind it, some 100,000 pairs at a time.
     """
     names, n, comp, block, place = (rows[c].to_numpy() for c in ("class", "n", "component", "block", "place"))
-    rest = n - place
-    two = rows["lo"].iloc[0] != rows["hi"].iloc[0]
-    bins = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-    a, b = [], []
-    for i in range(len(rows) - 1):
-        ok = (comp[i + 1 :] != comp[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))
-        ok &= (100 + percent) * np.minimum(rest[i + 1 :], rest[i]) >= percent * (n[i + 1 :] + n[i])
-        if two:
-            ok &= block[i + 1 :] != block[i]
-        at = np.flatnonzero(ok) + i + 1
-        if len(at):
-            far = np.abs(bins[at] - bins[i]).sum(1, dtype=np.int64)
-            at = at[far * (100 + percent) <= (100 - percent) * (n[at] + n[i])]
-            a.append(np.full(len(at), names[i]))
-            b.append(names[at])
-    none = np.zeros(0, np.int64)
-    return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+    rest, two = n - place, (rows["lo"] != rows["hi"]).to_numpy()
+    bins = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, SKETCH)
+    values = rows[keys].to_numpy()
+    ends = np.flatnonzero(np.r_[(values[1:] != values[:-1]).any(1), True]) + 1
+    behind = np.repeat(ends, np.diff(np.r_[0, ends])) - np.arange(len(rows)) - 1
+    passed = np.r_[0, np.cumsum(behind)]
+    found, start = [np.zeros((0, 2), np.int64)], 0
+    while start < len(rows):
+        stop = max(start + 1, int(np.searchsorted(passed, passed[start] + 100_000, side="right")) - 1)
+        first = np.repeat(np.arange(start, stop), behind[start:stop])
+        second = first + 1 + np.arange(len(first)) - (passed[first] - passed[start])
+        x, y = n[first], n[second]
+        ok = (comp[first] != comp[second]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+        ok &= (100 + percent) * np.minimum(rest[first], rest[second]) >= percent * (x + y)
+        ok &= ~two[first] | (block[first] != block[second])
+        first, second, total = first[ok], second[ok], (x + y)[ok]
+        low, high = np.minimum(bins[first], bins[second]), np.maximum(bins[first], bins[second])
+        near = (high - low).sum(1, dtype=np.int64) * (100 + percent) <= (100 - percent) * total
+        found.append(np.column_stack([names[first[near]], names[second[near]]]))
+        start = stop
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def jaccard_components(
@@ -416,7 +497,8 @@ def jaccard_components(
     Other columns are not read.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _BUCKETS_EACH * tasks
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = written(texts.mapInArrow(_digests(words), "id long, n long, digest binary, sketch binary"), "sets")
     with_set = rows.filter("n > 0 AND id IS NOT NULL")
@@ -428,7 +510,9 @@ def jaccard_components(
         _signature_rows(words, percent, buckets), "bucket int, ids binary, sizes binary, counts binary, values binary"
     )
     schema = "kind int, a long, b long, size long, members array<long>"
-    shared = written(packed.repartition(buckets, "bucket").mapInArrow(_shared_signatures(percent), schema), "shared")
+    dealt = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    found = dealt.mapInArrow(_shared_signatures(percent, tasks), "target int, kind int, packed binary")
+    shared = written(found.repartition(tasks, "target").mapInArrow(_met_once, schema), "shared")
 
     class_of = written(members.select("id", "class").distinct(), "class-of")
     pairs = shared.filter("kind = 0").groupBy("a", "b").agg(F.max("size").alias("size"))
@@ -436,7 +520,7 @@ def jaccard_components(
     pairs = pairs.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "size")
     links = written(verified(pairs.filter("a < b"), known, words, percent), "links")
 
-    groups = shared.filter("kind = 1").dropDuplicates(["a", "b"])
+    groups = shared.filter("kind = 1")
     one_each = members.filter("id = class").dropDuplicates(["class"])
     more = _left_over(groups, one_each, components(links), known, words, percent)
     links = written(links.union(verified(more, known, words, percent)), "all-links")

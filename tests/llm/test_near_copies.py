@@ -143,3 +143,33 @@ def test_pipeline_keeps_one_of_each_group(spark, texts):
     kept = corpus_pipeline.drop_near_copies(spark, docs, SMALL)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, (_, c) in brute_force(texts).items() if k == c)
+
+
+def test_a_million_words_in_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "_BUCKETS_EACH", 1)
+    r = random.Random(5)
+    words = [f"w{r.randrange(10**6)}" for _ in range(1_000_000)]
+    near = edited(r, words, 9_000)
+    texts = {1: " ".join(words), 2: " ".join(near), 3: " ".join(words[:500_000]), 4: "a few words " * 5}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found, links = partenum.jaccard_components(docs)
+        assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+        assert [tuple(r) for r in links.collect()] == [(1, 2)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pairs_and_groups_of_several_buckets_are_kept_once():
+    pairs = [np.array([[1, 2, 2], [1, 3, 5]]), np.array([[1, 2, 7], [4, 9, 2]])]
+    groups = {(11, 0): (3, np.array([1, 2, 3])), (11, 1): (3, np.array([4]))}
+    twice = [*partenum._packed(pairs, groups, 3), *partenum._packed(pairs[1:], groups, 3)]
+    rows = [row for table in partenum._met_once(twice) for row in table.to_pylist()]
+    assert sorted((r["a"], r["b"], r["size"]) for r in rows if r["kind"] == 0) == [(1, 2, 7), (1, 3, 5), (4, 9, 2)]
+    assert sorted((r["a"], r["b"], r["size"], r["members"]) for r in rows if r["kind"] == 1) == [(11, 0, 3, [1, 2, 3]), (11, 1, 3, [4])]
+    # The same pair goes to the same task, whoever finds it.
+    targets = [{row["target"] for row in t.to_pylist()} for t in partenum._packed([pairs[0][:1]], {}, 50)]
+    again = [{row["target"] for row in t.to_pylist()} for t in partenum._packed([pairs[1][:1]], {}, 50)]
+    assert targets == again
