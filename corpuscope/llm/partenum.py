@@ -22,6 +22,7 @@ passage in many short texts makes few equal ones. Candidates are verified on who
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from itertools import combinations
 
@@ -46,10 +47,11 @@ _RUN_PART = 4_096
 #: Numbers of pairs and groups that a task holds before it passes them on.
 _HELD = 6_000_000
 #: Buckets of signatures that a task reads one after the other.
-_BUCKETS_EACH = 4
+_BUCKETS_EACH = 2
 _STAR_PART = 64
 _BLOCK = 1_000
 _SIGNATURE_BYTES = 5
+_STEP = math.log(1.06)
 
 
 class Bands:
@@ -131,6 +133,22 @@ def _digests(words: int):
     return run
 
 
+def _size_code(size: int) -> int:
+    """A size to within 6 %, in a byte; sizes above some millions share the last code."""
+    return min(255, int(math.log(size) / _STEP))
+
+
+def _may_be_close(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes with these codes can be within ``percent`` / 100 of one another."""
+    apart = np.abs(x.astype(np.int64) - y)
+    return (apart - 1) * _STEP <= math.log(100 / percent) + 1e-9
+
+
+def _counts(counts: np.ndarray) -> bytes:
+    """Numbers in one byte each if they are below 256, else in four."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
+
+
 def _signature_rows(words: int, percent: int, buckets: int):
     """Signatures by bucket, packed: ids of sets, how many signatures each has there, and these."""
 
@@ -138,9 +156,14 @@ def _signature_rows(words: int, percent: int, buckets: int):
         bands = Bands(percent)
 
         def rows(sets: dict[bytes, tuple[int, np.ndarray]]):
-            ids = np.array([i for i, _ in sets.values()], np.int64)
-            lengths = np.array([len(s) for _, s in sets.values()], np.uint32)
-            each = [signatures(s, bands) for _, s in sets.values()]
+            mine = sorted(sets.values(), key=lambda own: own[0])
+            ids = np.array([i for i, _ in mine], np.int64)
+            wide = len(ids) > 1 and int(ids[-1]) - int(ids[0]) >= 1 << 32
+            offsets = ids - ids[0]
+            if not wide:
+                offsets = offsets.astype(np.uint32)
+            lengths = np.array([_size_code(len(s)) for _, s in mine], np.uint8)
+            each = [signatures(s, bands) for _, s in mine]
             values = np.concatenate(each) if each else np.zeros(0, np.uint64)
             owner = np.repeat(np.arange(len(ids)), [len(e) for e in each])
             bucket = (values >> np.uint64(40)) % np.uint64(buckets)
@@ -152,12 +175,13 @@ def _signature_rows(words: int, percent: int, buckets: int):
                 b = cuts[i + 1] if i + 1 < len(cuts) else len(bucket)
                 own, counts = np.unique(owner[a:b], return_counts=True)
                 made["bucket"].append(int(bucket[a]))
-                made["ids"].append(ids[own].tobytes())
+                made["least"].append(int(ids[0]))
+                made["ids"].append(offsets[own].tobytes())
                 made["sizes"].append(lengths[own].tobytes())
-                made["counts"].append(counts.astype(np.uint32).tobytes())
+                made["counts"].append(_counts(counts))
                 raw = np.ascontiguousarray(values[a:b]).view(np.uint8).reshape(-1, 8)
                 made["values"].append(np.ascontiguousarray(raw[:, :_SIGNATURE_BYTES]).tobytes())
-            kinds = [("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "sizes", "counts", "values"))]
+            kinds = [("bucket", pa.int32()), ("least", pa.int64()), *((c, pa.binary()) for c in ("ids", "sizes", "counts", "values"))]
             return pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in kinds], [n for n, _ in kinds])
 
         sets: dict[bytes, tuple[int, np.ndarray]] = {}
@@ -189,7 +213,7 @@ def _shared_signatures(percent: int, targets: int):
     def run(tables):
         at, parts = None, []
         pairs, groups, held = [], {}, 0
-        for bucket, ids, sizes, counts, values in _rows_of(tables, "bucket", "ids", "sizes", "counts", "values"):
+        for bucket, least, ids, sizes, counts, values in _rows_of(tables, "bucket", "least", "ids", "sizes", "counts", "values"):
             if bucket != at and parts:
                 held += _collect(_groups(*(np.concatenate(x) for x in zip(*parts)), percent), pairs, groups)
                 parts = []
@@ -200,8 +224,10 @@ def _shared_signatures(percent: int, targets: int):
             raw = np.frombuffer(values, np.uint8).reshape(-1, _SIGNATURE_BYTES)
             full = np.zeros((len(raw), 8), np.uint8)
             full[:, :_SIGNATURE_BYTES] = raw
-            times = np.frombuffer(counts, np.uint32)
-            owners, lengths = np.repeat(np.frombuffer(ids, np.int64), times), np.repeat(np.frombuffer(sizes, np.uint32), times)
+            # Ids and counts are as wide as the row needs; there is one code of a size for each.
+            own = np.frombuffer(ids, np.uint32 if len(ids) == 4 * len(sizes) else np.int64).astype(np.int64) + least
+            times = np.frombuffer(counts, np.uint8 if len(counts) == len(sizes) else np.uint32)
+            owners, lengths = np.repeat(own, times), np.repeat(np.frombuffer(sizes, np.uint8), times)
             parts.append((full.view(np.uint64).ravel(), owners, lengths))
         if parts:
             _collect(_groups(*(np.concatenate(x) for x in zip(*parts)), percent), pairs, groups)
@@ -300,8 +326,7 @@ def _groups(values: np.ndarray, owners: np.ndarray, lengths: np.ndarray, percent
     leaders = np.concatenate([begins[group], np.lexsort((turn, group))[begins][group]])
     member = np.concatenate([np.arange(len(owners))] * 2)
     a, b, m = owners[leaders], owners[member], np.concatenate([sizes[group]] * 2)
-    x, y = lengths[leaders], lengths[member]
-    close = (a != b) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+    close = (a != b) & _may_be_close(lengths[leaders], lengths[member], percent)
     a, b, m = a[close], b[close], m[close]
     pairs = _once([np.column_stack([a, b, m])])
     # Groups with the same members count once.
@@ -342,6 +367,24 @@ def _with_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.filter(may_be(place))
 
 
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b, size)`` of classes that neither sizes nor histograms rule out, before a text is read."""
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("size").alias("size")), "met")
+    own = classes.select("class", "n", "sketch")
+    pairs = pairs.join(own.toDF("a", "n_a", "sketch_a"), "a").join(own.toDF("b", "n_b", "sketch_b"), "b")
+
+    def close(tables):
+        for table in tables:
+            x, y = (table.column(c).to_numpy() for c in ("n_a", "n_b"))
+            bins = [np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("sketch_a", "sketch_b")]
+            far = (np.maximum(*bins) - np.minimum(*bins)).sum(1, dtype=np.int64)
+            ok = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+            ok &= far * (100 + percent) <= (100 - percent) * (x + y)
+            yield table.select(["a", "b", "size"]).filter(pa.array(ok))
+
+    return pairs.mapInArrow(close, "a long, b long, size long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b, size)`` whose sets are similar enough, read from whole texts.
 
@@ -423,10 +466,12 @@ def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: D
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flat], ["shingle", "class", "place"])
 
     rows = undecided.select("id", "text").mapInArrow(prefixes, "shingle long, class long, place long")
-    rows = written(rows.join(classes, "class"), "prefixes")
+    # Histograms only go to the shingles that are in several components.
+    rows = written(rows.join(classes.drop("sketch"), "class"), "prefixes")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
     mixed = mixed.filter("x < y").select("shingle", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(written(mixed, "mixed-shingles"), "shingle")
+    rows = written(rows.join(written(mixed, "mixed-shingles"), "shingle"), "mixed-prefixes")
+    rows = rows.join(classes.select("class", "sketch"), "class")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
@@ -507,7 +552,7 @@ def jaccard_components(
 
     known = texts.filter(F.col("id").isNotNull())
     packed = known.mapInArrow(
-        _signature_rows(words, percent, buckets), "bucket int, ids binary, sizes binary, counts binary, values binary"
+        _signature_rows(words, percent, buckets), "bucket int, least long, ids binary, sizes binary, counts binary, values binary"
     )
     schema = "kind int, a long, b long, size long, members array<long>"
     dealt = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
@@ -518,10 +563,10 @@ def jaccard_components(
     pairs = shared.filter("kind = 0").groupBy("a", "b").agg(F.max("size").alias("size"))
     pairs = pairs.join(class_of.toDF("a", "class_a"), "a").join(class_of.toDF("b", "class_b"), "b")
     pairs = pairs.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "size")
-    links = written(verified(pairs.filter("a < b"), known, words, percent), "links")
+    one_each = written(members.filter("id = class").dropDuplicates(["class"]), "one-each")
+    links = written(verified(_near(pairs.filter("a < b"), one_each, percent), known, words, percent), "links")
 
     groups = shared.filter("kind = 1")
-    one_each = members.filter("id = class").dropDuplicates(["class"])
     more = _left_over(groups, one_each, components(links), known, words, percent)
     links = written(links.union(verified(more, known, words, percent)), "all-links")
     # One id with several texts ties their sets together.
