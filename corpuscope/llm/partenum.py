@@ -37,7 +37,7 @@ from corpuscope.runtime import written
 
 #: Parts of a partition and how many are left out: for sets of a band up to SMALL, and for larger ones.
 SMALL, SMALL_PARTS, LARGE_PARTS = 220, (6, 2), (3, 1)
-SKETCH = 64
+SKETCH = 128
 #: Cells in which shingles of undecided sets are counted, to tell rare from frequent ones.
 CELLS = 1 << 20
 #: Bits of the map by which texts are picked before a join.
