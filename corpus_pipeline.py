@@ -52,27 +52,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(_with_text(docs), model).filter(F.col("score") < TOXIC_SCORE).select("_row.*")
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component of near copies: the one whose id names it.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a key of their own for each row, and the name of its column.
 
-    An id is kept once; documents without an id have no place in a component and all stay.
+    That is the id. Where ids are null or repeated, these rows get numbers below all ids, in a table that
+    is written, so that a row keeps its number.
     """
-    components, _ = partenum.jaccard_components(docs)
-    kept = components.filter(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(written(kept, "kept-documents"), F.col("doc_id") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).union(docs.filter(F.col("doc_id").isNull()))
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    ids = docs.groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n"))
+    odd = written(ids.filter(F.col(key).isNull() | (F.col("n") > 1)).select(key), "odd-ids")
+    if odd.isEmpty():
+        return docs.withColumn(key, F.col("doc_id")), key
+    least = min(0, docs.agg(F.min("doc_id")).first()[0] or 0)
+    marked = docs.join(odd.withColumn("_odd", F.lit(True)), F.col("doc_id").eqNullSafe(F.col(key)), "left")
+    number = F.lit(least - 1) - F.monotonically_increasing_id()
+    own = F.when(F.col("_odd"), number).otherwise(F.col("doc_id")).alias(key)
+    return written(marked.select(*[docs[name] for name in docs.columns], own), "keyed"), key
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mixture takes; documents taken 0 times go.
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one row of each component of near copies: the one whose id (see :func:`_keyed`) is the smallest.
 
-    Documents that share id, source and size (such as several without an id) share their copies evenly.
+    Rows without words are linked with nothing and all stay, as do different texts under one id.
     """
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-    taken = taken.agg(F.ceil(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    rows = docs.join(written(taken, "taken"), same & (mixing.word_count(F.col("text")) == F.col("_size")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    keyed, key = _keyed(docs)
+    components, _ = partenum.jaccard_components(keyed, id_col=key)
+    kept = written(components.filter(F.col("component_id") == F.col(key)).select(key), "kept-documents")
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each row as the mixture takes; rows taken 0 times go."""
+    keyed, key = _keyed(docs)
+    copies = key + "n"
+    taken = mixing.mix(keyed, id_col=key).filter("copies > 0").select(key, F.col("copies").cast("int").alias(copies))
+    rows = keyed.join(written(taken, "taken"), key)
+    repeated = F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies + "th")
+    return rows.select(*docs.columns, repeated).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -91,7 +109,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage, each stage stored before the next begins."""
+    """The result of the last stage, each stage stored before the next begins.
+
+    Null texts and texts without letters go in the first stage, so all that follows has text. Rows that share an id, or
+    have none, are documents of their own throughout. Equal rows are near copies, of which one stays; equal scores
+    and sizes are told apart by id. Other columns pass through up to the mixture. An empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
