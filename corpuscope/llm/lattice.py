@@ -1,11 +1,12 @@
 """Language-model scores of texts: the marginal probability over all segmentations of their words.
 
 A word, led by the mark of a word's begin, is a lattice whose arcs are the pieces of an existing
-vocabulary (single bytes where no piece fits) and one arc over the whole word, weighed by its
-smoothed frequency in the training texts. The existing scores of the pieces start the weights; ``EM_PASSES`` passes of
-expectation-maximisation over all distinct training words, weighted by their counts, fit them. A
-forward recursion in log space adds up all paths. Pieces never cross white space, so a text's
-probability is the product of its words' and of the end of the text.
+vocabulary (single bytes where no piece fits), weighed by the vocabulary's own scores. A forward
+recursion in log space adds up all paths. The weights are those of a process that draws one piece with the mark, then pieces
+without it until it ends the word, so the probabilities of all words add up to one. Training texts give the words
+seen their frequencies, each less a discount; what is discounted is the mass of all other words, and the lattice
+spreads it. Pieces never cross white space, so a text's probability is the product of its words' and of the end of
+the text.
 """
 
 from __future__ import annotations
@@ -31,13 +32,11 @@ from corpuscope.llm.dictionary import (
 )
 from corpuscope.runtime import written
 
-EM_PASSES = 2
-#: Pseudo-counts, spread over the pieces as their first weights are.
-SMOOTHING = 1000.0
-#: Shares of the pieces' paths, and constants added to a word's count, of which the best pair is taken.
-SHARES = (0.3, 0.1, 0.03, 0.01, 0.003, 0.001, 0.0001)
-ADDED = (0.1, 0.3, 1.0, 3.0, 10.0)
-#: First weight of a byte that no piece covers, against 1 for all pieces together.
+#: Taken from the count of every word seen, for the lattice to spread.
+DISCOUNT = 0.75
+#: Probability that a word ends after any of its pieces.
+END_OF_WORD = 0.3
+#: Weight of a byte that no piece covers, against 1 for all pieces together.
 BYTE_WEIGHT = 1e-5
 _MARK = "▁"
 _WORDS_PER_ROW = 5_000
@@ -53,9 +52,10 @@ def split_words(text: str) -> list[bytes]:
 
 
 def read_pieces(path: str) -> tuple[list[str], np.ndarray]:
-    """Pieces and their first log weights; the last 256 are single bytes.
+    """Pieces and their log weights; the last 256 are single bytes.
 
-    Vocabularies made by merges store minus the rank as a score, which is read as a weight of
+    The weights of pieces that begin a word, and those of all others, add up to one each; the latter hold the
+    probability that the word goes on, too. Vocabularies made by merges store minus the rank as a score, which is read as a weight of
     1 / (rank + 1); scores of unigram vocabularies are log probabilities already.
     """
     import sentencepiece
@@ -68,8 +68,10 @@ def read_pieces(path: str) -> tuple[list[str], np.ndarray]:
     scores = np.array([s for _, s in pairs])
     ranked = scores.min() < -1000
     weights = 1 / (1 - scores) if ranked else np.exp(scores)
-    first = np.r_[weights / weights.sum(), np.full(256, BYTE_WEIGHT / 256)]
-    return [p for p, _ in pairs], np.log(first / first.sum())
+    weights = np.r_[weights / weights.sum(), np.full(256, BYTE_WEIGHT / 256)]
+    begins = np.array([p.startswith(_MARK) for p, _ in pairs] + [False] * 256)
+    share = np.where(begins, weights[begins].sum(), weights[~begins].sum() / (1 - END_OF_WORD))
+    return [p for p, _ in pairs], np.log(weights / share)
 
 
 class Lattice:
@@ -94,43 +96,36 @@ class Lattice:
         return out
 
     def _spans(self, words: list[str]):
-        """Per span length: piece (-1: none) and log weight at each begin; and the characters."""
+        """The characters, and per span length the log weight of the piece at each begin (none: minus infinity)."""
         joined = "".join([_MARK + w for w in words]).encode("utf-32-le")
         codes = np.frombuffer(joined, np.uint32).reshape(len(words), -1).astype(np.uint64)
         hashes = self._hashes(codes)
-        found, scores = [], []
+        scores = []
         power = np.ones(1, np.uint64)
         for n in range(1, min(self.longest, codes.shape[1]) + 1):
             power *= _FACTOR
             spans = hashes[:, n:] - hashes[:, :-n] * power
-            piece = np.full(spans.shape, -1, np.int64)
             score = np.full(spans.shape, -np.inf)
             maybe = np.flatnonzero(self.leading[(spans >> np.uint64(64 - _LEADING_BITS)).view(np.int64)].ravel())
             wanted = spans.ravel()[maybe]
             at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
             hit = self.hashes[at] == wanted
-            maybe, at = maybe[hit], self.order[at[hit]]
-            piece.ravel()[maybe] = at
-            score.ravel()[maybe] = self.log_weights[at]
-            found.append(piece)
+            score.ravel()[maybe[hit]] = self.log_weights[self.order[at[hit]]]
             scores.append(score)
-        bare = found[0] < 0
+        bare = np.isneginf(scores[0])
         for code in np.unique(codes[bare]):
             of = [self.log_weights[self.pieces + b] for b in chr(int(code)).encode()]
             scores[0][bare & (codes == code)] = sum(of)
-        return codes, found, scores
+        return codes, scores
 
     @staticmethod
-    def _sum_paths(scores: list[np.ndarray], length: int, backward: bool = False) -> np.ndarray:
-        """Log of the summed weights of all paths from the begin to each place (or from each to the end)."""
+    def _sum_paths(scores: list[np.ndarray], length: int) -> np.ndarray:
+        """Log of the summed weights of all paths of each word."""
         n = scores[0].shape[0]
         total = np.full((n, length + 1), -np.inf)
-        total[:, length if backward else 0] = 0
-        for j in range(length - 1, -1, -1) if backward else range(1, length + 1):
-            if backward:
-                terms = [s[:, j] + total[:, j + k + 1] for k, s in enumerate(scores) if j + k + 1 <= length]
-            else:
-                terms = [s[:, j - k - 1] + total[:, j - k - 1] for k, s in enumerate(scores) if j - k - 1 >= 0]
+        total[:, 0] = 0
+        for j in range(1, length + 1):
+            terms = [s[:, j - k - 1] + total[:, j - k - 1] for k, s in enumerate(scores) if j - k - 1 >= 0]
             top = terms[0]
             for term in terms[1:]:
                 top = np.maximum(top, term)
@@ -142,7 +137,7 @@ class Lattice:
                 sums[rows] += np.exp(term[rows] - top[rows])
             with np.errstate(divide="ignore"):
                 total[:, j] = top + np.log(sums)
-        return total
+        return total[:, -1]
 
     def _blocks(self, words: list[str]):
         """Indexes of words of one length, in blocks of bounded size."""
@@ -158,36 +153,16 @@ class Lattice:
         """Natural logs of the words' marginal probabilities."""
         out = np.zeros(len(words))
         for own in self._blocks(words):
-            codes, _, scores = self._spans([words[i] for i in own])
-            out[own] = self._sum_paths(scores, codes.shape[1])[:, -1]
+            codes, scores = self._spans([words[i] for i in own])
+            out[own] = self._sum_paths(scores, codes.shape[1]) + math.log(END_OF_WORD)
         return out
 
-    def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """How often each piece is used in words that occur so often."""
-        out = np.zeros(len(self.log_weights))
-        for own in self._blocks(words):
-            codes, found, scores = self._spans([words[i] for i in own])
-            length = codes.shape[1]
-            ahead, behind = self._sum_paths(scores, length), self._sum_paths(scores, length, backward=True)
-            for k, (piece, score) in enumerate(zip(found, scores)):
-                use = np.exp(ahead[:, : length - k] + score + behind[:, k + 1 :] - ahead[:, -1:]) * counts[own][:, None]
-                out[: self.pieces] += np.bincount(piece[piece >= 0], use[piece >= 0], self.pieces)[: self.pieces]
-                if k == 0:
-                    for code in np.unique(codes[piece < 0]):
-                        uses = use[(piece < 0) & (codes == code)].sum()
-                        for b in chr(int(code)).encode():
-                            out[self.pieces + b] += uses
-        return out
 
-
-def _lattice(path: str, log_weights: np.ndarray | None, name: str) -> Lattice:
-    """One lattice per Python process and set of weights."""
-    if _LOADED.get("name") != (path, name):
-        pieces, first = _LOADED.get(path) or read_pieces(path)
-        _LOADED.clear()
-        _LOADED.update({path: (pieces, first), "name": (path, name)})
-        _LOADED["lattice"] = Lattice(pieces, first if log_weights is None else log_weights)
-    return _LOADED["lattice"]
+def _lattice(path: str) -> Lattice:
+    """One lattice per Python process."""
+    if path not in _LOADED:
+        _LOADED[path] = Lattice(*read_pieces(path))
+    return _LOADED[path]
 
 
 def _merged(tables) -> tuple[dict[str, int], np.ndarray]:
@@ -224,68 +199,27 @@ def _word_counts(parts: DataFrame, buckets: int) -> DataFrame:
     return by_bucket(parts).mapInArrow(merge, "bucket int, words array<string>, counts array<long>")
 
 
-def _path_weights(word_counts: DataFrame, vocabulary: str, weights: np.ndarray) -> DataFrame:
-    """Add ``paths``: the natural log of the summed weights of each word's paths."""
+def _path_weights(word_counts: DataFrame, vocabulary: str) -> DataFrame:
+    """Add ``paths``: the natural log of each word's probability by the lattice."""
 
     def run(tables):
         for table in tables:
-            lattice = _lattice(vocabulary, weights, "fitted")
+            lattice = _lattice(vocabulary)
             paths = [lattice.log_probability(words) for words in table.column("words").to_pylist()]
             yield pa.RecordBatch.from_arrays([*table.columns, pa.array(paths, pa.list_(pa.float64()))], [*table.schema.names, "paths"])
 
     return word_counts.mapInArrow(run, "bucket int, words array<string>, counts array<long>, paths array<double>")
 
 
-def fit_pieces(word_counts: DataFrame, vocabulary: str, passes: int = EM_PASSES) -> np.ndarray:
-    """Log weights of the pieces after so many passes over all training words.
+def word_scores(counts: np.ndarray, paths: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
+    """Log10 probabilities of words that the training texts hold so often, ``paths`` being those of the lattice.
 
-    What reaches the driver is one number per piece, whatever the size of the corpus.
-    """
-    pieces, first = read_pieces(vocabulary)
-    weights = first
-    for step in range(passes):
-        now = weights
-
-        def expect(tables, now=now, step=step):
-            total = np.zeros(len(now))
-            for table in tables:
-                lattice = _lattice(vocabulary, now, f"pass {step}")
-                for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist()):
-                    seen = [i for i, c in enumerate(counts) if c]
-                    total += lattice.expected([words[i] for i in seen], np.asarray(counts, float)[seen])
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.float64())], ["piece", "uses"])
-
-        rows = word_counts.mapInArrow(expect, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses"))
-        uses = np.zeros(len(now))
-        for piece, each in rows.collect():
-            uses[piece] = each
-        weights = np.log((uses + SMOOTHING * np.exp(first)) / (uses.sum() + SMOOTHING))
-    return weights
-
-
-def fit_mixture(paths: DataFrame, tokens: int, kinds: int) -> tuple[float, float]:
-    """Share of the pieces' paths and constant added to counts that make the training words likeliest,
-    each occurrence scored as if it had been left out.
-
-    ``paths`` has the words' counts and path weights; one pass adds up a few dozen sums.
+    (max(count - DISCOUNT, 0) + (DISCOUNT * kinds + 1) * lattice) / (tokens + 2): with the end of a text, which has
+    (ends + 1) / (tokens + 2), all add up to one. Without training the lattice alone is left.
     """
-    pairs = [(share, added) for share in SHARES for added in ADDED]
-
-    def likelihoods(tables):
-        total = np.zeros(len(pairs))
-        for table in tables:
-            counts = table.column("counts").flatten().to_numpy().astype(float)
-            own = np.exp(table.column("paths").flatten().to_numpy())[counts > 0]
-            counts = counts[counts > 0]
-            for i, (share, added) in enumerate(pairs):
-                without = (counts - 1 + added) / (tokens - 1 + added * (kinds + 1))
-                total[i] += (counts * np.log((1 - share) * without + share * own)).sum()
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(pairs)), pa.int32()), pa.array(total, pa.float64())], ["pair", "total"])
-
-    rows = paths.select("counts", "paths").mapInArrow(likelihoods, "pair int, total double")
-    rows = rows.groupBy("pair").agg(F.sum("total"))
-    return pairs[max(rows.collect(), key=lambda r: (r[1], -r[0]))[0]]
+    with np.errstate(divide="ignore"):
+        seen = np.log(np.maximum(counts - DISCOUNT, 0))
+    return (np.logaddexp(seen, math.log(DISCOUNT * kinds + 1) + paths) - math.log(tokens + 2)) / math.log(10)
 
 
 def score_texts(
@@ -295,11 +229,10 @@ def score_texts(
 
     Returns ``id_col, n_tokens, n_known, train_tokens, base_score, score``: tokens with the end of the
     text, those the training rows hold, all training tokens, the log10 probability of an additively
-    smoothed word model (0.1 each), and that of the lattice, in which the arc over a whole word and
-    the pieces' paths have the shares and the smoothing of ``fit_mixture``. Like the base, the arc
-    gives each unseen word the same floor, beside which its paths tell likely from unlikely words.
-    A null or empty text is an end alone. Without training rows the base is 0 and the pieces keep
-    their first weights.
+    smoothed word model (0.1 each), and the model's, see :func:`word_scores`. The base gives every unseen word the
+    same floor, of which there are unboundedly many; the model's probabilities add up to one, so on texts with
+    unseen words it is below the base where these are unlikely by their letters.
+    A null or empty text is an end alone. Without training rows the base is 0 and the lattice scores alone.
     """
     is_training = F.coalesce(training, F.lit(False))
     texts = docs.select(
@@ -310,21 +243,19 @@ def score_texts(
     counted = written(_word_counts(parts, buckets), "lattice-counts")
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = counted.repartition(spread)
-    weights = fit_pieces(counted, vocabulary)
-
     one = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
     distinct = F.size(F.filter("counts", lambda x: x > 0))
     totals = counted.agg(F.sum(one).alias("words"), F.sum(distinct).alias("kinds")).first()
     ends = docs.filter(is_training).count()
     n, kinds = (totals["words"] or 0) + ends, (totals["kinds"] or 0) + (ends > 0)
-    paths = written(_path_weights(counted, vocabulary, weights), "lattice-paths")
-    share, added = fit_mixture(paths, n, kinds) if totals["words"] else (SHARES[0], ADDED[0])
+    word_kinds = totals["kinds"] or 0
+    paths = written(_path_weights(counted, vocabulary), "lattice-paths")
 
-    def arc_of(counts: np.ndarray, added: float) -> np.ndarray:
-        return np.log10((counts + added) / (n + added * (kinds + 1)))
+    def base_of(counts: np.ndarray) -> np.ndarray:
+        return np.log10((counts + 0.1) / (n + 0.1 * (kinds + 1)))
 
-    end_base, end_arc = (float(arc_of(np.array([ends]), x)[0]) for x in (0.1, added))
-    end_score = end_arc + math.log10(1 - share)
+    end_base = float(base_of(np.array([ends]))[0])
+    end_score = math.log10((ends + 1) / (n + 2))
 
     def score(tables):
         words: dict[str, int] = {}
@@ -339,8 +270,7 @@ def score_texts(
             own_paths.append(fitted.column("paths").flatten().to_numpy())
             parts_.append(table.filter(pc.is_null(table.column("paths"))).select(["batch", "bucket", "check", "words"]))
         counts, tables = np.concatenate(counts), parts_
-        arcs = math.log(1 - share) + arc_of(counts, added) * math.log(10)
-        scores = np.logaddexp(arcs, math.log(share) + np.concatenate(own_paths)) / math.log(10)
+        scores = word_scores(counts, np.concatenate(own_paths), n, word_kinds)
         for table in tables:
             rows = [[], []]
             for own in table.column("words").to_pylist():
@@ -362,7 +292,7 @@ def score_texts(
         right = right.sort_values("bucket")
         counts = np.concatenate([np.zeros(0, np.int64), *(unpack(x, np.int64) for x in right["counts"])])[at.rank]
         scores = np.concatenate([np.zeros(0), *(unpack(x, np.float64) for x in right["scores"])])[at.rank]
-        bases = arc_of(counts, 0.1)
+        bases = base_of(counts)
         ends_at = np.cumsum(at.lengths)
 
         def sums(values: np.ndarray) -> np.ndarray:

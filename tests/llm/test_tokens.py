@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import functools
+import itertools
 import math
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from corpuscope.llm import bpe, dictionary, lattice, token_counts
-from corpuscope.llm.queries import QUERIES
+from corpuscope.llm.queries import QUERIES, fold
 from corpuscope.runtime import scratch_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -129,16 +132,65 @@ def test_lattice_sums_all_segmentations():
         return out
 
     words = ["ab", "abb", "aabb", "b", "aéb", "bbbb", "漢a"]
-    totals = model.log_probability(words)
-    counts = np.arange(1.0, len(words) + 1)
-    expected = np.zeros(len(weights))
-    for word, total, count in zip(words, totals, counts):
+    for word, total in zip(words, model.log_probability(words)):
         found = paths("▁" + word)
-        assert math.isclose(total, math.log(sum(p for _, p in found)), rel_tol=1e-12)
-        for own, p in found:
-            for i in own:
-                expected[i] += count * p / sum(q for _, q in found)
-    assert np.allclose(model.expected(words, counts), expected)
+        assert math.isclose(total, math.log(lattice.END_OF_WORD * sum(p for _, p in found)), rel_tol=1e-12)
+
+
+def test_all_words_of_a_small_alphabet_add_up_to_one():
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "bb"]
+    raw = np.array([3, 5, 2, 4, 7, 1, 6.0])
+    begins = np.array([p.startswith("▁") for p in pieces])
+    weights = np.where(begins, raw / raw[begins].sum(), raw / raw[~begins].sum() * (1 - lattice.END_OF_WORD))
+    model = lattice.Lattice(pieces, np.log(np.r_[weights, np.full(256, 1e-300)]))
+    words = ["".join(w) for n in range(1, 15) for w in itertools.product("ab", repeat=n)]
+    paths = model.log_probability(words)
+    empty = lattice.END_OF_WORD * weights[0]  # the mark alone
+    assert 0.95 < np.exp(paths).sum() + empty < 1
+    counts = np.zeros(len(words))
+    counts[[0, 3, 40]] = 5, 1, 9
+    tokens, kinds, ends = 15 + 4, 3, 4
+    scores = 10 ** lattice.word_scores(counts, paths, tokens, kinds)
+    total = scores.sum() + (ends + 1) / (tokens + 2)
+    assert 0.95 < total < 1
+
+
+def test_own_weights_of_the_vocabulary():
+    pieces, weights = lattice.read_pieces(PIECES)
+    begins = np.array([p.startswith("▁") for p in pieces] + [False] * 256)
+    assert math.isclose(np.exp(weights[begins]).sum(), 1) and math.isclose(np.exp(weights[~begins]).sum(), 1 - lattice.END_OF_WORD)
+
+
+def test_the_lattice_tells_likely_from_unlikely_words(spark, stored):
+    """Unseen words share one mass, and it is the lattice that spreads it."""
+    rows = [(1, "the thing the"), (2, "thinking"), (3, "xqzvkjwq"), (4, "thinking " * 30_000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path := scratch_path(spark, "texts"))
+    docs = spark.read.parquet(path)
+    found = {r.doc_id: r for r in lattice.score_texts(docs, docs.doc_id == 1, PIECES).collect()}
+    assert found[2].base_score == found[3].base_score and found[2].score > found[3].score + 3
+    assert math.isclose(found[4].score - found[2].score, 29_999 * (found[2].score - math.log10(2 / 6)), rel_tol=1e-9)
+
+
+@functools.cache
+def vocabulary() -> dict[str, float]:
+    pieces, weights = lattice.read_pieces(PIECES)
+    return dict(zip([*pieces, *range(256)], weights.tolist()))
+
+
+def likely(word: bytes, count: int, n: int, kinds: int) -> float:
+    """A word's log10 probability, its paths added up one place after the other."""
+    known, text = vocabulary(), "▁" + word.decode()
+    ways = [0.0] + [-math.inf] * len(text)
+    for end in range(1, len(text) + 1):
+        for begin in range(max(0, end - 40), end):
+            weight = known.get(text[begin:end])
+            if weight is None and end - begin == 1:
+                weight = sum(known[b] for b in text[begin].encode())
+            if weight is not None:
+                ways[end] = float(np.logaddexp(ways[end], ways[begin] + weight))
+    paths = ways[-1] + math.log(lattice.END_OF_WORD)
+    seen = math.log(count - lattice.DISCOUNT) if count else -math.inf
+    return float(np.logaddexp(seen, math.log(lattice.DISCOUNT * kinds + 1) + paths) - math.log(n + 2)) / math.log(10)
 
 
 def test_scores_the_long_way(spark, stored):
@@ -153,9 +205,10 @@ def test_scores_the_long_way(spark, stored):
     for i, t in TEXTS:
         tokens = [*(t or "").encode().lower().split(), None]
         base = sum(math.log10((seen[w] + 0.1) / (n + 0.1 * (kinds + 1))) for w in tokens)
-        expected.append((i, len(tokens), sum(seen[w] > 0 for w in tokens), n, round(base, 6)))
-    assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == Counter(expected)
-    assert all(math.isfinite(r.score) and r.score < 0 for r in rows)
+        score = sum(math.log10((seen[w] + 1) / (n + 2)) if w is None else likely(w, seen[w], n, kinds - (seen[None] > 0)) for w in tokens)
+        expected.append((i, len(tokens), sum(seen[w] > 0 for w in tokens), n, round(base, 6), round(score, 6)))
+    found = Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in rows)
+    assert found == Counter(expected)
 
 
 def test_nothing_to_learn_from(stored):
@@ -164,7 +217,12 @@ def test_nothing_to_learn_from(stored):
     assert all(math.isfinite(r.score) for r in rows)
 
 
-def test_held_out_text_is_likelier_than_under_the_base(spark):
+def test_held_out_text_needs_the_lattice(spark, monkeypatch):
+    """With the same probability for every word in place of the lattice's, held-out texts are less likely."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     rows = QUERIES["op10_lattice_scores"](spark, SMALL).collect()
-    held_out = [r for r in rows if r.held_out]
-    assert held_out and sum(r.score for r in held_out) > sum(r.base_score for r in held_out)
+    own = sum(r.score for r in rows if r.held_out)
+    monkeypatch.setattr(lattice, "_path_weights", lambda counted, path: counted.withColumn("paths", F.transform("counts", lambda c: F.lit(-60.0).cast("double"))))
+    flat = lattice.score_texts(docs, fold("doc_id", 10) != 0, PIECES)
+    held_out = {r.doc_id for r in rows if r.held_out}
+    assert len(held_out) > 5 and own > sum(r.score for r in flat.collect() if r.doc_id in held_out) + 100
