@@ -37,7 +37,7 @@ _INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr".split()
 )
 _NEVER = frozenset(
-    "head script style noscript template iframe object embed canvas svg math audio video nav footer aside form button "
+    "head script style noscript template iframe object embed canvas svg math audio video nav footer aside button "
     "select option input textarea dialog menu noembed noframes xmp title".split()
 )
 _CLOSES_P = frozenset(
@@ -55,6 +55,15 @@ _NOT_MAIN = frozenset(
 _HEAD = frozenset("header masthead".split())
 _MAIN_WORDS = frozenset("article articlebody main content post entry story".split())
 _NOT_ARTICLE = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related".split())
+#: Of these, the ones that are never main text, whatever the element holds.
+_HARD = _NOT_ARTICLE - {"related"}
+# Words that name a part only alone, or beside words that do so or are in the second list: ``related-posts``, but not
+# ``search-results`` or ``tag-related-work``.
+_LONE = frozenset("nav related search social".split())
+_BESIDE = frozenset(
+    "articles bar block box button buttons form icons items left links list main media posts primary right secondary section "
+    "stories top".split()
+)
 #: ``with-sidebar`` names a page that has a sidebar, not the sidebar.
 _HAVING = frozenset("with has no without".split())
 
@@ -68,25 +77,42 @@ _NAME_PART = re.compile(r"[a-z]+")
 class Node:
     """An element, with the text that stands directly in it between its child elements."""
 
-    __slots__ = ("tag", "label", "kids", "drop", "head", "main")
+    __slots__ = ("tag", "label", "kids", "drop", "named", "head", "main", "chars", "marked")
 
     def __init__(self, tag: str, attributes: str) -> None:
         self.tag, self.kids, self.label = tag, [], tag
         self.drop, self.head, self.main = tag in _NEVER, tag == "header", 2 if tag == "article" else int(tag == "main")
+        #: Left out for its name (or as a form), unless :func:`_settle` finds the main text in it.
+        self.named = tag == "form"
         if not attributes:
             return
         names: list[str] = []
+        lone: list[list[str]] = []
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key = key.lower()
             if key == "hidden" or (key == "aria-hidden" and (a or b or c).lower() == "true"):
                 self.drop = True
             elif key in _NAMING:
-                names += _NAME_PART.findall((a or b or c).lower())
+                for name in (a or b or c).lower().split():
+                    parts = _NAME_PART.findall(name)
+                    names += parts
+                    if not _LONE.isdisjoint(parts):
+                        lone.append(parts)
         if names and tag not in ("html", "body"):
             self.label = f"{tag}.{'.'.join(names[:4])}"
-            against = _NOT_ARTICLE if self.main or "main" in names else _NOT_MAIN
-            if against.intersection(names) and not _HAVING.intersection(names):
-                self.drop = True
+            own = self.main > 0
+            against = _NOT_ARTICLE if own or "main" in names else _NOT_MAIN
+            found = against.intersection(names)
+            if found and lone:
+                clear = _NOT_MAIN | _BESIDE
+                found -= {w for w in _LONE if not any(w in parts and clear.issuperset(parts) for parts in lone)}
+            if found and not _HAVING.intersection(names):
+                if own or _HARD.isdisjoint(found):
+                    self.named = True
+                    if _MAIN_WORDS.intersection(names):
+                        self.main = max(self.main, 1)
+                else:
+                    self.drop = True
             elif _HEAD.intersection(names):
                 self.head = True
             elif _MAIN_WORDS.intersection(names):
@@ -144,9 +170,30 @@ def parse(page: str) -> Node:
             stack.append(node)
     if at < len(page):
         stack[-1].kids.append(page[at:])
+    _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Leave out the elements that are named like other parts, but not one that holds the page's main text.
+
+    That is more than half of the characters marked as main content, or of all if none are marked.
+    """
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [kid for kid in node.kids if not isinstance(kid, str) and not kid.drop]
+    for node in reversed(order):
+        below = [kid for kid in node.kids if not isinstance(kid, str) and not kid.drop]
+        node.chars = sum(len(kid.strip()) for kid in node.kids if isinstance(kid, str)) + sum(kid.chars for kid in below)
+        node.marked = node.chars if node.main else sum(kid.marked for kid in below)
+    for node in order:
+        if node.named:
+            most = 2 * node.marked > root.marked if root.marked else 2 * node.chars > root.chars
+            node.drop = not most
+
+
 def _tidy(parts: list[str]) -> str:
     text = "".join(parts)
     if "&" in text:

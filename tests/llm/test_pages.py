@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from collections import Counter
 
 import pytest
 
@@ -66,6 +67,47 @@ def test_attributes_by_whole_names_and_closed_drawings(page, text):
     assert one(page) == text
 
 
+STORY = "<p>The long story of the page</p><p>and how it ends</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div id=page class="site search-results"><article>{STORY}</article></div>',
+        f'<div class="wrapper nav-open"><main>{STORY}</main></div>',
+        f'<div class="page social-policy"><article>{STORY}</article></div>',
+        f'<article class="post tag-related-work">{STORY}</article>',
+        f'<article class="post comments-open has-share">{STORY}</article>',
+        f'<div class="widget-area content">{STORY}</div>',
+        f'<div class="layout sidebar-left-menu"><div class=content>{STORY}</div><div class=sidebar><p>Links</p></div></div>',
+        f"<form id=aspnetForm><input name=q><select><option>x</select><div>{STORY}</div></form>",
+        f"<form id=aspnetForm><article>{STORY}</article></form>",
+        f'<div class="toolbar-theme">{STORY}</div><p class=related>more</p>',
+    ],
+)
+def test_a_name_does_not_hide_the_main_text(page):
+    assert one(f"<body>{page}</body>") == "The long story of the page\nand how it ends"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div class=related-posts><article><p>Read next</p></article></div>", "<div class='search-box'><p>Find</p></div>",
+        "<form><p>Sign up</p></form>", "<ul class='nav nav-primary'><li>Home</ul>", "<div id=social-media-icons>Share</div>",
+        "<div class='comment-content'>" + "<p>I think otherwise</p>" * 20 + "</div>", "<div role=search>Find</div>",
+        "<section class=comments><article class=comment>" + "<p>me too</p>" * 30 + "</article></section>",
+    ],
+)
+def test_parts_are_left_out_by_name(part):
+    assert one(f"<body><article>{STORY}</article>{part}</body>") == "The long story of the page\nand how it ends"
+
+
+def test_pages_that_repeat_an_id(spark):
+    rows = [(1, "http://a.org/1", "<p>x</p>"), (1, "http://a.org/1", "<p>x</p>"), (1, None, "<p>y</p>"), (None, None, None)]
+    found = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert Counter((r.page_id, r.url, r.text) for r in found) == Counter([(1, "http://a.org/1", "x")] * 2 + [(1, None, "y"), (None, None, "")])
+
+
 def test_deep_long_and_hostile_pages_end():
     start = time.time()
     assert one("<div>" * 30_000 + "x") == "x"
