@@ -23,10 +23,18 @@ LEAST_FAMILIARITY = -0.2
 #: A document scored so toxic or more is dropped. Chosen from op8's held-out scores on sf0.01 and sf0.1 (README).
 TOXIC_SCORE = 0.3
 
+#: Texts reach Python so many rows at a time, as the stages share executors that keep what they once allocated.
+ROWS_AT_A_TIME = 2_000
+
 # Language models and isotonic curves have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session's Python stages; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_A_TIME)
+
+
 def _with_text(docs: DataFrame) -> DataFrame:
     """Whole rows beside their text, so that no column of theirs can clash with a stage's own."""
     return docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
@@ -37,6 +45,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The machines learn from the labels of all the documents.
     """
+    _small_batches(spark)
     model = language.fit(docs, F.lit(True), familiar=True)
     judged = language.predict(_with_text(docs), model)
     kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
@@ -47,6 +56,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents scored below ``TOXIC_SCORE``, learned from all labels of ``labels``."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs, labels)
     return toxicity.score(_with_text(docs), model).filter(F.col("score") < TOXIC_SCORE).select("_row.*")
@@ -77,6 +87,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without words are linked with nothing and all stay, as do different texts under one id.
     """
+    _small_batches(spark)
     keyed, key = _keyed(docs)
     components, _ = partenum.jaccard_components(keyed, id_col=key)
     kept = written(components.filter(F.col("component_id") == F.col(key)).select(key), "kept-documents")
@@ -95,6 +106,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every copy: ``doc_id, n_tokens, ids``."""
+    _small_batches(spark)
     ids = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
