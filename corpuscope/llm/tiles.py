@@ -28,8 +28,8 @@ BLOCK = 1_024
 #: Directions along which vectors are binned: each more prunes more and sends a tile to thrice as many partners.
 LEADING = 2
 STEPS = (8, 8, 16, 32)
-#: What the rotation may change in a cosine.
-ROUNDING = 1e-14
+#: Turned vectors decide pairs that are farther than this from the threshold, the original ones decide the others.
+ROUNDING = 1e-12
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -69,8 +69,9 @@ def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh(total.reshape(width, width))[1][:, ::-1]
 
 
-def compare_tiles(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows (unit vectors in the order of the axes) whose cosine reaches ``least``."""
+def compare_tiles(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs of rows (unit vectors in the order of the axes) whose cosine reaches ``least`` or is within
+    ``ROUNDING`` of it, and which pairs are so close."""
     width = a.shape[1]
     rows, cols, sums, start = None, None, None, 0
     for step in (*STEPS, width):
@@ -89,7 +90,7 @@ def compare_tiles(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarra
         if not len(rows):
             break
     reached = sums >= least - ROUNDING
-    return rows[reached], cols[reached]
+    return rows[reached], cols[reached], sums[reached] < least + ROUNDING
 
 
 def joined(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -110,7 +111,8 @@ def joined(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def near_vectors(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(id_col, n_links, component_id, kept)`` for every row of ``vectors``.
 
-    Two vectors link if their cosine is ``least`` or more. Vectors that take no part (see ``usable``)
+    Two vectors link if their cosine is ``least`` or more, none below it: where turned vectors cannot tell, the
+    original ones do, scaled to length one, multiplied and added in doubles. Vectors that take no part (see ``usable``)
     and those whose length nobody shares have no links and their own id as component. Equal
     vectors link with each other; rows with the same id and vector count as different rows. A null id
     gives a null component. ``kept`` marks the vector whose id names its component.
@@ -152,6 +154,28 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id"
 
 def _links(classes: DataFrame, width: int, least: float) -> DataFrame:
     """Rows (0, a, b): a and b are of one component; (1, a, n): a links to n vectors within one pair of tiles."""
+    found = written(_compared(classes, width, least), "tile-links")
+    close = found.filter("kind = 2")
+    own = classes.select("class", "copies", "vector")
+    for side in "ab":
+        close = close.join(own.toDF(side, f"copies_{side}", f"vector_{side}"), side)
+
+    def decide(tables):
+        for table in tables:
+            if table.num_rows:
+                cosines = (_unit(_matrix(table.column("vector_a"))) * _unit(_matrix(table.column("vector_b")))).sum(1)
+                yield table.filter(pa.array(cosines >= least)).select(["a", "b", "copies_a", "copies_b"])
+
+    linked = close.select("a", "b", "copies_a", "copies_b", "vector_a", "vector_b").mapInArrow(
+        decide, "a long, b long, copies_a long, copies_b long"
+    )
+    rows = [("0", "greatest(a, b)", "least(a, b)"), ("1", "a", "copies_b"), ("1", "b", "copies_a")]
+    structs = ", ".join(f"struct({kind} AS kind, {a} AS a, {b} AS b)" for kind, a, b in rows)
+    return found.filter("kind < 2").union(linked.selectExpr(f"inline(array({structs}))"))
+
+
+def _compared(classes: DataFrame, width: int, least: float) -> DataFrame:
+    """The rows of :func:`_links` from turned vectors; (2, a, b): a and b are too close to the threshold to tell."""
     axes = principal_axes(classes, width)
     step = math.sqrt(max(0.0, 2 - 2 * least)) + 1e-6
     leading = min(LEADING, width)
@@ -201,17 +225,21 @@ def _links(classes: DataFrame, width: int, least: float) -> DataFrame:
         rank = np.empty(len(ids), np.int64)
         rank[order] = np.arange(len(ids))
         labels = np.arange(len(ids))
+        close = [(ids[:0], ids[:0])]
         for p in range(0, len(x), BLOCK):
             for q in range(p if same else 0, len(y), BLOCK):
-                i, j = compare_tiles(x[p : p + BLOCK], y[q : q + BLOCK], least)
+                i, j, unsure = compare_tiles(x[p : p + BLOCK], y[q : q + BLOCK], least)
                 i, j = i + p, j + q
                 if same:
-                    i, j = i[i < j], j[i < j]
+                    i, j, unsure = i[i < j], j[i < j], unsure[i < j]
+                close.append((ids_a[i[unsure]], ids_b[j[unsure]]))
+                i, j = i[~unsure], j[~unsure]
                 n_a += np.bincount(i, copies_b[j], len(n_a)).astype(np.int64)
                 n_b += np.bincount(j, copies_a[i], len(n_b)).astype(np.int64)
                 labels = joined(labels, rank[i], rank[j if same else j + len(ids_a)])
         node = np.flatnonzero(labels != np.arange(len(ids)))
-        parts = [(0, ids[order[node]], ids[order[labels[node]]]), (1, ids_a[n_a > 0], n_a[n_a > 0]), (1, ids_b[n_b > 0], n_b[n_b > 0])]
+        parts = [(0, ids[order[node]], ids[order[labels[node]]]), (1, ids_a[n_a > 0], n_a[n_a > 0]), (1, ids_b[n_b > 0], n_b[n_b > 0]),
+                 (2, *map(np.concatenate, zip(*close)))]
         return pd.concat([pd.DataFrame({"kind": k, "a": u, "b": v}) for k, u, v in parts])
 
     return sides[0].cogroup(sides[1]).applyInPandas(compare, "kind int, a long, b long")
