@@ -39,7 +39,7 @@ def brute_force_links(rows: list, least: float) -> list:
     links = Counter()
     for n in {len(v) for _, v in use}:
         own = [(i, v) for i, v in use if len(v) == n]
-        near = cosines([v for _, v in own]) >= least - 1e-14
+        near = cosines([v for _, v in own]) >= least
         for a in range(len(own)):
             for b in range(a):
                 if near[a, b]:
@@ -84,6 +84,32 @@ def test_links_of_repeated_rows_null_ids_and_nothing(spark):
     assert [r.component_id for r in tiles.near_vectors(table.filter("vec_id = 4")).collect()] == [4]
 
 
+def test_links_at_the_threshold(spark):
+    """Pairs some last digits above and below the threshold, in vectors that are turned."""
+    r = np.random.default_rng(3)
+    rows, expected = [], {}
+    for n, gap in enumerate([-1e-9, -2e-13, -5e-14, -5e-15, 5e-15, 5e-14, 2e-13, 1e-9] * 5):
+        a, b = np.linalg.qr(r.standard_normal((40, 2)))[0].T
+        v = [2 * a, 3 * (0.95 * a + math.sqrt(1 - 0.95**2) * b)]
+        v[1] += 3 * gap * a  # the length changes by 0.95 of the gap, the cosine by a tenth of it
+        rows += [(2 * n, v[0].tolist()), (2 * n + 1, v[1].tolist())]
+        units = tiles._unit(np.array(v))
+        expected[n] = (units[0] * units[1]).sum() >= 0.95
+    assert 10 < sum(expected.values()) < 30
+    found = {r.vec_id: r for r in tiles.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    for n, linked in expected.items():
+        assert [found[2 * n].n_links, found[2 * n + 1].n_links] == [int(linked)] * 2
+        assert found[2 * n + 1].component_id == 2 * n + (not linked)
+
+
+def test_links_where_every_pair_is_at_the_threshold(spark):
+    rows = [(i, [3.0 if i == j else 1.0 for j in range(5)]) for i in range(5)] * 2
+    least = 10 / 13 - 1e-15  # of any two different vectors: (3 + 3 + 1 + 1 + 1) / 13 is 9 / 13
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r.n_links for r in tiles.near_vectors(table, least).collect()} == {1}
+    assert {(r.n_links, r.component_id) for r in tiles.near_vectors(table, 9 / 13 - 1e-15).collect()} == {(9, 0)}
+
+
 def test_links_query_on_its_table(spark):
     rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
     found = QUERIES["op6_near_vectors"](spark, SMALL).collect()
@@ -102,7 +128,9 @@ def brute_force_nearest(rows: list, queries: set, k: int) -> dict:
 
 def test_all_leaves_give_the_exact_neighbours(spark, monkeypatch):
     monkeypatch.setattr(forest, "LEAF_SAMPLE", 8)
-    monkeypatch.setattr(forest, "GROUP_ENTRIES", 20)
+    monkeypatch.setattr(forest, "PART_ENTRIES", 20)
+    monkeypatch.setattr(forest, "PART_QUERIES", 3)
+    monkeypatch.setattr(forest, "REGIONS", 5)
     rows = [r for r in made() if r[0] not in (326, 327)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, query string")
     queries = set(range(0, 3000, 9)) | {2000, 300, 325}
@@ -136,6 +164,32 @@ def test_copies_ties_and_nothing(spark):
     assert [(r.rank, r.vec_id) for r in few] == [(1, 20)]
 
 
+@pytest.mark.parametrize("dense", [False, True])
+def test_walks_are_as_long_as_the_vectors_need(spark, monkeypatch, dense):
+    """Vectors in groups need few leaves; one dense region of half the table is searched in parts."""
+    lengths = []
+    measure = forest._enough
+    monkeypatch.setattr(forest, "_enough", lambda *given: lengths.append(measure(*given)) or lengths[-1])
+    monkeypatch.setattr(forest, "PART_ENTRIES", 100)
+    r = np.random.default_rng(5)
+    centres = r.standard_normal((60, 24))
+    groups = np.zeros(3000, int) if dense else r.integers(0, 60, 3000)
+    groups[1500:] = r.integers(0, 60, 1500)
+    points = centres[groups] + 0.1 * r.standard_normal((3000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = defaultdict(set)
+    for row in forest.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        found[row.query_id].add(row.vec_id)
+    scores = cosines(points.tolist())
+    np.fill_diagonal(scores, -2)
+    exact = {q: set(np.argsort(-scores[q])[:5].tolist()) for q in range(0, 3000, 20)}
+    assert all(len(found[q]) == 5 for q in exact)
+    assert sum(len(found[q] & exact[q]) for q in exact) >= 0.9 * 5 * len(exact)
+    # With repeats over the trees; on vectors that point everywhere it is more than the table.
+    assert lengths[0] < 3000 * (0.9 if dense else 0.25)
+
+
 def test_recall_of_the_query(spark):
     path = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect() if takes_part(r.embedding)]
