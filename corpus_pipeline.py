@@ -82,6 +82,10 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     return written(marked.select(*[docs[name] for name in docs.columns], own), "keyed"), key
 
 
+# What the two stages below join with the rows grows with them and has no bound, so it is never broadcast: the
+# joins are shuffled at every size.
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each component of near copies: the one whose id (see :func:`_keyed`) is the smallest.
 
@@ -91,7 +95,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed, key = _keyed(docs)
     components, _ = partenum.jaccard_components(keyed, id_col=key)
     kept = written(components.filter(F.col("component_id") == F.col(key)).select(key), "kept-documents")
-    return keyed.join(kept, key, "left_semi").select(*docs.columns)
+    return keyed.join(kept.hint("merge"), key, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -99,7 +103,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed, key = _keyed(docs)
     copies = key + "n"
     taken = mixing.mix(keyed, id_col=key).filter("copies > 0").select(key, F.col("copies").cast("int").alias(copies))
-    rows = keyed.join(written(taken, "taken"), key)
+    rows = keyed.join(written(taken, "taken").hint("merge"), key)
     repeated = F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies + "th")
     return rows.select(*docs.columns, repeated).select(*docs.columns)
 
