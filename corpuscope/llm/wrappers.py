@@ -304,6 +304,11 @@ def least_mark(found: list[tuple[int, str, str]]) -> int:
     return 2 if 2 * sum(len(t) for main, _, t in found if main == 2) > marked else int(marked > 0)
 
 
+def _digest(text: str) -> int:
+    """64 bits that stand for a slot path or a text."""
+    return xxhash.xxh3_64_intdigest(text) - 2**63
+
+
 def _slots(tables):
     """Every (slot, text) of a page, whether it is content, and the page's skeleton."""
     for table in tables:
@@ -311,12 +316,11 @@ def _slots(tables):
         for host, page in zip(table.column("host").to_pylist(), table.column("html").to_pylist()):
             found = blocks(parse(page or ""))
             own = skeleton([p for _, p, _ in found])
-            digest = xxhash.xxh3_64_intdigest(repr(found)) - 2**63
             rows["host"].append(host)
             rows["skeleton"].append(own)
-            rows["page"].append(digest)
+            rows["page"].append(_digest(repr(found)))
             rows["slots"].append([p for _, p, _ in found])
-            rows["texts"].append([xxhash.xxh3_64_intdigest(t) - 2**63 for _, _, t in found])
+            rows["texts"].append([_digest(t) for _, _, t in found])
             least = least_mark(found)
             rows["content"].append([main >= least for main, _, _ in found])
         kinds = [("host", pa.string()), ("skeleton", pa.string()), ("page", pa.int64()),
@@ -325,7 +329,10 @@ def _slots(tables):
 
 
 def _named(tables):
-    """Every distinct pair of a page, its slot named as in the reference skeleton of the host, and how many are content."""
+    """Every distinct pair of a page, its slot named as in the reference skeleton of the host, and how many are content.
+
+    From here on slots are digests like the texts: a host's template goes with each of its pages.
+    """
     for table in tables:
         slots, texts, content, sizes = [], [], [], []
         columns = ("reference", "skeleton", "slots", "texts", "content")
@@ -334,12 +341,12 @@ def _named(tables):
             for slot, text, main in zip(*blocks):
                 pair = (names[slot], text)
                 pairs[pair] = main or pairs.get(pair, False)
-            slots.append([s for s, _ in pairs])
+            slots.append([_digest(s) for s, _ in pairs])
             texts.append([t for _, t in pairs])
             content.append(list(pairs.values()))
             sizes.append(sum(pairs.values()))
         yield pa.RecordBatch.from_arrays(
-            [table.column("host"), table.column("page"), pa.array(slots, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.int64())),
+            [table.column("host"), table.column("page"), pa.array(slots, pa.list_(pa.int64())), pa.array(texts, pa.list_(pa.int64())),
              pa.array(content, pa.list_(pa.bool_())), pa.array(sizes, pa.int32())],
             ["host", "page", "slots", "texts", "content", "size"],
         )
@@ -361,7 +368,7 @@ def induce(pages: DataFrame) -> DataFrame:
     reference = shapes.groupBy("host").agg(F.max(F.struct("n", "skeleton"))["skeleton"].alias("reference"))
     reference = written(reference.withColumnRenamed("host", "h"), "references")
     named = slots.dropDuplicates(["host", "page"]).join(reference, F.col("host").eqNullSafe(F.col("h")), "left").drop("h")
-    schema = "host string, page long, slots array<string>, texts array<long>, content array<boolean>, size int"
+    schema = "host string, page long, slots array<long>, texts array<long>, content array<boolean>, size int"
     named = written(named.mapInArrow(_named, schema), "named-slots")
     pairs = named.select("host", "page", "size", F.explode(F.arrays_zip("slots", "texts", "content")).alias("x"))
     pairs = pairs.select("host", "page", "size", F.col("x.slots").alias("slot"), F.col("x.texts").alias("text"), F.col("x.content").alias("content"))
@@ -392,7 +399,7 @@ def induce(pages: DataFrame) -> DataFrame:
     return written(out, "wrappers")
 
 
-def main_text(page: str | None, reference: str, template: set[tuple[str, int]]) -> str:
+def main_text(page: str | None, reference: str, template: set[tuple[int, int]]) -> str:
     """The content blocks of a page, one a line.
 
     Content are the blocks of articles if these hold most of the text in marked main content, else
@@ -404,7 +411,7 @@ def main_text(page: str | None, reference: str, template: set[tuple[str, int]])
     least = least_mark(found)
     names = align(reference or "", skeleton([p for _, p, _ in found]))
     own = [(names[p], t) for main, p, t in found if main >= least]
-    kept = [t for s, t in own if (s, xxhash.xxh3_64_intdigest(t) - 2**63) not in template] if template else []
+    kept = [t for s, t in own if (_digest(s), _digest(t)) not in template] if template else []
     return "\n".join(kept or [t for _, t in own])
 
 
@@ -425,11 +432,10 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", text
 
     def run(tables):
         for table in tables:
-            template = table.column("_template")
-            texts = []
-            for i, (page, reference) in enumerate(zip(table.column(html_col).to_pylist(), table.column("_reference").to_pylist())):
-                found = template[i].as_py() or []
-                texts.append(main_text(page, reference, {(x["slot"], x["text"]) for x in found}))
+            texts, columns = [], (table.column(c) for c in (html_col, "_reference", "_template"))
+            for page, reference, template in zip(*columns):  # row by row, so that a batch is not held as Python's values
+                found = {(x["slot"], x["text"]) for x in template.as_py() or []}
+                texts.append(main_text(page.as_py(), reference.as_py(), found))
             yield pa.RecordBatch.from_arrays(
                 [*(table.column(f.name) for f in kept), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 schema.names,
