@@ -18,6 +18,7 @@ passage in many short texts makes few equal ones. Candidates are verified on who
   one of their rarest shingles, as similar sets must (the prefix filter), and if neither their sizes
   nor the place of that shingle nor the distance of their histograms rules them out. Components are therefore those of all links,
   though copies are never expanded into all pairs.
+- Before texts are read, pairs of large sets are compared by histograms whose bins grow with the set.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from corpuscope.runtime import written
 #: Parts of a partition and how many are left out: for sets of a band up to SMALL, and for larger ones.
 SMALL, SMALL_PARTS, LARGE_PARTS = 220, (6, 2), (3, 1)
 SKETCH = 128
+#: Shingles for each bin of the finer histogram of a set that fills the plain one with more than this.
+FINER = 4
 #: Cells in which shingles of undecided sets are counted, to tell rare from frequent ones.
 CELLS = 1 << 20
 #: Bits of the map by which texts are picked before a join.
@@ -113,7 +116,28 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 def sketch(shingles: np.ndarray) -> bytes:
     """A histogram whose distance is at most that of the sets: shingles by hash, 255 at most each."""
-    return np.minimum(np.bincount((shingles % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    return _histogram(shingles, SKETCH)
+
+
+def finer(shingles: np.ndarray) -> bytes | None:
+    """A histogram with a bin for every two to ``FINER`` shingles, their number a power of two; none if that is the plain one.
+
+    In a fixed number of bins the differences of large sets cancel out; these grow with the set, to a few per cent of its text.
+    """
+    bins = 1 << max(0, -(-len(shingles) // FINER) - 1).bit_length()
+    return _histogram(shingles, bins) if bins > SKETCH else None
+
+
+def _histogram(shingles: np.ndarray, bins: int) -> bytes:
+    return np.minimum(np.bincount((shingles % np.uint64(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
+
+
+def histogram_distance(x: bytes, y: bytes) -> int:
+    """Of two histograms, the one with more bins folded to those of the other; at most the distance of the sets."""
+    x, y = (np.frombuffer(own, np.uint8) for own in (x, y))
+    bins = min(len(x), len(y))
+    x, y = (own.reshape(-1, bins).sum(0, dtype=np.int64) for own in (x, y))
+    return int(np.abs(x - y).sum())
 
 
 def _digests(words: int):
@@ -126,8 +150,9 @@ def _digests(words: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) for s in sets], pa.binary()),
                     pa.array([sketch(s) for s in sets], pa.binary()),
+                    pa.array([finer(s) for s in sets], pa.binary()),
                 ],
-                ["id", "n", "digest", "sketch"],
+                ["id", "n", "digest", "sketch", "finer"],
             )
 
     return run
@@ -385,15 +410,38 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(close, "a long, b long, size long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _near_in_detail(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b, size)`` that the finer histograms of large sets do not rule out either.
+
+    A pair with a set that has none stays; where an id has several sets, any two of them may keep the pair.
+    """
+    own = sets.select("id", "n", "finer")
+    # Merged at every size, as the histograms grow with the texts; the shorter rows meet a leader's first.
+    rows = pairs.join(own.toDF("a", "n_a", "finer_a").hint("merge"), "a").join(own.toDF("b", "n_b", "finer_b").hint("merge"), "b")
+
+    def close(tables):
+        for table in tables:
+            columns = [table.column(c).to_pylist() for c in ("n_a", "n_b", "finer_a", "finer_b")]
+            ok = [
+                x is None or y is None or histogram_distance(x, y) * (100 + percent) <= (100 - percent) * (n + m)
+                for n, m, x, y in zip(*columns)
+            ]
+            yield table.select(["a", "b", "size"]).filter(pa.array(ok, pa.bool_()))
+
+    return rows.mapInArrow(close, "a long, b long, size long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b, size)`` whose sets are similar enough, read from whole texts.
 
-    A leader's partners are dealt over parts of some dozens, each with a copy of the leader, and a
+    ``sets`` has the histograms by which pairs are ruled out before that. A leader's partners are dealt over parts of some dozens, each with a copy of the leader, and a
     task reads one set at a time.
     """
     spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / _STAR_PART)).cast("long")
-    pairs = written(pairs.groupBy("a", "b").agg(F.max("size").alias("size")).withColumn("part", part), "pairs")
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("size").alias("size")), "pairs")
+    pairs = _near_in_detail(pairs, sets, percent).groupBy("a", "b").agg(F.max("size").alias("size"))
+    pairs = written(pairs.withColumn("part", part), "near-pairs")
     wanted = pairs.select("a", "part", F.col("a").alias("id"), F.lit(0).alias("role")).distinct()
     wanted = wanted.union(pairs.select("a", "part", F.col("b").alias("id"), F.lit(1).alias("role")))
     wanted = written(wanted, "compared")
@@ -479,7 +527,7 @@ def _left_over(groups: DataFrame, members: DataFrame, found: DataFrame, texts: D
     picked = rows.select("shingle", "lo", "hi", "class", "place", "n", "component", "sketch", "block")
     picked = picked.repartition(spread, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi", "class")
     pairs = picked.mapInPandas(lambda tables: _by_key(tables, percent), "a long, b long").distinct()
-    return pairs.withColumn("size", F.lit(_STAR_PART))
+    return pairs.withColumn("size", F.lit(_STAR_PART).cast("long"))
 
 
 def _by_key(tables, percent: int):
@@ -545,7 +593,8 @@ def jaccard_components(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = _BUCKETS_EACH * tasks
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = written(texts.mapInArrow(_digests(words), "id long, n long, digest binary, sketch binary"), "sets")
+    rows = written(texts.mapInArrow(_digests(words), "id long, n long, digest binary, sketch binary, finer binary"), "sets")
+    finer_of = written(rows.filter("id IS NOT NULL").select("id", "n", "finer").distinct(), "finer")
     with_set = rows.filter("n > 0 AND id IS NOT NULL")
     classes = written(with_set.groupBy("digest").agg(F.min("id").alias("class")), "classes")
     members = written(with_set.join(classes, "digest").select("id", "n", "sketch", "class"), "members")
@@ -564,11 +613,11 @@ def jaccard_components(
     pairs = pairs.join(class_of.toDF("a", "class_a"), "a").join(class_of.toDF("b", "class_b"), "b")
     pairs = pairs.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "size")
     one_each = written(members.filter("id = class").dropDuplicates(["class"]), "one-each")
-    links = written(verified(_near(pairs.filter("a < b"), one_each, percent), known, words, percent), "links")
+    links = written(verified(_near(pairs.filter("a < b"), one_each, percent), known, finer_of, words, percent), "links")
 
     groups = shared.filter("kind = 1")
     more = _left_over(groups, one_each, components(links), known, words, percent)
-    links = written(links.union(verified(more, known, words, percent)), "all-links")
+    links = written(links.union(verified(more, known, finer_of, words, percent)), "all-links")
     # One id with several texts ties their sets together.
     tied = members.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a < b").select("a", "b")
     found = components(links.union(tied)).withColumnRenamed("node", "class")

@@ -115,6 +115,39 @@ def test_sketch_distance_is_a_lower_bound(texts):
             assert np.abs(bins[i] - bins[j]).sum() <= len(sets[i]) + len(sets[j]) - 2 * both
 
 
+def sharing(r: np.random.Generator, n: int, both: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two sets of ``n`` that have ``both`` in common."""
+    drawn = np.unique(r.integers(0, 2**63, 2 * n - both).astype(np.uint64))
+    r.shuffle(drawn)
+    return np.sort(drawn[:n]), np.sort(drawn[n - both :])
+
+
+def test_finer_histograms_are_a_lower_bound_that_large_sets_reach():
+    r = np.random.default_rng(4)
+    assert partenum.finer(sharing(r, 512, 0)[0]) is None and len(partenum.finer(sharing(r, 513, 0)[0])) == 256
+    sets = [s for n in (600, 2_000, 9_000, 40_000) for b in (0, n // 2, n - 5) for s in sharing(r, n, b)]
+    sets.append(np.arange(1_000, dtype=np.uint64) << np.uint64(20))  # all in one bin
+    for i, x in enumerate(sets):
+        for y in sets[:i]:
+            far = len(x) + len(y) - 2 * len(np.intersect1d(x, y))
+            assert partenum.histogram_distance(partenum.finer(x), partenum.finer(y)) <= far
+    x, y = sharing(r, 20_000, 12_000)  # a similarity of 0.43
+    ruled_out = [partenum.histogram_distance(f(x), f(y)) * 180 > 20 * 40_000 for f in (partenum.sketch, partenum.finer)]
+    assert ruled_out == [False, True]
+
+
+def test_pairs_of_large_sets_are_ruled_out_before_texts_are_read(spark):
+    r = np.random.default_rng(6)
+    (a, b), c, (d, _) = sharing(r, 3_000, 2_900), sharing(r, 3_000, 0)[0], sharing(r, 40, 0)
+    sets = [(1, a), (2, b), (3, c), (4, d), (5, c), (5, a)]  # 5 has two sets
+    schema = "id long, n long, finer binary"
+    sets = spark.createDataFrame([(i, len(s), partenum.finer(s)) for i, s in sets], schema)
+    pairs = spark.createDataFrame([(1, 2, 9), (1, 3, 9), (1, 4, 9), (1, 5, 9), (3, 5, 9), (2, 3, 9)], "a long, b long, size long")
+    kept = partenum._near_in_detail(pairs, sets, 80)
+    assert sorted(map(tuple, kept.distinct().collect())) == [(1, 2, 9), (1, 4, 9), (1, 5, 9), (3, 5, 9)]
+    assert partenum._near_in_detail(pairs.limit(0), sets, 80).count() == 0
+
+
 def test_nulls_repeats_and_clashing_names(spark):
     schema = "doc_id long, text string, id string, n string, digest string, component_id string"
     long = " ".join(map(str, range(30_000)))
