@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -20,12 +21,15 @@ from corpuscope.schema import SPEECH_ID, columns_with_prefix, require_columns
 # Centroids per pass of the assignment; a task holds no more of them at once.
 _CHUNK = 1_024
 
-# K-Means starts that run at the same time.
+# K-Means starts whose first centroids are chosen at the same time.
 _PARALLEL_STARTS = 10
 
+# MLlib's tolerance: a start ends when no centroid moves further.
+_TOLERANCE = 1e-4
 
-def _inertia(model) -> float:
-    return model.summary.trainingCost
+
+# Partial sums that one task of the tree merges, and at most so many that the driver does.
+_FAN_IN = 64
 
 
 @dataclass(frozen=True)
@@ -47,6 +51,8 @@ def cluster_topics(
 ) -> Clusters:
     """K-Means on an array column: the best of ``n_init`` starts by inertia.
 
+    MLlib chooses the first centroids of each start; all starts then share the passes over the vectors.
+
     A start ends when no centroid moves further than MLlib's tolerance of 1e-4, at the latest after
     ``max_iter`` iterations. Fewer than ``k`` ids come back if some cluster is left empty, as when
     there are fewer than ``k`` different vectors. Clusters are numbered by size, largest first, then by centroid, so the same partition always
@@ -55,22 +61,26 @@ def cluster_topics(
     require_columns(df, [column])
     vectors = df.select(array_to_vector(F.col(column)).alias("features"))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    packed = _packed(df, column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         vectors.count()
 
-        def fit(start: int):
-            return KMeans(k=k, seed=seed + start, maxIter=max_iter).fit(vectors)
+        def first(start: int) -> np.ndarray:
+            model = KMeans(k=k, seed=seed + start, maxIter=0).fit(vectors)
+            return np.array([center for center in model.clusterCenters()], dtype=np.float64)
 
-        # The starts are independent jobs over the same kept vectors; run together they fill the
-        # cluster while each of them waits for its next iteration.
+        # The starts are independent jobs over the same kept vectors; run together they fill the cluster.
         with ThreadPool(min(n_init, _PARALLEL_STARTS)) as pool:
-            target = inheritable_thread_target(df.sparkSession)(fit)
-            best = min(pool.map(target, range(n_init)), key=_inertia)
-        sizes = best.summary.clusterSizes
-        centroids = [[float(x) for x in center] for center in best.clusterCenters()]
-        cost = float(best.summary.trainingCost)
+            target = inheritable_thread_target(df.sparkSession)(first)
+            starts = pool.map(target, range(n_init))
+        starts = _iterated(packed, starts, max_iter)
+        results = _sums(packed, starts)
+        best = min(range(n_init), key=lambda start: results[start][2])
+        _, sizes, cost = results[best]
+        centroids = [[float(x) for x in center] for center in starts[best]]
     finally:
         vectors.unpersist()
+        packed.unpersist()
 
     filled = [i for i in range(len(centroids)) if sizes[i] > 0]
     order = sorted(filled, key=lambda i: (-sizes[i], [round(x, 9) for x in centroids[i]]))
@@ -78,6 +88,92 @@ def cluster_topics(
     return Clusters(assign_clusters(df, centroids, column), centroids, cost)
 
 
+def _packed(df: DataFrame, column: str) -> DataFrame:
+    """The vectors as blocks of doubles, ``(n, x)``."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column(0).flatten().to_numpy(zero_copy_only=False).tobytes()
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64()), "x": pa.array([block], pa.binary())})
+
+    return df.select(F.col(column).cast("array<double>")).mapInArrow(pack, "n long, x binary")
+
+
+def _sums(packed: DataFrame, starts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For each start the sums and numbers of the vectors next to its centroids, and the inertia, from one pass."""
+    shapes = [centers.shape for centers in starts]
+    most = 4_096
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((k, d + 2)) for k, d in shapes]
+        part = -1
+        for batch in batches:
+            part = batch.column("part")[0].as_py()
+            for n, x in zip(batch.column("n").to_pylist(), batch.column("x")):
+                block = np.frombuffer(x.as_buffer(), dtype=np.float64).reshape(n, -1)
+                for at in range(0, n, most):
+                    points = block[at : at + most]
+                    rows = np.arange(len(points))
+                    squares = np.square(points).sum(axis=1)
+                    for centers, total in zip(starts, sums):
+                        lengths = np.square(centers).sum(axis=1)
+                        distance = points @ (-2.0 * centers.T) + lengths
+                        nearest = distance.argmin(axis=1)
+                        least = distance[rows, nearest]
+                        distance[rows, nearest] = np.inf
+                        # The products round; what they leave in doubt is decided by the differences.
+                        close = np.flatnonzero(~(distance.min(axis=1) - least > 1e-12 * (squares + lengths.max())))
+                        for row in close:
+                            nearest[row] = np.square(points[row] - centers).sum(axis=1).argmin()
+                        # A sum for each centroid, each vector in turn.
+                        order = np.argsort(nearest, kind="stable")
+                        first = np.flatnonzero(np.diff(nearest[order], prepend=-1))
+                        found = nearest[order][first]
+                        gap = np.square(points - centers[nearest]).sum(axis=1)
+                        columns = np.column_stack([points, np.ones(len(points)), gap])[order]
+                        total[found] += np.add.reduceat(columns, first)
+        numbers = np.concatenate([total.ravel() for total in sums]).tobytes()
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "sums": pa.array([numbers], pa.binary())})
+
+    def merged(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(numbers) for numbers in frame["sums"]], axis=0)
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "sums": [total.tobytes()]})
+
+    parts = packed.select(F.spark_partition_id().cast("long").alias("part"), "n", "x")
+    partial = parts.mapInArrow(summed, "part long, sums binary").filter("part >= 0")
+    left = packed.rdd.getNumPartitions()
+    while left > _FAN_IN:
+        up = F.floor(F.col("part") / _FAN_IN).alias("part")
+        partial = partial.select(up, "sums").groupBy("part").applyInPandas(merged, "part long, sums binary")
+        left = -(-left // _FAN_IN)
+    rows = sorted(partial.collect(), key=lambda row: row["part"])
+    total = np.sum([np.frombuffer(row["sums"]) for row in rows], axis=0)
+    cuts = np.cumsum([k * (d + 2) for k, d in shapes])[:-1]
+    tables = [table.reshape(k, d + 2) for table, (k, d) in zip(np.split(total, cuts), shapes)]
+    return [(table[:, :-2], table[:, -2].astype(np.int64), float(table[:, -1].sum())) for table in tables]
+
+
+def _iterated(packed: DataFrame, starts: list[np.ndarray], max_iter: int) -> list[np.ndarray]:
+    """Lloyd's iterations of all starts together: each pass moves the centroids of every start that still does.
+
+    An empty cluster keeps its centroid; a start ends as MLlib's does.
+    """
+    starts, moving = list(starts), list(range(len(starts)))
+    for _ in range(max_iter):
+        if not moving:
+            break
+        still = []
+        for start, (sums, sizes, _) in zip(moving, _sums(packed, [starts[start] for start in moving])):
+            filled = sizes > 0
+            centers = starts[start].copy()
+            centers[filled] = sums[filled] / sizes[filled, None]
+            if (np.square(centers - starts[start]).sum(axis=1) > _TOLERANCE**2).any():
+                still.append(start)
+            starts[start] = centers
+        moving = still
+    return starts
+
+
 def assign_clusters(
     df: DataFrame,
     centroids: Sequence[Sequence[float]],

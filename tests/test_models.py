@@ -8,6 +8,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from corpuscope.operators import clusters, index as ix, numbering, sampling, similarity, topics
@@ -195,3 +197,45 @@ def test_triangles_keep_small_singular_values(spark, partitions):
     assert np.abs(basis.T @ basis - np.eye(4)).max() < 1e-5
     empty = topics._spectrum(topics._triangle(table.limit(0), names))
     assert len(empty[0]) == 0
+
+
+def test_weights_stay_in_their_parts(clean, monkeypatch):
+    """Products come from many small parts, and no pass shuffles the weights again."""
+    monkeypatch.setattr(topics, "MATRIX_ROWS", 50)
+    wanted, terms = dense(min_df=5)
+    matrix = topics.term_matrix(ix.term_counts(clean, "speech_id"), min_df=5)
+    try:
+        assert matrix.rows.rdd.getNumPartitions() > 8
+        block = matrix.terms.select("t", F.length("term").cast("double").alias("q0"), F.col("df").cast("double").alias("q1"))
+        numbers = {r["term"]: (r["t"], len(r["term"]), r["df"]) for r in matrix.terms.collect()}
+        dense_block = np.array([numbers[term][1:] for term in terms], dtype=float)
+        images = {r["speech_id"]: [r["q0"], r["q1"]] for r in matrix.by_speech(block, ["q0", "q1"]).collect()}
+        assert np.array([images[i] for i in range(60)]) == pytest.approx(wanted @ dense_block)
+        product = matrix.back_and_forth(block, ["q0", "q1"])
+        back = {r["t"]: [r["q0"], r["q1"]] for r in product.collect()}
+        assert np.array([back[numbers[term][0]] for term in terms]) == pytest.approx(wanted.T @ wanted @ dense_block)
+        plan = product._jdf.queryExecution().executedPlan().toString()
+        cached = [line for line in plan.split("InMemoryRelation")[0].splitlines() if "Exchange" in line and "entries" in line]
+        assert not cached
+    finally:
+        matrix.release()
+
+
+def test_kmeans_starts_share_their_passes(spark, monkeypatch):
+    """The passes over the vectors do not multiply with the starts, and the result is that of MLlib's own iterations."""
+    df = spark.createDataFrame(
+        [(i, [float(x) for x in row]) for i, row in enumerate(np.random.default_rng(5).normal(size=(400, 4)))],
+        "speech_id long, topics array<double>",
+    ).repartition(3)
+    kept = df.select(array_to_vector("topics").alias("features")).cache()
+    models = [KMeans(k=12, seed=42 + start, maxIter=300).fit(kept) for start in range(6)]
+    best = min(models, key=lambda model: model.summary.trainingCost)
+    passes = []
+    sums = clusters._sums
+    monkeypatch.setattr(clusters, "_sums", lambda packed, starts: passes.append(len(starts)) or sums(packed, starts))
+    grouped = clusters.cluster_topics(df, k=12, n_init=6)
+    assert grouped.cost == pytest.approx(best.summary.trainingCost, rel=1e-9)
+    wanted = sorted(tuple(np.round(center, 6)) for center in best.clusterCenters())
+    found = sorted(tuple(np.round(center, 6)) for center in grouped.centroids)
+    assert np.array(found) == pytest.approx(np.array(wanted), abs=2e-6)
+    assert len(passes) <= max(model.summary.numIter for model in models) + 1 and passes[0] == 6
