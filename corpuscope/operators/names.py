@@ -29,6 +29,7 @@ ANY = "*any*"
 
 # Accents that the comparison passes over; other marks may count as letters.
 _MARKS = frozenset(map(chr, (*range(0x300, 0x305), *range(0x306, 0x30D), 0x313, 0x314, 0x327, 0x328, 0x342)))
+_LETTER = r"[ -~α-ω]"
 _KNOWN = r"[^ -~α-ω]+"
 
 
@@ -57,11 +58,21 @@ def _stretches(text: Column) -> Column:
 
 
 def _runs(part: Column, letters: int) -> Column:
-    """All runs of so many letters of a part; a shorter part is one itself."""
+    """All runs of so many letters of a part of a needle; a shorter part is one itself."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(part) - (letters - 1), F.lit(1)))
     return F.transform(starts, lambda at: F.substring(part, at, letters))
 
 
+def _all_runs(text: Column) -> Column:
+    """The different runs of one to three known letters of a whole text.
+
+    Each length takes one walk through the text; cutting them out by position would walk to each position anew.
+    """
+    plain = plain_letters(text)
+    runs = [F.regexp_extract_all(plain, F.lit(f"(?=({_LETTER}{{{n}}}))"), F.lit(1)) for n in range(1, GRAM + 1)]
+    return F.array_distinct(F.concat(*[F.array_distinct(run) for run in runs]))
+
+
 @dataclass(frozen=True)
 class Names:
     """``names(name_id, name)``, ``postings(gram, shard, name_id)``; ``buckets`` for a stored index."""
@@ -75,8 +86,7 @@ def build_names(rows: DataFrame, name: str, name_id: str) -> Names:
     """The index of a column of names; null names are found by nothing. Written tables."""
     require_columns(rows, [name, name_id])
     names = written(rows.select(F.col(name_id).alias("name_id"), F.col(name).alias("name")).filter("name IS NOT NULL"), "names")
-    parts = _stretches(F.col("name"))
-    grams = F.array_distinct(F.flatten(F.transform(parts, lambda part: F.concat(*[_runs(part, n) for n in range(1, GRAM + 1)]))))
+    grams = _all_runs(F.col("name"))
     odd = plain_letters(F.col("name")).rlike(_KNOWN)
     marked = F.concat(grams, F.array(F.lit(ANY)), F.when(odd, F.array(F.lit(ODD))).otherwise(F.array().cast("array<string>")))
     shard = F.pmod(F.xxhash64("name_id"), F.lit(SHARDS)).cast("int").alias("shard")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pytest
@@ -62,3 +63,14 @@ def test_lookups_read_their_buckets(spark, monkeypatch):
     monkeypatch.setattr(nm, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or original(df, name))
     nm.find_names(load_names(spark, path), spark.createDataFrame([(1, "n42")], "needle_id long, needle string"))
     assert "dynamicpruning" in plans[-1] and "In(gram, [" in plans[-1]
+
+
+def test_long_texts_are_indexed_in_one_walk(spark):
+    """Cutting runs out by position took time with the square of the length: minutes for this text."""
+    text = "".join(chr(97 + (i * i) % 23) for i in range(400_000)) + " Ωμέγα ж ab"
+    index = nm.build_names(spark.createDataFrame([(1, text)], "id long, name string"), "name", "id")
+    grams = {row["gram"] for row in index.postings.collect()}
+    plain = text.lower().replace("έ", "ε")
+    known = [part for part in re.split("[^ -~α-ω]+", plain) if part]
+    wanted = {part[at : at + n] for part in known for n in (1, 2, 3) for at in range(len(part) - n + 1)}
+    assert grams == wanted | {nm.ANY, nm.ODD}
