@@ -48,7 +48,10 @@ def build_blocks(index: Index, rows: int = BLOCK_ROWS) -> Blocks:
     """
     falling = Window.partitionBy("term", "shard").orderBy(F.col("weight").desc(), SPEECH_ID)
     block = F.floor((F.row_number().over(falling) - 1) / rows).cast("int")
-    placed = index.weights.select("term", "shard", SPEECH_ID, "weight").withColumn("block", block)
+    # Both layouts read the weights, which an index that is not stored would make anew for each.
+    weights = index.weights.select("term", "shard", SPEECH_ID, "weight")
+    weights = weights if index.buckets is not None else written(weights, "block-weights")
+    placed = weights.withColumn("block", block)
     postings = placed.groupBy(*_BLOCK).agg(
         F.count(F.lit(1)).alias("n"),
         F.max("weight").alias("top"),
@@ -56,7 +59,7 @@ def build_blocks(index: Index, rows: int = BLOCK_ROWS) -> Blocks:
     )
     postings = written(postings, "blocks")
     entry = F.collect_list(F.struct("term", "weight"))
-    vectors = index.weights.groupBy(SPEECH_ID).agg(F.map_from_entries(entry).alias("weights"))
+    vectors = weights.groupBy(SPEECH_ID).agg(F.map_from_entries(entry).alias("weights"))
     heads = written(postings.select(*_BLOCK, "n", "top"), "block-heads")
     return Blocks(heads, postings.select(*_BLOCK, "posting"), written(vectors, "speech-vectors"))
 
