@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +134,17 @@ def test_trend(spark, request, which):
     rest = {r["word_id"]: (r["token"], r["found"], r["year"]) for r in series if r["word_id"] in (2, 3)}
     assert rest == {2: ("zz", False, None), 3: (None, False, None)}
     assert {r["token"] for r in series if r["word_id"] == 4} == {"reform"}
+
+
+def test_search_weighs_only_its_postings(spark):
+    """Scores from counts and norms are those of the whole weight table, also for ids that come twice, without its sort by speech."""
+    rows = [(i % 7, f"alpha beta{i % 3} gamma{i} " + "alpha " * i) for i in range(10)]
+    index = ix.build_index(spark.createDataFrame(rows, "speech_id long, clean_text string"))
+    asked = spark.createDataFrame([(1, "alpha gamma8"), (2, "beta1 beta1 gamma3")], "query_id long, clean_text string")
+    weights = sr.query_weights(index, asked)
+    scored = sr.score_queries(index, weights)
+    whole = sr.score_queries(dataclasses.replace(index, counts=None, norms=None), weights)
+    found = {(r["query_id"], r["speech_id"]): r["score"] for r in scored.collect()}
+    assert found == pytest.approx({(r["query_id"], r["speech_id"]): r["score"] for r in whole.collect()})
+    assert "Window" in whole._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in scored._jdf.queryExecution().executedPlan().toString()
