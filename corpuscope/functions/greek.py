@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from corpuscope.functions.text import let
+
 ACCENTED, PLAIN = "ΆΈΉΊΌΎΏΪΫ", "ΑΕΗΙΟΥΩΙΥ"
 COMBINING = "̀́̈͂"
 
@@ -54,14 +56,47 @@ PATTERN = "|".join(f"^({rest})(?:{'|'.join(endings.split())})$" for rest, ending
 GROUPS = len(_RULES)
 
 
+def _branches(endings: Sequence[str]) -> str:
+    """The endings as one expression that writes what they begin with alike only once."""
+    tails: dict[str, list[str]] = {}
+    for ending in endings:
+        tails.setdefault(ending[:1], []).append(ending[1:])
+    parts = [head + (_branches(rest) if any(rest) else "") for head, rest in tails.items()]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def _by_last_letter() -> list[tuple[str, str, str]]:
+    """``(letter, pattern, replacement)``: what is left of PATTERN for words that end in a letter.
+
+    All other endings fail on such a word, after a try at each of its letters.
+    """
+    rules = [(rest, endings.split()) for rest, endings in _RULES]
+    found = []
+    for letter in sorted({ending[-1] for _, endings in rules for ending in endings}):
+        own = [(rest, [ending for ending in endings if ending[-1] == letter]) for rest, endings in rules]
+        parts = [f"^({rest}){_branches(endings)}$" for rest, endings in own if endings]
+        found.append((letter, "|".join(parts), "".join(f"${i}" for i in range(1, len(parts) + 1))))
+    return found
+
+
+_LETTERS = "^[Α-Ω]+$"
+_MARKED = f"^[Α-Ω{ACCENTED}{COMBINING}]+$"
+
+
 def greek_stem(word: Column, keep: Sequence[str] = UNINFLECTED) -> Column:
     """The stem of an upper-cased word, without accents; words in other scripts stay as they are.
 
     First words without endings are set aside (``keep``, upper-cased and without accents), then the first rule that fits
     removes one ending and leaves the letters it asks for.
     """
+
+    def stemmed(plain: Column) -> Column:
+        stem = plain
+        for letter, pattern, rest in _by_last_letter():
+            stem = F.when(plain.endswith(letter), F.regexp_replace(plain, pattern, rest)).otherwise(stem)
+        return F.when(plain.isin(list(keep)), plain).otherwise(stem) if keep else stem
+
+    # Most words have no accent to take away.
     plain = F.translate(word, ACCENTED + COMBINING, PLAIN)
-    stem = F.regexp_replace(plain, PATTERN, "".join(f"${i}" for i in range(1, GROUPS + 1)))
-    if keep:
-        stem = F.when(plain.isin(list(keep)), plain).otherwise(stem)
-    return F.when(plain.rlike("^[Α-Ω]+$"), stem).otherwise(word)
+    marked = let(plain, lambda plain: F.when(plain.rlike(_LETTERS), stemmed(plain)).otherwise(word))
+    return F.when(word.rlike(_LETTERS), stemmed(word)).when(word.rlike(_MARKED), marked).otherwise(word)

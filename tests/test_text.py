@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from corpuscope.functions import dates, text
+from corpuscope.functions import dates, greek, text
 from corpuscope.functions.greek import greek_stem
 from corpuscope.functions.sentiment import Lexicon, sentiment
 
@@ -180,3 +180,16 @@ def test_forms_of_a_word_share_a_stem(spark, forms):
 
 def test_words_that_are_not_inflected_can_be_kept(spark):
     assert value(spark, greek_stem(F.upper(F.lit("από")), keep=["ΑΠΟ"])) == "ΑΠΟ"
+
+
+def test_the_stem_by_last_letter_is_that_of_the_whole_pattern(spark):
+    """One regular expression for the endings of a word's last letter, and each step of a word written once."""
+    rests = ["", "Κ", "ΚΡ", "ΓΡΑΜ", "ΠΟΛ", "ΛΕΞ", "ΑΠΟΦΑΣ", "ΒΑ", "ΜΑ"]
+    endings = [ending for _, listed in greek._RULES for ending in listed.split()] + ["", "Τ", "ΟΥΤ"]
+    words = [(rest + ending,) for rest in rests for ending in endings] + [("CAT",), ("ΚΑΤA",), (None,)]
+    groups = "".join(f"${i}" for i in range(1, greek.GROUPS + 1))
+    whole = F.when(F.col("w").rlike("^[Α-Ω]+$"), F.regexp_replace("w", greek.PATTERN, groups)).otherwise(F.col("w"))
+    stems = spark.createDataFrame(words, "w string").select("w", greek.greek_stem(F.col("w"), ()).alias("stem"), whole.alias("whole"))
+    assert stems.filter("NOT (stem <=> whole)").collect() == []
+    assert stems.filter("stem <> w").count() > 300
+    assert str(greek.greek_stem(F.col("w"))._jc).count("translate") == 1
