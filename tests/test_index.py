@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpuscope.operators import index as ix, keywords
+from corpuscope.operators import index as ix, keywords, trend
 from corpuscope.operators.cleaning import (
     apply_stems,
     build_stopwords,
@@ -147,3 +148,13 @@ def test_stems_by_vocabulary(spark):
     stops = spark.createDataFrame([("cat",)], ["stem"])
     left = remove_stopwords_join(tokens, stops).collect()
     assert sorted(r["term"] for r in left) == ["bad", "cats"]
+
+
+def test_a_trend_weighs_the_postings_of_its_words_only(spark, clean):
+    """No weight of another word is made for the sums by year, and the sums are those of all weights."""
+    built = ix.build_index(clean)
+    words = spark.createDataFrame([(1, "aa"), (2, "bb"), (3, "unseen"), (4, "gg")], "word_id long, word string")
+    wanted = {(r.term, r.year): r.score for r in built.yearly.collect() if r.term in ("aa", "bb", "gg")}
+    series = trend.term_trend(replace(built, weights=None, yearly=None), words).collect()
+    found = {(r.token, r.year): r.score for r in series if r.score}
+    assert found == pytest.approx(wanted) and ("aa", 2000) in found
