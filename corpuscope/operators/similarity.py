@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpuscope.operators.index import tfidf
-from corpuscope.runtime import written
+from corpuscope.runtime import top_per_group, written
 
 # Postings of one term are compared block by block of about this many entities.
 BLOCK_ROWS = 512
@@ -62,7 +62,8 @@ def _term_pairs(postings: DataFrame, entities: int) -> DataFrame:
 def _sums(joined: DataFrame) -> DataFrame:
     return joined.groupBy(F.col("a.entity").alias("a"), F.col("b.entity").alias("b")).agg(
         F.sum(F.col("a.weight") * F.col("b.weight")).alias("partial"),
-        F.max(F.greatest("a.rest", "b.rest")).alias("rest"),
+        # Of the entity whose tail starts lower, see _pairs_above.
+        F.max(F.when(F.col("a.cut") <= F.col("b.cut"), F.col("a.rest")).otherwise(F.col("b.rest"))).alias("rest"),
         F.max(F.least("a.cut", "b.cut")).alias("cut"),
     )
 
@@ -106,7 +107,25 @@ def _complete(candidates: DataFrame, weights: DataFrame) -> DataFrame:
 
 def _banded(weights: DataFrame, key: str) -> DataFrame:
     band = F.floor(F.log2("df")).cast("int")
-    return weights.select(F.col(key).alias("entity"), "term", "df", "weight", band.alias("band"))
+    # Equal counts tell equal vectors; weights may differ in the last place.
+    mark = F.col("tf" if "tf" in weights.columns else "weight")
+    entity = F.col(key).alias("entity")
+    return weights.select(entity, "term", "df", "weight", band.alias("band"), F.xxhash64("term", mark).alias("mark"))
+
+
+def _first_of_copies(weights: DataFrame, limit: int) -> tuple[DataFrame, int]:
+    """The entities that can be in the ``limit`` best pairs, and how many of them have a smaller copy.
+
+    Entities with equal vectors are equally similar to any other. A pair with the n-th of them by name comes after
+    those with the n - 1 before it, so the first ``limit + 1`` are enough.
+    """
+    again = F.xxhash64("mark", F.lit(1)).cast("decimal(38,0)")
+    prints = weights.groupBy("entity").agg(
+        F.struct(F.count(F.lit(1)), F.sum(F.col("mark").cast("decimal(38,0)")), F.sum(again)).alias("print")
+    )
+    first = top_per_group(prints, "print", [F.col("entity")], limit + 1, "place", slice_by="entity")
+    first = written(first.select("entity", "place"), "first-of-copies")
+    return first.select("entity"), first.filter("place > 1").count()
 
 
 def _pairs_above(weights: DataFrame, min_sim: float, entities: int) -> DataFrame:
@@ -114,26 +133,37 @@ def _pairs_above(weights: DataFrame, min_sim: float, entities: int) -> DataFrame
 
     Order the terms by band. Let S be the light tail of the entity whose tail starts lower. A
     shared term outside S lies below both tails, so it is in the partial sum of the pair; the
-    terms of S add at most the norm of S. Pairs that cannot pass even so are dropped, and the
-    exact rest is added to the others.
+    terms of S add at most the norm of S times what the other entity has left: its norm outside S is the partial sum, over the
+    norm that the first has there, at least. Pairs that cannot pass even so are dropped, and the exact rest is added to the others.
     """
     tails = _light_tails(weights, min_sim)
     below = weights.join(tails, "entity").filter(F.col("band") < F.col("cut"))
-    below = below.select("entity", "term", "df", "weight", "rest", "cut")
-    partial = _term_pairs(below, entities)
-    candidates = partial.filter(F.col("partial") + F.col("rest") > min_sim - _SLACK)
+    below = written(below.select("entity", "term", "weight", "rest", "cut"), "below-tails")
+    # Blocks follow from the entities that are left to a term, not from all that have it.
+    held = below.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    partial = _term_pairs(below.join(held, "term"), entities)
+    outside = F.greatest(1.0 - F.col("rest") * F.col("rest"), F.lit(1e-300))
+    left = F.sqrt(F.greatest(1.0 - F.col("partial") * F.col("partial") / outside, F.lit(0.0)))
+    candidates = partial.filter(F.col("partial") + F.col("rest") * left > min_sim - _SLACK)
     return _complete(candidates, weights).filter(F.col("similarity") > min_sim)
 
 
-def _seed_threshold(weights: DataFrame, min_sim: float, limit: int, entities: int) -> float:
+def _seed_threshold(weights: DataFrame, min_sim: float, limit: int) -> float:
     """A similarity that at least ``limit`` pairs reach, found among pairs that share rare terms.
 
     Any such value is a valid lower bound for the pairs in the answer, so it only saves work.
     """
     rare = weights.filter((F.col("df") > 1) & (F.col("df") <= SEED_DF))
+    # Each entity of a rare term meets the next one only, so there are no more pairs than postings.
+    following = Window.partitionBy("term").orderBy("entity")
+    met = rare.select(
+        F.col("entity").alias("a"),
+        F.lead("entity").over(following).alias("b"),
+        (F.col("weight") * F.lead("weight").over(following)).alias("product"),
+    )
+    seeds = met.filter("b IS NOT NULL").groupBy("a", "b").agg(F.sum("product").alias("partial"))
     # Without tails the whole vector has to be completed from band 0 up.
-    rare = rare.withColumn("rest", F.lit(1.0)).withColumn("cut", F.lit(0))
-    seeds = _term_pairs(rare, entities)
+    seeds = seeds.withColumn("rest", F.lit(1.0)).withColumn("cut", F.lit(0))
     seeds = seeds.orderBy(F.desc("partial"), "a", "b").limit(4 * limit)
     exact = _complete(seeds.withColumn("partial", F.lit(0.0)), weights)
     best = exact.orderBy(F.desc("similarity")).limit(limit)
@@ -157,7 +187,10 @@ def pair_similarities(
         return _pairs_above(banded, min_sim, entities)
     threshold = min_sim
     if entities > FEW_ENTITIES:
-        threshold = _seed_threshold(banded, min_sim, limit, entities)
+        first, copies = _first_of_copies(banded, limit)
+        banded = banded.join(first, "entity", "left_semi")
+        # So many pairs of equal vectors have a similarity of 1.
+        threshold = max(min_sim, 1.0 - _SLACK) if copies >= limit else _seed_threshold(banded, min_sim, limit)
     pairs = _pairs_above(banded, threshold, entities)
     return pairs.orderBy(F.round("similarity", 9).desc(), "a", "b").limit(limit)
 

@@ -58,6 +58,22 @@ def test_similar_pairs(clean, monkeypatch, min_sim, limit, small):
     assert [p[2] for p in found] == pytest.approx([p[2] for p in wanted[:limit]])
 
 
+@pytest.mark.parametrize("copies", [2, 40])
+def test_pairs_of_copies_are_not_all_made(spark, monkeypatch, copies):
+    """Of many equal texts only those are compared that can be among the best pairs, and these come in order."""
+    monkeypatch.setattr(similarity, "FEW_ENTITIES", 10)
+    texts = [text for _, text in corpus(30)]
+    rows = [(i * 100 + c, text) for i, text in enumerate(texts) for c in range(copies)]
+    made = []
+    sums = similarity._sums
+    monkeypatch.setattr(similarity, "_sums", lambda joined: made.append(sums(joined)) or made[-1])
+    found = similarity.similar_pairs(spark.createDataFrame(rows, ["speech_id", "clean_text"]), "speech_id", 0.1, 6).collect()
+    equal = [(a, b) for a, s in rows for b, t in rows if a < b and Counter(s.split()) == Counter(t.split())]
+    assert [(r["a"], r["b"]) for r in found] == sorted(equal)[:6]
+    assert [r["similarity"] for r in found] == pytest.approx([1.0] * 6)
+    assert made[-1].count() < 10_000  # of the 23,400 pairs of copies alone; seven of each text are left
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_latent_topics(clean, monkeypatch, broadcast):
     if not broadcast:
