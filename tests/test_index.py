@@ -158,3 +158,11 @@ def test_a_trend_weighs_the_postings_of_its_words_only(spark, clean):
     series = trend.term_trend(replace(built, weights=None, yearly=None), words).collect()
     found = {(r.token, r.year): r.score for r in series if r.score}
     assert found == pytest.approx(wanted) and ("aa", 2000) in found
+
+
+def test_the_weights_of_an_index_do_not_shuffle_its_postings(clean):
+    """Norms are sums that meet the postings by broadcast; the weights are those of the plain way."""
+    built = ix.build_index(clean)
+    plan = built.weights._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert found(built.weights, "speech_id") == pytest.approx(brute("speech_id"))
