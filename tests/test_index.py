@@ -104,6 +104,29 @@ def test_keywords_of_one_entity_use_all_frequencies(clean):
     assert [tuple(r) for r in one] == [("ann", whole["ann"])]
 
 
+@pytest.mark.parametrize("first, sums", [(9, 1), (4, 1), (1, 2), (0, 2)])
+@pytest.mark.parametrize("small", [False, True])
+def test_reports_of_groups_sum_up_no_term_that_cannot_be_listed(spark, monkeypatch, first, sums, small):
+    rows = [(i, f"m{i % 3}" if i % 7 else None, i % 2, f"{'aa ' * 90}{'bb ' * 50}{'cc ' * 30}{'dd ' * 20}x{i}") for i in range(40)]
+    rows += [(3, "m1", 1, "aa aa again"), (None, "m9", 1, "lost words"), (77, "m1", None, "x")]
+    if small:  # an entity with fewer terms than are listed, one without any, and one that says a rare word only
+        rows += [(50, "few", 1, "aa y1"), (51, "none", 0, "x"), (52, "one", 1, "x2 x2 x3")]
+        sums = 1 if first == 9 else 2
+    clean = spark.createDataFrame(rows, "speech_id long, member_name string, year int, clean_text string")
+    seen = []
+    monkeypatch.setattr(keywords, "FIRST_TERMS", 10_000 if first == 9 else first)
+    monkeypatch.setattr(keywords, "group_sums", lambda *given: seen.append(ix.group_sums(*given)) or seen[-1])
+    found = keywords.keyword_reports(clean, ["speech_id", "member_name", "year"], n=3)
+    counts = ix.grouped_counts(clean, ["speech_id", "member_name", "year"])
+    for key, report in found.items():
+        wanted = keywords.keywords_by(clean, key, n=3, counts=counts[key])
+        assert Counter(report.collect()) == Counter(wanted.collect())
+        assert report.schema[key].dataType == clean.schema[key].dataType
+    assert len(seen) == sums
+    if first != 9:
+        assert seen[0].select("term").distinct().count() == first
+
+
 def test_large_top_n_is_cut_in_slices(spark):
     rows = [("e", f"t{i:05d}", float(i)) for i in range(3000)]
     weights = spark.createDataFrame(rows, ["entity", "term", "weight"])
