@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from corpuscope.operators.index import Index
+from corpuscope.operators.index import Index, small_side
 from corpuscope.operators.search import scan_of
 from corpuscope.runtime import top_per_group, written
 from corpuscope.schema import SPEECH_ID
@@ -21,6 +21,8 @@ from corpuscope.sources.layout import with_bucket
 BLOCK_ROWS = 1024
 #: For the first bound each query scores so many times k speeches.
 TRIED = 4
+#: Query, term and weight.
+ASKED_BYTES = 100
 #: Sums of the same weights in another order differ by less than this.
 SLACK = 1e-9
 
@@ -31,8 +33,9 @@ _BLOCK = ["term", "shard", "block"]
 class Blocks:
     """``heads(term, shard, block, n, top)``, ``postings`` (of each block) and ``vectors`` (of each speech).
 
-    ``postings(term, shard, block, posting)`` holds ``array<struct<speech_id, weight>>`` and
-    ``vectors(speech_id, weights)`` holds ``map<term, weight>``.
+    ``postings(term, shard, block, n, top, posting)`` holds ``array<struct<speech_id, weight>>`` and
+    ``vectors(speech_id, weights)`` holds ``map<term, weight>``. Without ``buckets`` the blocks are not stored yet:
+    a search writes them before it reads them.
     """
 
     heads: DataFrame
@@ -42,26 +45,39 @@ class Blocks:
 
 
 def build_blocks(index: Index, rows: int = BLOCK_ROWS) -> Blocks:
-    """The blocks of an index, as written tables.
+    """The blocks of an index, made as they are stored or searched.
 
     A frequent term is cut within its shards, so that no task orders all of its postings.
     """
     falling = Window.partitionBy("term", "shard").orderBy(F.col("weight").desc(), SPEECH_ID)
     block = F.floor((F.row_number().over(falling) - 1) / rows).cast("int")
-    # Both layouts read the weights, which an index that is not stored would make anew for each.
-    weights = index.weights.select("term", "shard", SPEECH_ID, "weight")
-    weights = weights if index.buckets is not None else written(weights, "block-weights")
-    placed = weights.withColumn("block", block)
+    placed = index.weights.select("term", "shard", SPEECH_ID, "weight").withColumn("block", block)
     postings = placed.groupBy(*_BLOCK).agg(
         F.count(F.lit(1)).alias("n"),
         F.max("weight").alias("top"),
         F.collect_list(F.struct(SPEECH_ID, "weight")).alias("posting"),
     )
-    postings = written(postings, "blocks")
+    return Blocks(heads_of(postings), postings, vectors_of(postings))
+
+
+def heads_of(postings: DataFrame) -> DataFrame:
+    """The ``heads`` of postings in blocks."""
+    return postings.select(*_BLOCK, "n", "top")
+
+
+def vectors_of(postings: DataFrame) -> DataFrame:
+    """The ``vectors`` of postings in blocks."""
+    rows = postings.select("term", F.inline("posting"))
     entry = F.collect_list(F.struct("term", "weight"))
-    vectors = weights.groupBy(SPEECH_ID).agg(F.map_from_entries(entry).alias("weights"))
-    heads = written(postings.select(*_BLOCK, "n", "top"), "block-heads")
-    return Blocks(heads, postings.select(*_BLOCK, "posting"), written(vectors, "speech-vectors"))
+    return rows.groupBy(SPEECH_ID).agg(F.map_from_entries(entry).alias("weights"))
+
+
+def _kept(blocks: Blocks) -> Blocks:
+    """The same blocks as written tables; the postings are made once."""
+    if blocks.buckets is not None:
+        return blocks
+    postings = written(blocks.postings, "blocks")
+    return Blocks(heads_of(postings), postings, written(vectors_of(postings), "speech-vectors"))
 
 
 def _read(blocks: Blocks, chosen: DataFrame) -> DataFrame:
@@ -74,16 +90,19 @@ def _read(blocks: Blocks, chosen: DataFrame) -> DataFrame:
 
 
 def _exact(blocks: Blocks, weights: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``(query_id, speech_id, score)`` of candidates by the vectors of their speeches."""
-    asked = weights.groupBy("query_id").agg(F.collect_list(F.struct("term", "query_weight")).alias("asked"))
-    candidates = written(candidates.join(asked, "query_id"), "candidates")
-    wanted, keys = with_bucket(candidates, [SPEECH_ID], blocks.buckets)
-    found = wanted.join(scan_of(blocks.vectors, candidates, SPEECH_ID, blocks.buckets), keys)
-
-    def add(total: Column, term: Column) -> Column:
-        return total + term["query_weight"] * F.coalesce(F.element_at("weights", term["term"]), F.lit(0.0))
+    """``(query_id, speech_id, score)`` of candidates by the vectors of their speeches.
 
-    return found.select("query_id", SPEECH_ID, F.aggregate("asked", F.lit(0.0), add).alias("score"))
+    A speech is read once for all queries that it is a candidate of, and each of its terms meets the queries
+    that ask for it; the sums of a speech lie side by side.
+    """
+    candidates = written(candidates, "candidates")
+    wanted, keys = with_bucket(candidates.select(SPEECH_ID).distinct(), [SPEECH_ID], blocks.buckets)
+    found = wanted.join(scan_of(blocks.vectors, candidates, SPEECH_ID, blocks.buckets), keys)
+    entries = found.select(SPEECH_ID, F.explode("weights").alias("term", "weight"))
+    asked = weights.select("query_id", "term", "query_weight")
+    sums = entries.join(small_side(asked, ASKED_BYTES), "term").groupBy("query_id", SPEECH_ID)
+    scored = sums.agg(F.sum(F.col("query_weight") * F.col("weight")).alias("score"))
+    return candidates.join(scored, ["query_id", SPEECH_ID])
 
 
 def _levels(most: DataFrame) -> DataFrame:
@@ -119,6 +138,7 @@ def search_blocks(
     """
     if top_k < 1:
         raise ValueError("top_k must be at least 1")
+    blocks = _kept(blocks)
     asked, keys = with_bucket(weights, ["term"], blocks.buckets)
     named = scan_of(blocks.heads, weights, "term", blocks.buckets)
     bound = (F.col("query_weight") * F.col("top")).alias("bound")

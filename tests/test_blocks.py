@@ -98,3 +98,18 @@ def test_nothing(spark):
     assert found.count() == 0 and read.count() == 0
     with pytest.raises(ValueError):
         bl.search_blocks(bl.build_blocks(none), sr.query_weights(none, asked), top_k=0)
+
+
+def test_candidates_carry_no_queries_and_blocks_are_made_once(spark, index, monkeypatch):
+    """Speeches meet the terms of the queries, so no candidate holds its whole query; vectors come from the blocks as written."""
+    seen = {}
+    write = bl.written
+    monkeypatch.setattr(bl, "written", lambda df, name: seen.setdefault(name, df) and write(df, name))
+    asked = spark.createDataFrame(ASKED, "query_id long, clean_text string")
+    weights = sr.query_weights(index, asked)
+    built = bl.build_blocks(index, 16)
+    assert not seen
+    found, _ = bl.search_blocks(built, weights)
+    assert rows_of(found) == rows_of(sr.best_matches(sr.score_queries(index, weights)))
+    assert seen["candidates"].columns == ["query_id", "speech_id"]
+    assert "Window" not in seen["speech-vectors"]._jdf.queryExecution().executedPlan().toString()

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
 import json
+import time
 from collections import Counter
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpuscope.operators import index as ix
 from corpuscope.operators.clusters import cluster_speeches, write_cluster_speeches
-from corpuscope.sources import dictionaries, ids, reports, speeches as stored
+from corpuscope.runtime import discard, scratch_path, written
+from corpuscope.sources import dictionaries, ids, indexes, reports, speeches as stored
+from corpuscope.sources.layout import write_buckets
 
 
 def test_lasting_ids(spark, monkeypatch):
@@ -151,3 +155,41 @@ def test_words_are_stemmed_once(spark, tmp_path):
     assert found == {"bad": None, "chairs": "cha", "lamps": "lam"} and stemmed.value == 4
     other = dictionaries.StemDictionary(spark, path, stem, "b")
     assert other.update(words("tables")) == 1 and other.known().count() == 1 and again.known().count() == 4
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {name for name in blocks.split() if name.startswith("shuffle_")}
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    """A shuffle goes with the statement that made it, and a table that is not needed any more can be removed."""
+    before = _shuffle_files(spark)
+    table = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test-shuffle")
+    path = scratch_path(spark, "test-buckets")
+    write_buckets(table, ["k"], ["k"], 4, path)
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert table.count() == spark.read.parquet(path).count() == 7
+    discard(table)
+    assert not Path(table._written_to).exists()
+
+
+def test_saved_weights_are_those_of_the_index(spark, monkeypatch):
+    """Counts are shuffled bare and weighted in their buckets, with shards, ids that come twice and speeches without terms."""
+    monkeypatch.setattr(ix, "SHARD_ROWS", 8)
+    rows = [(i % 25, f"alpha beta{i % 3} gamma{i} " + "alpha " * i, f"0{1 + i % 9}/02/200{i % 4}") for i in range(30)] + [(99, "", None)]
+    clean = spark.createDataFrame(rows, "speech_id long, clean_text string, sitting_date string").withColumn("speech", F.col("clean_text"))
+    built = ix.build_index(clean)
+    shuffled = []
+    place = indexes.placed_in_buckets
+    monkeypatch.setattr(indexes, "placed_in_buckets", lambda df, *a: shuffled.append(df) or place(df, *a))
+    path = scratch_path(spark, "test-index")
+    indexes.save_index(built, path, buckets=4)
+    assert [sorted(df.columns) for df in shuffled] == [["_df", "shard", "speech_id", "term", "tf"]]
+    wanted, found = built.weights.collect(), indexes.load_index(spark, path).weights.drop("bucket").collect()
+    assert max(row["shard"] for row in wanted) > 0
+    assert sorted(found, key=str) == sorted(wanted, key=str)
