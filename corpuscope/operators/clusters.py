@@ -89,20 +89,24 @@ def cluster_topics(
 
 
 def _packed(df: DataFrame, column: str) -> DataFrame:
-    """The vectors as blocks of doubles, ``(n, x)``."""
+    """The vectors as blocks of doubles, ``(n, x)``, dealt to all cores: each pass reads them, however few files they came in."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             block = batch.column(0).flatten().to_numpy(zero_copy_only=False).tobytes()
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64()), "x": pa.array([block], pa.binary())})
 
-    return df.select(F.col(column).cast("array<double>")).mapInArrow(pack, "n long, x binary")
+    vectors = df.select(F.col(column).cast("array<double>"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if vectors.rdd.getNumPartitions() < cores:
+        vectors = vectors.repartition(cores)
+    return vectors.mapInArrow(pack, "n long, x binary")
 
 
 def _sums(packed: DataFrame, starts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """For each start the sums and numbers of the vectors next to its centroids, and the inertia, from one pass."""
     shapes = [centers.shape for centers in starts]
-    most = 4_096
+    most = 1_024
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = [np.zeros((k, d + 2)) for k, d in shapes]

@@ -255,3 +255,12 @@ def test_kmeans_starts_share_their_passes(spark, monkeypatch):
     found = sorted(tuple(np.round(center, 6)) for center in grouped.centroids)
     assert np.array(found) == pytest.approx(np.array(wanted), abs=2e-6)
     assert len(passes) <= max(model.summary.numIter for model in models) + 1 and passes[0] == 6
+
+
+def test_kmeans_passes_use_all_cores(spark, monkeypatch):
+    """Vectors that come in one split, as a small table does, are dealt to all cores for the passes."""
+    seen = []
+    sums = clusters._sums
+    monkeypatch.setattr(clusters, "_sums", lambda packed, starts: seen.append(packed.rdd.getNumPartitions()) or sums(packed, starts))
+    found = clusters.cluster_topics(points(spark, 80).coalesce(1), k=4, n_init=2)
+    assert min(seen) >= spark.sparkContext.defaultParallelism and found.assigned.count() == 80
