@@ -264,3 +264,11 @@ def test_kmeans_passes_use_all_cores(spark, monkeypatch):
     monkeypatch.setattr(clusters, "_sums", lambda packed, starts: seen.append(packed.rdd.getNumPartitions()) or sums(packed, starts))
     found = clusters.cluster_topics(points(spark, 80).coalesce(1), k=4, n_init=2)
     assert min(seen) >= spark.sparkContext.defaultParallelism and found.assigned.count() == 80
+
+
+def test_topics_are_made_once_and_a_part_is_small(spark, clean):
+    """Clusters read the topics of speeches from a table, not from the joins again, and a task of a pass holds 64 MB of weights at most."""
+    found = topics.latent_topics(clean, k=3)
+    assert "Join" not in found.doc_topics._jdf.queryExecution().executedPlan().toString()
+    assert found.doc_topics.count() == clean.count()
+    assert topics.MATRIX_ROWS * 16 <= 64_000_000
