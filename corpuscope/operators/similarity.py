@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpuscope.operators.index import tfidf
-from corpuscope.runtime import top_per_group, written
+from corpuscope.operators.index import small_side, term_counts, tfidf
+from corpuscope.runtime import discard, top_per_group, written
 
 # Postings of one term are compared block by block of about this many entities.
 BLOCK_ROWS = 512
@@ -16,6 +16,9 @@ FEW_ENTITIES = 1_000
 # Terms in at most this many entities propose the pairs that raise the threshold.
 SEED_DF = 32
 
+# The name of an entity.
+ENTITY_BYTES = 64
+
 # Covers the rounding of the ranking and of sums of floats in any bound below.
 _SLACK = 1e-8
 
@@ -86,7 +89,13 @@ def _light_tails(weights: DataFrame, min_sim: float) -> DataFrame:
 
 
 def _complete(candidates: DataFrame, weights: DataFrame) -> DataFrame:
-    """Add the products of the shared terms from band ``cut`` up to the ``partial`` sums."""
+    """Add the products of the shared terms from band ``cut`` up to the ``partial`` sums.
+
+    Few candidates need the weights of few entities, so only these are shuffled.
+    """
+    candidates = written(candidates, "candidates")
+    named = candidates.filter(F.col("rest") > 0).select(F.explode(F.array("a", "b")).alias("entity")).distinct()
+    weights = weights.join(small_side(written(named, "candidate-entities"), ENTITY_BYTES), "entity", "left_semi")
     left = weights.select(
         F.col("entity").alias("a"), "term", "band", F.col("weight").alias("weight_a")
     )
@@ -203,4 +212,9 @@ def similar_pairs(
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """The most similar entities by the cosine of their TF-IDF vectors."""
-    return pair_similarities(tfidf(clean, key, counts=counts), key, min_sim, limit)
+    own = counts if counts is not None else term_counts(clean, key)
+    pairs = pair_similarities(tfidf(clean, key, counts=own), key, min_sim, limit)
+    if counts is None:
+        # The pairs are made from the weights, which are written.
+        discard(own)
+    return pairs

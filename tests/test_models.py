@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from corpuscope.operators import clusters, index as ix, numbering, sampling, similarity, topics
+from corpuscope.runtime import scratch_path
 
 
 def corpus(n: int, seed: int = 0) -> list[tuple[int, str]]:
@@ -272,3 +274,27 @@ def test_topics_are_made_once_and_a_part_is_small(spark, clean):
     assert "Join" not in found.doc_topics._jdf.queryExecution().executedPlan().toString()
     assert found.doc_topics.count() == clean.count()
     assert topics.MATRIX_ROWS * 16 <= 64_000_000
+
+
+def test_counts_go_before_pairs_are_made(spark, clean):
+    """Pairs are made from the weights; their counts are not kept on disk meanwhile."""
+    scratch = Path(scratch_path(spark, "x")).parent
+    before = set(scratch.glob("term-counts-*"))
+    pairs = similarity.similar_pairs(clean, "speech_id")
+    assert set(scratch.glob("term-counts-*")) == before
+    assert pairs.count() > 0
+
+
+def test_weights_of_candidates_only_are_shuffled(spark, clean, monkeypatch):
+    """The weights of entities that are in no candidate meet a broadcast of the others; norms need no sort of postings by speech."""
+    weights = ix.tfidf(clean, "speech_id")
+    assert "Window" not in weights._jdf.queryExecution().executedPlan().toString()
+    banded = similarity._banded(weights, "speech_id")
+    ids = sorted(row[0] for row in banded.select("entity").distinct().collect())[:2]
+    one = spark.createDataFrame([(*ids, 0.0, 1.0, 0)], "a long, b long, partial double, rest double, cut int")
+    found = similarity._complete(one, banded)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    vectors = {i: {r["term"]: r["weight"] for r in weights.filter(F.col("speech_id") == i).collect()} for i in ids}
+    wanted = sum(x * vectors[ids[1]].get(term, 0.0) for term, x in vectors[ids[0]].items())
+    assert [row["similarity"] for row in found.collect()] == [pytest.approx(wanted)]
